@@ -1,7 +1,7 @@
 """Keyring, blind indexes, sealing and digests, all as JVM-side expressions.
 
-Keys reach a plan only through scalar subqueries over the keyring table (five rows at most), so no key
-shows in ``explain`` output and no join is needed to use one.
+Keys reach a plan only as columns that stand for scalar subqueries over the keyring table (five rows at most), so no
+key shows in ``explain`` output and no join is needed to use one.
 """
 
 from __future__ import annotations
@@ -77,18 +77,22 @@ class Keyring:
             rows.append((key_id, position, key_id == self.active_id, key, *_pads(key), *_pads(iv_key)))
         return spark.createDataFrame(rows, KEYRING_SCHEMA)
 
-    def active(self, spark: SparkSession) -> Column:
-        """The active key's row as one struct value."""
-        return self.table(spark).where("active").select(F.struct("*")).scalar()
+    def attach(self, df: DataFrame, name: str = "_key") -> DataFrame:
+        """Add the active key's row as one struct column.
 
-    def each(self, spark: SparkSession) -> list[Column]:
-        """Every key's row as one struct value, in keyring order."""
-        rows = self.table(spark)
-        return [rows.where(F.col("key_id") == k).select(F.struct("*")).scalar() for k in self.ids]
+        The column stands for a single subquery over the keyring, however many expressions use it.
+        """
+        return df.withColumn(name, self.table(df.sparkSession).where("active").select(F.struct("*")).scalar())
 
-    def data_keys(self, spark: SparkSession) -> Column:
-        """Map from key id to data key, for readers."""
-        return self.table(spark).select(F.map_from_entries(F.collect_list(F.struct("key_id", "data_key")))).scalar()
+    def attach_all(self, df: DataFrame, name: str = "_keys") -> DataFrame:
+        """Add all keys as an array of structs, in keyring order."""
+        entry = F.struct("position", "key_id", "ipad", "opad")
+        return df.withColumn(name, self.table(df.sparkSession).select(F.array_sort(F.collect_list(entry))).scalar())
+
+    def attach_data_keys(self, df: DataFrame, name: str = "_data_keys") -> DataFrame:
+        """Add a map from key id to data key, for readers."""
+        pairs = F.map_from_entries(F.collect_list(F.struct("key_id", "data_key")))
+        return df.withColumn(name, self.table(df.sparkSession).select(pairs).scalar())
 
     def tokens(self, value: str) -> list[str]:
         """Blind indexes of one search value under every key, for literal filters that reach the scan."""
@@ -109,10 +113,10 @@ def blind_index(value: Column | str, key: Column) -> Column:
     return _hmac(key.getField("ipad"), key.getField("opad"), F.encode(col(value), "UTF-8"))
 
 
-def blind_indexes(value: Column | str, keys: list[Column]) -> Column:
+def blind_indexes(value: Column | str, keys: Column) -> Column:
     """One index per key of the keyring, in keyring order; null for a null value."""
     value = col(value)
-    return F.when(value.isNotNull(), F.array(*[blind_index(value, key) for key in keys]))
+    return F.when(value.isNotNull(), F.transform(keys, lambda key: blind_index(value, key)))
 
 
 def seal(text: Column, row_id: Column, key: Column) -> Column:

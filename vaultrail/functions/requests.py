@@ -107,7 +107,7 @@ def event_policy(base: Column, preset: Column, ip: Column, user_agent: Column, l
 
 
 def apply_policy(context: Column, policy: Column, key: Column, full_detail: Column, ingest_agent=None) -> Column:
-    """What of a client context is stored, field by field, in storage order.
+    """What of a client context is stored, field by field, in storage order; null when nothing is.
 
     ``context`` is ``struct<ip, userAgent, location, device>``; ``full_detail`` tells whether the city may be kept
     although the address is not.
@@ -128,9 +128,6 @@ def apply_policy(context: Column, policy: Column, key: Column, full_detail: Colu
         policy["user_agent"] != "skip", F.when(ua.isNotNull(), classify(ua, ingest_agent)).otherwise(context["device"])
     )
     stored_ua = F.when(policy["user_agent"] == "track", truncate(ua, USER_AGENT_LIMIT))
-    return F.struct(
-        stored_location.alias("location"),
-        stored_ip.alias("ip"),
-        device.alias("device"),
-        stored_ua.alias("userAgent"),
-    )
+    kept = [stored_location.alias("location"), stored_ip.alias("ip"), device.alias("device"), stored_ua.alias("userAgent")]
+    nothing = ~policy["location"] & stored_ip.isNull() & device.isNull() & stored_ua.isNull()
+    return F.when(~nothing, F.struct(*kept))

@@ -37,19 +37,20 @@ def access_grants(requests: DataFrame, keyring: Keyring) -> DataFrame:
     A request needs one identity unless its scope is auditor; ``reject_reason`` marks the others. Each identity is
     indexed under every key of the ring.
     """
-    keys = keyring.each(requests.sparkSession)
     names = ["actor", "target", "tenant"]
     given = {n: present(f"{n}_id") for n in names}
     scope = F.coalesce(present("scope"), F.when(given["tenant"].isNotNull(), "tenant").otherwise("actor"))
     nobody = given["actor"].isNull() & given["target"].isNull() & given["tenant"].isNull()
     cap = F.when(F.col("scope") == "auditor", AUDITOR_CAP).otherwise(LIFETIME_CAP)
     lifetime = F.least(lifetime_seconds(F.coalesce("expires_in", F.lit(f"{DEFAULT_LIFETIME}s"))), cap)
-    indexes = {f"{n}_indexes": blind_indexes(truncate(given[n], IDENTITY_LIMIT), keys) for n in names}
+    indexes = {f"{n}_indexes": blind_indexes(truncate(given[n], IDENTITY_LIMIT), F.col("_keys")) for n in names}
     return (
-        requests.withColumn("scope", scope)
+        keyring.attach_all(requests)
+        .withColumn("scope", scope)
         .withColumns(indexes)
         .withColumn("exp", F.col("iat") + lifetime)
         .withColumn("reject_reason", F.when((F.col("scope") != "auditor") & nobody, "identity_missing"))
+        .drop("_keys")
     )
 
 

@@ -13,7 +13,7 @@ from vaultrail.functions.jsontext import object_of, quote
 from vaultrail.functions.text import first_present
 from vaultrail.operators.enrich import tag_agent_events
 from vaultrail.operators.ordered import neighbour, number_rows
-from vaultrail.session import configure
+from vaultrail.session import materialise
 
 # Texts of tool events.
 UNNAMED_TOOL = "unnamed_tool"
@@ -168,11 +168,9 @@ def record_calls(calls: DataFrame, tool: str, run: Callable[[str], str], chunk:
     """Run a function over call rows and record what it did.
 
     ``calls(run_id, call_id, args, scrubbed)``: the function gets ``args``; only ``scrubbed`` is kept. Returns records
-    with a sequence number per run, and failed calls, which leave no record. The function runs once per row: its results
-    are checkpointed before anything reads them.
+    with a sequence number per run, and failed calls, which leave no record. The function's results are written to the
+    shared folder before anything reads them, so later steps never run it again.
     """
-    configure(calls.sparkSession)
-
     def execute(batches):
         import time
 
@@ -192,7 +190,8 @@ def record_calls(calls: DataFrame, tool: str, run: Callable[[str], str], chunk:
 
     kept = [f for f in calls.select("run_id", "call_id", "scrubbed").schema.simpleString()[7:-1].split(",")]
     schema = ",".join(kept) + ",output:string,error:string,captured_at:bigint,latency_ms:bigint"
-    ran = calls.select("run_id", "call_id", "scrubbed", "args").mapInPandas(execute, schema.replace(":", " ")).checkpoint()
+    ran = calls.select("run_id", "call_id", "scrubbed", "args").mapInPandas(execute, schema.replace(":", " "))
+    ran = materialise(ran, "recorded")
     done = ran.where(F.col("error").isNull()).drop("error")
     done = done.withColumns({"tool": F.lit(tool), "args_hash": args_hash(F.lit(tool), "scrubbed")})
     records = number_rows(done, ["run_id"], ["call_id"], chunk, "seq").withColumnRenamed("scrubbed", "args")

@@ -159,14 +159,13 @@ def payload_text(policy: IngestPolicy, context: Column) -> Column:
 
 
 def event_context(policy: IngestPolicy, key: Column) -> Column:
-    """Stored context of an event; null when nothing is kept."""
+    """Stored context of an event; see :func:`apply_policy`."""
     ip, user_agent, location = policy.telemetry
     base = F.struct(F.lit(ip).alias("ip"), F.lit(user_agent).alias("user_agent"), F.lit(location).alias("location"))
     own = F.col("telemetry")
     chosen = event_policy(base, own["preset"], own["ip"], own["user_agent"], own["location"])
     full = F.when(own.isNotNull(), F.coalesce(own["preset"] == "full", F.lit(False))).otherwise(F.lit(ip == "track"))
-    kept = apply_policy(F.col("context"), chosen, key, full, policy.ingest_agent)
-    return F.when(F.to_json(kept) != "{}", kept)
+    return apply_policy(F.col("context"), chosen, key, full, policy.ingest_agent)
 
 
 def seal_events(events: DataFrame, keyring: Keyring, policy: IngestPolicy = IngestPolicy()) -> DataFrame:
@@ -175,8 +174,9 @@ def seal_events(events: DataFrame, keyring: Keyring, policy: IngestPolicy = Inge
     ``payload`` is the sealed text itself; :func:`split_outcomes` moves large ones behind a claim check. Which rows are
     large is known by arithmetic before anything is sealed.
     """
-    key = keyring.active(events.sparkSession)
-    ready = events.withColumn("_payload", payload_text(policy, event_context(policy, key)))
+    key = F.col("_key")
+    ready = keyring.attach(events).withColumn("_context", event_context(policy, key))
+    ready = ready.withColumn("_payload", payload_text(policy, F.col("_context")))
     tenant, trace = present(indexed_identity("tenant", None)), present("trace_id")
     agent = F.to_json(
         F.struct(
@@ -196,7 +196,7 @@ def seal_events(events: DataFrame, keyring: Keyring, policy: IngestPolicy = Inge
             "agent_context": F.when(agent != "{}", seal(agent, agent_id, key)),
             "attestation_proof": F.col("attestation"),
         }
-    ).drop("_payload")
+    ).drop("_payload", "_context", "_key")
 
 
 ENVELOPE = [
@@ -220,12 +220,10 @@ def assign_clocks(events: DataFrame, chunk: list[Column], base: Column | None =
 
     An explicit ``logical_clock`` on an event is taken as the incoming clock.
     """
-    accepted = events.where(F.col("reject_reason").isNull())
-    rejected = events.where(F.col("reject_reason").isNotNull())
-    clocked = logical_clock(
-        accepted, ["request_id"], ["event_id"], chunk, F.col("logical_clock"), F.lit(0) if base is None else base
-    )
-    return clocked.unionByName(rejected.withColumn("logical_clock", F.lit(None).cast("bigint")))
+    marked = events.withColumn("_ticks", F.col("reject_reason").isNull())
+    start = F.lit(0) if base is None else base
+    clocked = logical_clock(marked, ["request_id", "_ticks"], ["event_id"], chunk, F.col("logical_clock"), start)
+    return clocked.withColumn("logical_clock", F.when(F.col("_ticks"), F.col("logical_clock"))).drop("_ticks")
 
 
 def accepted_rows(sealed: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ from vaultrail.functions.text import first_present
 
 # --- Merkle proofs ---------------------------------------------------------------------------------------------------
 
-# Steps whose both orders are tried inside one row; a longer path is first split into rows, one per order of the rest.
-IN_ROW_STEPS = 10
+# The last steps of a path are tried in both orders at once, the steps before them one order after the other.
+BOTH_ORDERS = 10
 
 
 def _fold_both(start: Column, path: Column) -> Column:
@@ -27,41 +27,35 @@ def _fold_both(start: Column, path: Column) -> Column:
     )
 
 
-def verify_proofs(proofs: DataFrame, key: list[str], payload: str = "payload") -> DataFrame:
+def _fold_ordered(start: Column, path: Column, order: Column) -> Column:
+    """The hash reached when bit ``i`` of ``order`` says on which side sibling ``i`` stands."""
+
+    def step(acc: Column, sibling: Column) -> Column:
+        right = F.sha2(F.concat(acc["h"], sibling), 256)
+        left = F.sha2(F.concat(sibling, acc["h"]), 256)
+        return F.struct(F.when(acc["o"] % 2 == 0, right).otherwise(left).alias("h"), F.floor(acc["o"] / 2).alias("o"))
+
+    return F.aggregate(path, F.struct(start.alias("h"), order.cast("bigint").alias("o")), step, lambda acc: acc["h"])
+
+
+def verify_proofs(proofs: DataFrame, payload: str = "payload") -> DataFrame:
     """Add ``valid`` to proofs ``(payload, merkle_root, merkle_path_json)``; a path that is no JSON list is invalid.
 
-    ``key`` identifies a proof. A path of ``n`` steps has ``2^n`` candidate roots. Up to ``IN_ROW_STEPS`` steps they are
-    tried in the row. Longer paths are rare; they are spread over rows, one per order of their first steps, so that
-    no task has to hold all candidates.
+    Each sibling may stand on either side, so a path of ``n`` steps has ``2^n`` candidate roots. All are tried, within
+    the row and without a shuffle; at no time are more than ``2^BOTH_ORDERS`` hashes held, and the first hit ends the
+    search.
     """
-    path = F.from_json("merkle_path_json", "array<string>")
-    ready = proofs.withColumns({"_path": path, "_leaf": sha256_hex(payload)})
-    # A list that holds nested values or null reads as null elements, which no hash can match.
-    steps = F.coalesce(F.size("_path"), F.lit(-1))
-    hit = F.array_contains(_fold_both(F.col("_leaf"), F.col("_path")), F.col("merkle_root"))
-    short = ready.where(steps <= IN_ROW_STEPS)
-    short = short.withColumn("valid", F.coalesce(hit, F.lit(False))).drop("_path", "_leaf")
-
-    long = ready.where(steps > IN_ROW_STEPS)
-    first = F.size("_path") - IN_ROW_STEPS
-    orders = F.explode(F.sequence(F.lit(0).cast("bigint"), F.pow(F.lit(2.0), first).cast("bigint") - 1))
-    spread = long.select(*key, "merkle_root", "_leaf", "_path", orders.alias("_order"))
-    state = F.struct(F.col("_leaf").alias("h"), F.col("_order").alias("o"))
-
-    def ordered_step(acc: Column, sibling: Column) -> Column:
-        left = F.sha2(F.concat(acc["h"], sibling), 256)
-        right = F.sha2(F.concat(sibling, acc["h"]), 256)
-        return F.struct(
-            F.when(acc["o"] % 2 == 0, left).otherwise(right).alias("h"), F.shiftright(acc["o"], 1).alias("o")
-        )
-
-    size = F.size("_path")
-    begun = F.aggregate(F.slice("_path", 1, size - IN_ROW_STEPS), state, ordered_step)["h"]
-    rest = F.slice("_path", size - IN_ROW_STEPS + 1, F.lit(IN_ROW_STEPS))
-    found = F.array_contains(_fold_both(begun, rest), F.col("merkle_root"))
-    verdict = spread.groupBy(*key).agg(F.bool_or(F.coalesce(found, F.lit(False))).alias("valid"))
-    long = long.drop("_path", "_leaf").join(verdict, key)
-    return short.unionByName(long)
+    ready = proofs.withColumns(
+        {"_path": F.from_json("merkle_path_json", "array<string>"), "_leaf": sha256_hex(payload)}
+    )
+    path, leaf, root = F.col("_path"), F.col("_leaf"), F.col("merkle_root")
+    ordered = F.greatest(F.size(path) - BOTH_ORDERS, F.lit(0))
+    short = F.size(path) <= BOTH_ORDERS
+    orders = F.sequence(F.lit(0).cast("bigint"), F.pow(F.lit(2.0), ordered).cast("bigint") - 1)
+    first, rest = F.slice(path, F.lit(1), ordered), F.slice(path, ordered + 1, F.lit(BOTH_ORDERS))
+    long_hit = F.exists(orders, lambda o: F.array_contains(_fold_both(_fold_ordered(leaf, first, o), rest), root))
+    valid = F.when(short, F.array_contains(_fold_both(leaf, path), root)).otherwise(long_hit)
+    return ready.withColumn("valid", F.coalesce(valid, F.lit(False))).drop("_path", "_leaf")
 
 
 # --- hash chains -----------------------------------------------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import Keyring, blind_indexes, open_sealed, sealed_key_id
 from vaultrail.functions.text import IDENTITY_LIMIT, truncate
-from vaultrail.session import configure
+from vaultrail.session import materialise
 
 # A search for at most this many literal values becomes an IN filter that reaches the scan.
 LITERAL_VALUES = 100
@@ -23,8 +23,8 @@ def search_literals(ledger: DataFrame, keyring: Keyring, index: str, values: lis
 
 def index_values(values: DataFrame, value: str, keyring: Keyring, out: str = "token") -> DataFrame:
     """One row per value and key, with the value's blind index under that key."""
-    keys = keyring.each(values.sparkSession)
-    return values.withColumn(out, F.explode(blind_indexes(truncate(value, IDENTITY_LIMIT), keys)))
+    tokens = F.explode(blind_indexes(truncate(value, IDENTITY_LIMIT), F.col("_keys")))
+    return keyring.attach_all(values).withColumn(out, tokens).drop("_keys")
 
 
 def search_values(ledger: DataFrame, keyring: Keyring, index: str, values: DataFrame, value: str) -> DataFrame:
@@ -50,8 +50,9 @@ def resolve_claims(ledger: DataFrame, blobs: DataFrame) -> DataFrame:
 
 def open_ledger(ledger: DataFrame, keyring: Keyring) -> DataFrame:
     """Add ``opened`` (payload JSON) and ``agent`` (agent context JSON); null where a row cannot be opened."""
-    keys = keyring.data_keys(ledger.sparkSession)
-    return ledger.withColumns({"opened": open_sealed("payload", keys), "agent": open_sealed("agent_context", keys)})
+    keys = F.col("_data_keys")
+    opened = {"opened": open_sealed("payload", keys), "agent": open_sealed("agent_context", keys)}
+    return keyring.attach_data_keys(ledger).withColumns(opened).drop("_data_keys")
 
 
 def key_report(ledger: DataFrame) -> DataFrame:
@@ -127,7 +128,6 @@ def causality(spans: DataFrame) -> DataFrame:
     ``log2(n)`` joins. A span whose parent is not in the table is a root. Spans in a cycle, or below one, end with a
     null root and depth. ``span_id`` must be unique.
     """
-    spark = configure(spans.sparkSession)
     known = spans.select(F.col("span_id").alias("parent_span_id"))
     edges = spans.select("span_id", "parent_span_id")
     rooted = edges.join(known.withColumn("_known", F.lit(True)), "parent_span_id", "left")
@@ -137,7 +137,8 @@ def causality(spans: DataFrame) -> DataFrame:
         F.when(has_parent, F.col("parent_span_id")).alias("next"),
         F.when(has_parent, F.col("parent_span_id")).otherwise(F.col("span_id")).alias("root"),
         F.when(has_parent, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("depth"),
-    ).checkpoint()
+    )
+    state = materialise(state, "causality")
     total, rounds = state.count(), 0
     while 2**rounds < total and not state.where(F.col("next").isNotNull()).isEmpty():
         up = state.select(
@@ -153,7 +154,7 @@ def causality(spans: DataFrame) -> DataFrame:
             F.col("_root").alias("root"),
             (F.col("depth") + F.col("_depth")).alias("depth"),
         )
-        state = state.where(F.col("next").isNull()).unionByName(stepped).checkpoint()
+        state = materialise(state.where(F.col("next").isNull()).unionByName(stepped), "causality")
         rounds += 1
     open_end = F.col("next").isNotNull()
     placed = state.select(

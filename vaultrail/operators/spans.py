@@ -31,40 +31,54 @@ EVENT_COLUMNS = [
 ]
 
 
-def is_payload(text: Column) -> Column:
+PAYLOAD_SCHEMA = (
+    "action string, actor variant, actorId string, target variant, targetId string, tenant variant, tenantId string, "
+    "traceId string, spanId string, parentSpanId string, rationale string, toolName string, logicalClock string, "
+    "metadata string, _corrupt string"
+)
+
+
+def read_payload(text: Column) -> Column:
+    """Payload JSON as one struct, parsed once; see :func:`is_payload` for texts that are none."""
+    return F.from_json(text, PAYLOAD_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
+
+
+def is_payload(text: Column, payload: Column) -> Column:
     """Whether a text is a JSON object."""
-    return F.try_parse_json(text).isNotNull() & F.startswith(F.ltrim(text), F.lit("{"))
+    return F.coalesce(payload["_corrupt"].isNull() & F.startswith(F.ltrim(text), F.lit("{")), F.lit(False))
 
 
-def payload_columns(text: Column) -> dict[str, Column]:
-    """Audit event columns of a payload JSON; the metadata text is kept as it stands."""
+def payload_columns(payload: Column) -> dict[str, Column]:
+    """Audit event columns of a parsed payload; the metadata is kept as JSON text."""
 
-    def part(path: str) -> Column:
-        return F.get_json_object(text, f"$.{path}")
+    def inside(name: str, path: str) -> Column:
+        return F.try_variant_get(payload[name], path, "string")
 
     def reference(name: str) -> Column:
-        found = part(f"{name}.id").isNotNull() | part(f"{name}.pii").isNotNull()
-        return F.when(found, F.struct(part(f"{name}.id").alias("id"), part(f"{name}.pii").alias("pii")))
+        identity, personal = inside(name, "$.id"), inside(name, "$.pii")
+        found = identity.isNotNull() | personal.isNotNull()
+        return F.when(found, F.struct(identity.alias("id"), personal.alias("pii")))
 
     def plain(name: str) -> Column:
-        return F.when(reference(name).isNull(), first_present(part(name), part(f"{name}Id")))
+        value = F.when(~F.startswith(F.schema_of_variant(payload[name]), F.lit("OBJECT")), inside(name, "$"))
+        return F.when(reference(name).isNull(), first_present(value, payload[f"{name}Id"]))
 
     return {
         "source": F.lit("explicit"),
-        "action": part("action"),
+        "action": payload["action"],
         "actor": plain("actor"),
         "actor_ref": reference("actor"),
         "target": plain("target"),
         "target_ref": reference("target"),
         "tenant": plain("tenant"),
         "tenant_ref": reference("tenant"),
-        "trace_id": part("traceId"),
-        "span_id": part("spanId"),
-        "parent_span_id": part("parentSpanId"),
-        "rationale": part("rationale"),
-        "tool_name": part("toolName"),
-        "logical_clock": part("logicalClock").try_cast("bigint"),
-        "metadata": F.coalesce(part("metadata"), F.lit("{}")),
+        "trace_id": payload["traceId"],
+        "span_id": payload["spanId"],
+        "parent_span_id": payload["parentSpanId"],
+        "rationale": payload["rationale"],
+        "tool_name": payload["toolName"],
+        "logical_clock": payload["logicalClock"].try_cast("bigint"),
+        "metadata": F.coalesce(payload["metadata"], F.lit("{}")),
     }
 
 
@@ -108,11 +122,11 @@ def span_audit_events(spans: DataFrame, span_events: DataFrame, prefix: str = PR
     ``spans(trace_id, span_id, parent_span_id, attributes)`` and ``span_events(trace_id, span_id, name, attributes)``.
     """
     text = F.col("attributes")[f"{prefix}.payload"]
-    explicit = span_events.where((F.col("name") == f"{prefix}.audit") & is_payload(text))
+    named = span_events.where((F.col("name") == f"{prefix}.audit") & text.isNotNull())
+    parsed = named.withColumn("_payload", read_payload(text))
+    explicit = parsed.where(is_payload(text, F.col("_payload")))
     redirected = explicit.select("trace_id", "span_id").dropDuplicates()
-    own = explicit.select(text.alias("_text")).select(
-        *[c.alias(n) for n, c in payload_columns(F.col("_text")).items()]
-    )
+    own = explicit.select(*[c.alias(n) for n, c in payload_columns(F.col("_payload")).items()])
     annotated = spans.where(_attribute(F.col("attributes"), "action", prefix).isNotNull()).join(
         redirected, ["trace_id", "span_id"], "left_anti"
     )
@@ -130,15 +144,15 @@ def log_audit_events(logs: DataFrame, prefix: str = PREFIX, keep: list[str] | No
     """
     attributes = F.col("attributes")
     text = attributes[f"{prefix}.payload"]
-    explicit = text.isNotNull() & is_payload(text)
     body = F.when(F.col("body").isNotNull(), F.concat(F.lit('{"body":'), quote("body"), F.lit("}")))
     metadata = splice(F.to_json(attributes), body)
     none = F.lit(None).cast("string")
     mapped = generic_columns(attributes, prefix, F.col("trace_id"), F.col("span_id"), none, metadata)
-    parsed = payload_columns(text)
+    parsed = payload_columns(F.col("_payload"))
     chosen = [F.when(F.col("_explicit"), parsed[n]).otherwise(mapped[n]).alias(n) for n in EVENT_COLUMNS]
     usable = F.col("_explicit") | _attribute(attributes, "action", prefix).isNotNull()
-    marked = logs.withColumn("_explicit", F.coalesce(explicit, F.lit(False)))
+    read = logs.withColumn("_payload", read_payload(text))
+    marked = read.withColumn("_explicit", text.isNotNull() & is_payload(text, F.col("_payload")))
     return marked.where(usable).select(*(keep or []), *chosen)
 
 

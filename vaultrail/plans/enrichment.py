@@ -73,9 +73,9 @@ POLICY = """policies AS (SELECT *,
 def telemetry_policies(spark, folder):
     """Presets with overrides, and what they let through of address, place and user agent."""
     none = F.lit(None).cast("struct<browser:string,os:string,type:string>")
-    rows = requests(spark, folder).withColumn("policy", telemetry_policy(*overrides()))
+    rows = KEYRING.attach(requests(spark, folder)).withColumn("policy", telemetry_policy(*overrides()))
     context = F.struct("client.ip", "client.userAgent", "client.location", none.alias("device"))
-    rows = rows.withColumn("kept", apply_policy(context, F.col("policy"), KEYRING.active(spark), F.lit(False), inputs.INGEST_AGENT))
+    rows = rows.withColumn("kept", apply_policy(context, F.col("policy"), F.col("_key"), F.lit(False), inputs.INGEST_AGENT))
     return rows.select(
         "request_id",
         F.col("policy.ip").alias("p_ip"),
@@ -99,10 +99,10 @@ def event_telemetry(spark, folder):
     """An event's own preset changes no field of the base policy; "full" only opens the city."""
     preset, ip, ua, location = overrides()
     base = F.struct(F.lit("anonymize").alias("ip"), F.lit("parse").alias("user_agent"), F.lit(True).alias("location"))
-    rows = requests(spark, folder).withColumn("policy", event_policy(base, preset, ip, ua, location))
+    rows = KEYRING.attach(requests(spark, folder)).withColumn("policy", event_policy(base, preset, ip, ua, location))
     none = F.lit(None).cast("struct<browser:string,os:string,type:string>")
     context = F.struct("client.ip", "client.userAgent", "client.location", none.alias("device"))
-    kept = apply_policy(context, F.col("policy"), KEYRING.active(spark), preset == "full")
+    kept = apply_policy(context, F.col("policy"), F.col("_key"), preset == "full")
     return rows.select("request_id", F.col("policy.ip").alias("p_ip"), kept["location"]["city"].alias("city"))
 
 

@@ -301,7 +301,7 @@ def bundle_gzip(spark, folder):
 )
 def merkle_verify(spark, folder):
     """Proofs over orders; tampered payloads, wrong roots and unreadable paths fail."""
-    return proofs.verify_proofs(inputs.proofs(spark, folder), ["proof_id"]).select("proof_id", "valid")
+    return proofs.verify_proofs(inputs.proofs(spark, folder)).select("proof_id", "valid")
 
 
 BLOCK = 128

@@ -33,9 +33,9 @@ def grants(spark, folder):
 
 def actor_ledger(spark, folder):
     """Ledger index columns with clocks, without sealing."""
-    key = KEYRING.active(spark)
+    key = F.col("_key")
     clocked = ingest.assign_clocks(guarded_audit(spark, folder), [int_chunk("event_id")])
-    return clocked.select(
+    return KEYRING.attach(clocked).select(
         "event_id",
         "created_at",
         "logical_clock",

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 from vaultrail.functions.crypto import Keyring
 from vaultrail.functions.text import epoch_micros, epoch_millis
 from vaultrail.operators.access import checksum
+from vaultrail.session import spread
 
 KEYRING = Keyring({"v1": "k-one", "v2": "k-two"}, "v2")
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def div(column: Column | str, by: int) -> Column:

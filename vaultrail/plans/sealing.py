@@ -51,10 +51,9 @@ SEARCHED = ["usr_7", "usr_42"]
 def blind_index_search(spark, folder):
     """Events of two actors, found by index although the signups were written under an older key."""
     events = audit(spark, folder)
-    old = Keyring(KEYRING.keys, "v1").active(spark)
-    who = ingest.indexed_identity("actor")
-    index = F.when(F.col("action") == "event.signup", blind_index(who, old)).otherwise(blind_index(who, KEYRING.active(spark)))
-    ledger = events.select("action", index.alias("actor_index"))
+    keyed = KEYRING.attach(Keyring(KEYRING.keys, "v1").attach(events, "_old"))
+    key = F.when(F.col("action") == "event.signup", F.col("_old")).otherwise(F.col("_key"))
+    ledger = keyed.select("action", blind_index(ingest.indexed_identity("actor"), key).alias("actor_index"))
     return search.search_literals(ledger, KEYRING, "actor_index", SEARCHED).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -64,8 +63,8 @@ def blind_index_search(spark, folder):
       {hmac('tenant')} AS tenant_index, CASE WHEN trace_id IS NOT NULL THEN {hmac("trace_id")} END AS trace_index FROM ids"""
 )
 def blind_index_columns(spark, folder):
-    key = KEYRING.active(spark)
-    return audit(spark, folder).select(
+    key = F.col("_key")
+    return KEYRING.attach(audit(spark, folder)).select(
         "event_id",
         blind_index(ingest.indexed_identity("actor"), key).alias("actor_index"),
         blind_index("action", key).alias("action_index"),
@@ -83,7 +82,7 @@ def blind_index_columns(spark, folder):
 def keyring_indexes(spark, folder):
     """One index per key for every tenant."""
     tenants = audit(spark, folder).select("tenant").dropDuplicates()
-    tokens = tenants.withColumn("tokens", blind_indexes("tenant", KEYRING.each(spark)))
+    tokens = KEYRING.attach_all(tenants).withColumn("tokens", blind_indexes("tenant", F.col("_keys")))
     return tokens.select("tenant", F.col("tokens")[0].alias("index_v1"), F.col("tokens")[1].alias("index_v2"))
 
 
@@ -127,12 +126,12 @@ def redact_reference(spark, folder):
     user = F.col("user_id")
     ref = F.struct(inputs.text("id_", user).alias("id"), inputs.text("mail_", user, "@example.com").alias("pii"))
     events = audit(spark, folder).withColumn("actor_ref", F.when(F.col("event_id") % 2 == 0, ref))
-    return events.select(
+    return KEYRING.attach(events).select(
         "event_id",
         ingest.stored_identity("actor", policy).alias("actor"),
         ingest.stored_identity("target", policy).alias("target"),
         ingest.stored_identity("tenant", policy, None).alias("tenant"),
-        blind_index(ingest.indexed_identity("actor"), KEYRING.active(spark)).alias("actor_index"),
+        blind_index(ingest.indexed_identity("actor"), F.col("_key")).alias("actor_index"),
     )
 
 
@@ -162,12 +161,6 @@ def metadata_guard(spark, folder):
     )
 
 
-DOC_TYPE = T._parse_datatype_string(
-    "body string, email string, owner struct<id:string,pii:string>, deep struct<a:struct<b:struct<c:struct<d:bigint>>>>, "
-    "tags array<string>"
-)
-
-
 @query(
     """SELECT doc_id, CASE WHEN length(text) > 1000 THEN substr(text, 1, 1000) || '...' ELSE text END AS body,
       '[REDACTED:email]' AS email, '[REF:o_' || doc_id || ']' AS owner,
@@ -186,7 +179,9 @@ def metadata_guard_typed(spark, folder):
         deep.alias("deep"),
         F.array("lang", "source").alias("tags"),
     )
-    guarded = docs.select("doc_id", typed.alias("m")).select("doc_id", guard_struct("m", DOC_TYPE, DOC_RULES).alias("g"))
+    docs = docs.select("doc_id", typed.alias("m"))
+    kind = docs.schema["m"].dataType
+    guarded = docs.select("doc_id", guard_struct("m", kind, DOC_RULES).alias("g"))
     part = lambda name: F.get_json_object("g.metadata", f"$.{name}").alias(name)
     return guarded.select(
         "doc_id", part("body"), part("email"), part("owner"), part("deep"), part("tags"), "g.truncated_depth", "g.truncated_string"
@@ -290,11 +285,10 @@ def agent_context_roundtrip(spark, folder):
 def keyring_rotation_report(spark, folder):
     """Rows per key while a rotation is under way, and how many of them can be read."""
     events = audit(spark, folder)
-    old, new = Keyring(KEYRING.keys, "v1").active(spark), KEYRING.active(spark)
-    sealed = F.when(F.col("event_id") % 2 == 0, seal(F.col("metadata"), F.col("event_id"), old)).otherwise(
-        seal(F.col("metadata"), F.col("event_id"), new)
-    )
-    rows = events.select(sealed.alias("payload"), F.lit(None).cast("string").alias("agent_context"), "metadata")
+    keyed = KEYRING.attach(Keyring(KEYRING.keys, "v1").attach(events, "_old"), "_new")
+    keyed = keyed.withColumn("_key", F.when(F.col("event_id") % 2 == 0, F.col("_old")).otherwise(F.col("_new")))
+    sealed = seal(F.col("metadata"), F.col("event_id"), F.col("_key"))
+    rows = keyed.select(sealed.alias("payload"), F.lit(None).cast("string").alias("agent_context"), "metadata")
     opened = search.open_ledger(rows, KEYRING)
     return opened.groupBy(search.sealed_key_id("payload").alias("key_id")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("opened") == F.col("metadata")).alias("readable")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the jobs rely on. All of them may be changed on a live session.
 RUNTIME_CONF = {
@@ -43,7 +43,13 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/vaultrail/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df, label: str, partition_by: list[str] | None = None):
+def spread(df: DataFrame) -> DataFrame:
+    """One split per core for a table that arrives in fewer, as small files do; other tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where one result feeds several sinks, so that it is computed once and stays readable when
