@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import sha256_hex
 from vaultrail.functions.jsontext import object_of, quote
+from vaultrail.functions.numbers import floor_div
 from vaultrail.functions.text import first_present
 from vaultrail.operators.enrich import tag_agent_events
 from vaultrail.operators.ordered import neighbour, number_rows
@@ -241,7 +242,7 @@ def evidence_bundles(records: DataFrame, runs: DataFrame, alibis: DataFrame | No
     the next records, so no run has to fit a task; ``part`` and ``parts`` say where a row belongs. A run without records
     has one part with an empty list.
     """
-    part = F.floor((F.col("seq") - 1) / F.lit(part_records)).cast("bigint")
+    part = floor_div(F.col("seq") - 1, part_records)
     texts = (
         records.select("run_id", part.alias("part"), "seq", record_json().alias("text"))
         .groupBy("run_id", "part")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vaultrail.functions.jsontext import object_of, quote, splice
+from vaultrail.functions.numbers import floor_div
 from vaultrail.functions.text import first_present, present
 
 # Compliance actions with their SOC 2 and ISO 27001 controls.
@@ -173,7 +174,7 @@ def active_spans(events: DataFrame, spans: DataFrame, bucket_micros: int = 3_600
     """
 
     def bucket(name: str) -> Column:
-        return F.floor(F.col(name) / F.lit(bucket_micros)).cast("bigint")
+        return floor_div(name, bucket_micros)
 
     names = ["trace_id", "span_id", "parent_span_id"]
     covered = spans.select(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vaultrail.functions import metadata as meta
 from vaultrail.functions.crypto import Keyring, blind_index, seal, sealed_length, sha256_hex
 from vaultrail.functions.jsontext import splice
+from vaultrail.functions.numbers import floor_div
 from vaultrail.functions.requests import PRESETS, apply_policy, event_policy
 from vaultrail.functions.text import IDENTITY_LIMIT, TEXT_LIMIT, first_present, present, truncate, utf16_length
 from vaultrail.operators.ordered import logical_clock, number_rows
@@ -273,7 +274,7 @@ def batch_counts(events: DataFrame, batch: str = "batch_id") -> DataFrame:
 def flush_groups(events: DataFrame, position: str = "position", size: int = BATCH_CAP) -> DataFrame:
     """Number of the flush a buffered row leaves with; flushes hold at most the batch cap."""
     step = min(size or BATCH_CAP, BATCH_CAP)
-    return events.withColumn("flush", F.floor((F.col(position) - 1) / F.lit(step)).cast("bigint"))
+    return events.withColumn("flush", floor_div(F.col(position) - 1, step))
 
 
 def dead_letters(rejected: DataFrame, payload: Column, error: Column, at: Column) -> DataFrame:

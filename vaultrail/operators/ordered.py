@@ -16,12 +16,14 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vaultrail.functions.numbers import floor_div
+
 # Rows per chunk when an order column is a unique integer.
 CHUNK_ROWS = 100_000
 
 
 def int_chunk(name: str, rows: int = CHUNK_ROWS) -> Column:
-    return F.floor(F.col(name) / F.lit(rows)).cast("bigint")
+    return floor_div(name, rows)
 
 
 def _with_chunks(df: DataFrame, chunk: list[Column]) -> tuple[DataFrame, list[str]]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import GENESIS, sha256_hex
 from vaultrail.functions.jsontext import object_of, quote
+from vaultrail.functions.numbers import floor_div
 from vaultrail.functions.text import first_present
 
 # --- Merkle proofs ---------------------------------------------------------------------------------------------------
@@ -33,7 +34,7 @@ def _fold_ordered(start: Column, path: Column, order: Column) -> Column:
     def step(acc: Column, sibling: Column) -> Column:
         right = F.sha2(F.concat(acc["h"], sibling), 256)
         left = F.sha2(F.concat(sibling, acc["h"]), 256)
-        return F.struct(F.when(acc["o"] % 2 == 0, right).otherwise(left).alias("h"), F.floor(acc["o"] / 2).alias("o"))
+        return F.struct(F.when(acc["o"] % 2 == 0, right).otherwise(left).alias("h"), F.shiftright(acc["o"], 1).alias("o"))
 
     return F.aggregate(path, F.struct(start.alias("h"), order.cast("bigint").alias("o")), step, lambda acc: acc["h"])
 
@@ -67,7 +68,7 @@ LEVELS = 4
 
 def _fold_blocks(entries: DataFrame, block_size: int) -> DataFrame:
     """Chain every block from genesis: ``chain = sha256(previous chain, hash)``; positions count from 0."""
-    block = F.floor(F.col("pos") / F.lit(block_size)).cast("bigint")
+    block = floor_div("pos", block_size)
     grouped = (
         entries.select("project_id", block.alias("block"), "pos", "hash")
         .groupBy("project_id", "block")
@@ -123,7 +124,7 @@ def check_chain(chain: DataFrame, block_size: int = BLOCK) -> DataFrame:
     A link is checked against its stored predecessor alone, so the check needs no fold: any change to a hash or a chain
     value shows at that entry or the next.
     """
-    block = F.floor((F.col("seq") - 1) / F.lit(block_size)).cast("bigint")
+    block = floor_div(F.col("seq") - 1, block_size)
     inside = Window.partitionBy("project_id", "_block").orderBy("seq")
     linked = chain.select("project_id", "seq", "payload_hash", "chain_hash", block.alias("_block")).withColumns(
         {"_prev": F.lag("chain_hash").over(inside), "_prev_seq": F.lag("seq").over(inside)}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import Keyring, blind_indexes, open_sealed, sealed_key_id
@@ -121,6 +121,14 @@ def referenced_ids(rows: DataFrame, field: str, key: str = "ref_id") -> DataFram
 # --- causality -------------------------------------------------------------------------------------------------------
 
 
+def _write_state(state: DataFrame) -> tuple[DataFrame, int, int]:
+    """Write one round's pointers; also the number of rows still pointing somewhere, and of all rows."""
+    seen = Observation()
+    counts = [F.count_if(F.col("next").isNotNull()).alias("open"), F.count(F.lit(1)).alias("rows")]
+    written = materialise(state.observe(seen, *counts), "causality")
+    return written, seen.get["open"], seen.get["rows"]
+
+
 def causality(spans: DataFrame) -> DataFrame:
     """Root and depth of every span in its tree of span and parent span.
 
@@ -138,23 +146,23 @@ def causality(spans: DataFrame) -> DataFrame:
         F.when(has_parent, F.col("parent_span_id")).otherwise(F.col("span_id")).alias("root"),
         F.when(has_parent, F.lit(1)).otherwise(F.lit(0)).cast("bigint").alias("depth"),
     )
-    state = materialise(state, "causality")
-    total, rounds = state.count(), 0
-    while 2**rounds < total and not state.where(F.col("next").isNotNull()).isEmpty():
+    state, open_rows, total = _write_state(state)
+    rounds = 0
+    while open_rows and 2**rounds < total:
         up = state.select(
             F.col("span_id").alias("next"),
             F.col("next").alias("_next"),
             F.col("root").alias("_root"),
             F.col("depth").alias("_depth"),
         )
-        open_rows = state.where(F.col("next").isNotNull()).join(up, "next")
-        stepped = open_rows.select(
+        pending = state.where(F.col("next").isNotNull()).join(up, "next")
+        stepped = pending.select(
             "span_id",
             F.col("_next").alias("next"),
             F.col("_root").alias("root"),
             (F.col("depth") + F.col("_depth")).alias("depth"),
         )
-        state = materialise(state.where(F.col("next").isNull()).unionByName(stepped), "causality")
+        state, open_rows, total = _write_state(state.where(F.col("next").isNull()).unionByName(stepped))
         rounds += 1
     open_end = F.col("next").isNotNull()
     placed = state.select(

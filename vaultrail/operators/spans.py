@@ -123,10 +123,12 @@ def span_audit_events(spans: DataFrame, span_events: DataFrame, prefix: str = PR
     """
     text = F.col("attributes")[f"{prefix}.payload"]
     named = span_events.where((F.col("name") == f"{prefix}.audit") & text.isNotNull())
-    parsed = named.withColumn("_payload", read_payload(text))
-    explicit = parsed.where(is_payload(text, F.col("_payload")))
-    redirected = explicit.select("trace_id", "span_id").dropDuplicates()
-    own = explicit.select(*[c.alias(n) for n, c in payload_columns(F.col("_payload")).items()])
+    parsed = named.select("trace_id", "span_id", text.alias("_text"), read_payload(text).alias("_payload"))
+    payload = F.col("_payload")
+    # Exploding one or no event instead of filtering: a filter would be pushed down with its own copy of the parsing.
+    event = F.struct(*[c.alias(n) for n, c in payload_columns(payload).items()])
+    own = parsed.select(F.explode(F.when(is_payload(F.col("_text"), payload), F.array(event))).alias("e")).select("e.*")
+    redirected = named.where(is_payload(text, read_payload(text))).select("trace_id", "span_id").dropDuplicates()
     annotated = spans.where(_attribute(F.col("attributes"), "action", prefix).isNotNull()).join(
         redirected, ["trace_id", "span_id"], "left_anti"
     )

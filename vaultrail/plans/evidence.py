@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.jsontext import object_of, quote
 from vaultrail.functions.metadata import canonical_json, select_arguments
+from vaultrail.functions.numbers import floor_div
 from vaultrail.operators import agents, proofs
 from vaultrail.operators.ordered import int_chunk, number_rows
 from vaultrail.plans import inputs
@@ -309,7 +310,7 @@ BLOCK = 128
 
 def entries(spark, folder):
     """Ledger entries numbered per project by day and user."""
-    order_chunk = [F.col("day"), inputs.div("user_id", 100_000)]
+    order_chunk = [F.col("day"), floor_div("user_id", 100_000)]
     return number_rows(inputs.run_days(spark, folder), ["project_id"], ["day", "user_id"], order_chunk, "seq")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import Keyring
+from vaultrail.functions.numbers import floor_div
 from vaultrail.functions.text import epoch_micros, epoch_millis
 from vaultrail.operators.access import checksum
 from vaultrail.session import spread
@@ -20,11 +21,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
-def div(column: Column | str, by: int) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return F.floor(column / F.lit(by)).cast("bigint")
-
-
 def text(*parts) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
 
@@ -42,12 +38,12 @@ def audit(spark: SparkSession, folder: str) -> DataFrame:
         text("event.", F.col("event_type")).alias("action"),
         text("obj_", k).alias("target"),
         text("t_", user % 5).alias("tenant"),
-        F.when(e % 3 != 0, text("tr_", div(e, 7))).alias("trace_id"),
+        F.when(e % 3 != 0, text("tr_", floor_div(e, 7))).alias("trace_id"),
         F.when(e % 2 == 0, text("sp_", e)).alias("span_id"),
         F.when(e % 4 == 0, text("sp_", e - 1)).alias("parent_span_id"),
-        text("r_", div(e, 7)).alias("request_id"),
+        text("r_", floor_div(e, 7)).alias("request_id"),
         text("run_", user).alias("run_id"),
-        text("b_", div(e, 130)).alias("batch_id"),
+        text("b_", floor_div(e, 130)).alias("batch_id"),
         text('{"k":', k, "}").alias("metadata"),
         F.when(F.col("event_type") == "error", text("because ", k)).alias("rationale"),
         F.when(F.col("event_type") == "purchase", F.lit("checkout")).alias("tool_name"),
@@ -76,7 +72,7 @@ def _pick(values: list[str], index: Column) -> Column:
 
 def requests(spark: SparkSession, folder: str) -> DataFrame:
     """One request per seven events, with headers by modular rules."""
-    numbers = table(spark, folder, "events").select(div("event_id", 7).alias("r")).dropDuplicates()
+    numbers = table(spark, folder, "events").select(floor_div("event_id", 7).alias("r")).dropDuplicates()
     r = F.col("r")
     ip = text("10.", r % 256, ".", (r * 3) % 256, ".", (r * 7) % 256)
     cf, vercel = r % 4 == 0, r % 4 == 2
@@ -144,7 +140,7 @@ def spans(spark: SparkSession, folder: str) -> DataFrame:
     ]
     every = F.map_from_arrays(F.array(*[F.lit(n) for n, _ in named]), F.array(*[v for _, v in named]))
     return table(spark, folder, "orders").select(
-        text("tr_", div(o, 50)).alias("trace_id"),
+        text("tr_", floor_div(o, 50)).alias("trace_id"),
         text("sp_", o).alias("span_id"),
         F.when(o % 50 != 0, text("sp_", o - 1)).alias("parent_span_id"),
         F.map_filter(every, lambda _, v: v.isNotNull()).alias("attributes"),
@@ -156,10 +152,10 @@ def span_events(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines as span events: readable payloads, broken ones and other events, by return flag."""
     o, flag = F.col("l_orderkey"), F.col("l_returnflag")
     good = text('{"action":"line.', flag, '","actor":"supp_', F.col("l_suppkey"), '","target":{"id":"p_', F.col("l_partkey"),
-                '","pii":"part ', F.col("l_partkey"), '"},"traceId":"tr_', div(o, 50), '","metadata":{"line":', F.col("l_linenumber"), "}}")
+                '","pii":"part ', F.col("l_partkey"), '"},"traceId":"tr_', floor_div(o, 50), '","metadata":{"line":', F.col("l_linenumber"), "}}")
     payload = F.when(flag == "R", good).otherwise(text('{"action":"line.', flag))
     return table(spark, folder, "lineitem").select(
-        text("tr_", div(o, 50)).alias("trace_id"),
+        text("tr_", floor_div(o, 50)).alias("trace_id"),
         text("sp_", o).alias("span_id"),
         F.when(flag == "N", "log").otherwise("vaultrail.audit").alias("name"),
         F.create_map(F.lit("vaultrail.payload"), payload).alias("attributes"),
@@ -190,7 +186,7 @@ def timed_spans(spark: SparkSession, folder: str) -> DataFrame:
             (begin + ((e * 37) % 600 + 1) * 60_000_000).alias("end"),
             text("tr_", e).alias("trace_id"),
             text("sp_", e).alias("span_id"),
-            text("sp_", div(e, 2)).alias("parent_span_id"),
+            text("sp_", floor_div(e, 2)).alias("parent_span_id"),
         )
     )
 
@@ -238,7 +234,7 @@ def proofs(spark: SparkSession, folder: str) -> DataFrame:
     o = F.col("o_orderkey")
     payload = text('{"o":', o, ',"c":', F.col("o_custkey"), "}")
     leaves = table(spark, folder, "orders").select(
-        o.alias("proof_id"), div(o, 8).alias("tree"), (o % 8).cast("int").alias("leaf"), payload.alias("payload")
+        o.alias("proof_id"), floor_div(o, 8).alias("tree"), (o % 8).cast("int").alias("leaf"), payload.alias("payload")
     )
     # A tree holds at most eight leaves, since it is the key divided by eight.
     trees = leaves.groupBy("tree").agg(
@@ -271,7 +267,7 @@ def proofs(spark: SparkSession, folder: str) -> DataFrame:
 
 def run_days(spark: SparkSession, folder: str) -> DataFrame:
     """Ledger entries: one bundle hash per user and day, in five projects."""
-    day = F.floor(epoch_millis("ts") / F.lit(86_400_000)).cast("bigint")
+    day = floor_div(epoch_millis("ts"), 86_400_000)
     return (
         table(spark, folder, "events")
         .groupBy("user_id", day.alias("day"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vaultrail.functions.numbers import floor_div
 from vaultrail.operators import memory
 from vaultrail.plans import inputs
 from vaultrail.plans.oracle import MEMORY, with_
@@ -16,7 +17,7 @@ AS_OF = 700_000
 
 
 def versions(spark, folder):
-    return memory.versions(inputs.memory_changes(spark, folder), [F.floor(F.col("ts") / F.lit(100_000)).cast("bigint")])
+    return memory.versions(inputs.memory_changes(spark, folder), [floor_div("ts", 100_000)])
 
 
 @query(with_(MEMORY) + "SELECT id, valid_from, valid_to, closed_by, label FROM versions")

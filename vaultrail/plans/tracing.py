@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vaultrail.functions.jsontext import object_of, quote
+from vaultrail.functions.numbers import floor_div
 from vaultrail.operators import search
 from vaultrail.operators import spans as tracing
 from vaultrail.operators.ordered import int_chunk, logical_clock
@@ -60,7 +61,7 @@ def log_records(spark, folder):
     every = F.map_from_arrays(F.array(*[F.lit(n) for n, _ in pairs]), F.array(*[v for _, v in pairs]))
     logs = inputs.table(spark, folder, "events").select(
         "event_id",
-        inputs.text("tr_", inputs.div("event_id", 7)).alias("trace_id"),
+        inputs.text("tr_", floor_div("event_id", 7)).alias("trace_id"),
         inputs.text("sp_", e).alias("span_id"),
         F.col("props").alias("body"),
         F.map_filter(every, lambda _, v: v.isNotNull()).alias("attributes"),

@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Hashing and sealing cost far more per byte than reading, so small partitions are worth a core of their own.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
