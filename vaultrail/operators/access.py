@@ -78,15 +78,9 @@ def grant_coverage(ledger: DataFrame, grants: DataFrame) -> DataFrame:
         F.max("logical_clock").alias("last_clock"),
     ]
     scoped = ["actor", "target", "tenant"]
-    per_index = None
-    for name in scoped:
-        part = (
-            ledger.groupBy(F.col(f"{name}_index").alias("token"))
-            .agg(*measures)
-            .where(F.col("token").isNotNull())
-            .withColumn("scope", F.lit(name))
-        )
-        per_index = part if per_index is None else per_index.unionByName(part)
+    tokens = F.array(*[F.struct(F.lit(n).alias("scope"), F.col(f"{n}_index").alias("token")) for n in scoped])
+    indexed = ledger.select("logical_clock", F.explode(tokens).alias("i")).where(F.col("i.token").isNotNull())
+    per_index = indexed.groupBy("i.scope", "i.token").agg(*measures)
     chosen = F.col("actor_indexes")
     for name in ("target", "tenant"):
         chosen = F.when(F.col("scope") == name, F.col(f"{name}_indexes")).otherwise(chosen)
@@ -96,13 +90,9 @@ def grant_coverage(ledger: DataFrame, grants: DataFrame) -> DataFrame:
         F.min("first_clock").alias("first_clock"),
         F.max("last_clock").alias("last_clock"),
     )
-    everything = ledger.agg(*measures)
-    wide = grants.where(F.col("scope").isin("all", "auditor")).select(
-        "grant_id",
-        "scope",
-        *[everything.select(c).scalar().alias(c) for c in ("rows", "first_clock", "last_clock")],
-    )
-    return matched.unionByName(wide)
+    everything = ledger.agg(F.struct(*measures).alias("all")).select("all").scalar()
+    wide = grants.where(F.col("scope").isin("all", "auditor")).withColumn("all", everything)
+    return matched.unionByName(wide.select("grant_id", "scope", "all.rows", "all.first_clock", "all.last_clock"))
 
 
 # --- purge -----------------------------------------------------------------------------------------------------------

@@ -79,23 +79,6 @@ def neighbour(
     return joined.withColumn(out, carried).drop("_value", "_edge", "_carried", *names)
 
 
-def last_before(
-    df: DataFrame, keys: list[str], order: list[str], chunk: list[Column], value: Column, out: str
-) -> DataFrame:
-    """Last non-null ``value`` up to and including each row."""
-    data, names = _with_chunks(df.withColumn("_value", value), chunk)
-    upto = Window.partitionBy(*keys, *names).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = data.withColumn(out, F.last("_value", ignorenulls=True).over(upto))
-    rank = F.struct(*order)
-    ends = data.groupBy(*keys, *names).agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), rank)).alias("_end")
-    )
-    before = Window.partitionBy(*keys).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.withColumn("_carried", F.last("_end", ignorenulls=True).over(before))
-    joined = _attach(local, ends, keys + names, ["_carried"])
-    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_carried"))).drop("_value", "_carried", *names)
-
-
 def logical_clock(
     df: DataFrame,
     scope: list[str],

@@ -349,9 +349,9 @@ def dead_letters(spark, folder):
     + f"""SELECT strftime(created_at, '%Y-%m-%d') AS day, count(*) AS rows, count(DISTINCT {hmac('who')}) AS actors FROM ids GROUP BY 1"""
 )
 def ledger_append(spark, folder):
-    """Seal, append to a stored ledger and read it back by day."""
+    """Guard, seal and append events to a stored ledger, and read it back by day."""
     path = work_folder(spark, "ledger")
-    store.append(sealed_audit(spark, folder), path)
+    store.ingest_events(inputs.audit(spark, folder), path, KEYRING, [int_chunk("event_id")])
     rows = store.read_rows(spark, path)
     return rows.groupBy(F.date_format("day", "yyyy-MM-dd").alias("day")).agg(
         F.count(F.lit(1)).alias("rows"), F.countDistinct("actor_index").alias("actors")

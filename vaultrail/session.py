@@ -12,6 +12,11 @@ RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join even where its partitioning would have served the next step.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Windows and aggregates over (key, chunk) must spread a key over its chunks. Without this, rows that are already
+    # partitioned by the key alone would be left together, and a hot key with them.
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hashing and sealing cost far more per byte than reading, so small partitions are worth a core of their own.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",

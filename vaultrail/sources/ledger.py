@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaultrail.functions.crypto import Keyring
 from vaultrail.operators import ingest
 from vaultrail.session import materialise
 
@@ -14,6 +15,24 @@ def read_events(spark: SparkSession, path: str, file_format: str = "parquet") ->
     return spark.read.schema(schema).format(file_format).load(path)
 
 
+def ingest_events(
+    events: DataFrame,
+    path: str,
+    keyring: Keyring,
+    chunk: list[Column],
+    policy: ingest.IngestPolicy = ingest.IngestPolicy(),
+    base: Column | None = None,
+    letters=None,
+) -> DataFrame:
+    """Audit events into the ledger: guards, logical clocks, sealing, append; returns the counts.
+
+    Clocks need the guarded rows twice and metadata guards may run Python, so the guarded table is written first.
+    """
+    guarded = materialise(ingest.guard_events(ingest.with_event_columns(events), policy), "guarded")
+    clocked = ingest.assign_clocks(guarded, chunk, base)
+    return append(ingest.seal_events(clocked, keyring, policy), path, letters)
+
+
 def append(sealed: DataFrame, path: str, letters=None) -> DataFrame:
     """Append sealed events to the ledger below ``path`` and return accepted and rejected counts.
 
