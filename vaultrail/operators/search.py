@@ -39,8 +39,10 @@ def search_values(ledger: DataFrame, keyring: Keyring, index: str, values: DataF
 def resolve_claims(ledger: DataFrame, blobs: DataFrame) -> DataFrame:
     """Put the stored sealed text back into claim-checked rows.
 
-    Only flagged rows take part in the join; the others pass by without a shuffle.
+    Only flagged rows take part in the join; the others pass by without a shuffle. A blob stored several times counts
+    once.
     """
+    blobs = blobs.select("hash", "blob").dropDuplicates(["hash"])
     inline = ledger.where(~F.col("is_claim_check"))
     checked = ledger.where(F.col("is_claim_check"))
     found = checked.join(blobs, checked["payload"] == blobs["hash"], "left")
