@@ -125,7 +125,7 @@ def seal(text: Column, row_id: Column, key: Column) -> Column:
     The IV is derived from the row id and the text, so a retried task or a second action over the same plan
     produces the same bytes; two rows with different ids never share an IV.
     """
-    message = F.encode(F.concat_ws("\n", row_id.cast("string"), text), "UTF-8")
+    message = F.encode(F.concat(row_id.cast("string"), F.lit("\n"), text), "UTF-8")
     iv = F.substring(F.unhex(_hmac(key.getField("iv_ipad"), key.getField("iv_opad"), message)), 1, IV_BYTES)
     sealed = F.aes_encrypt(F.encode(text, "UTF-8"), key.getField("data_key"), F.lit("GCM"), F.lit("DEFAULT"), iv)
     return F.concat(key.getField("key_id"), F.lit(":"), base64_line(sealed))

@@ -204,7 +204,8 @@ def guard(metadata: Column | str, rules: MetadataRules = MetadataRules()) -> Col
     def run(batch: pa.Array) -> pa.Array:
         return pa.array([guard_text(text, rules) for text in batch.to_pylist()], _GUARDED_ARROW)
 
-    return run(col(metadata))
+    # A later filter on the flags must not be pushed down together with a second run of the function.
+    return run.asNondeterministic()(col(metadata))
 
 
 def canonical_json(metadata: Column | str) -> Column:

@@ -29,6 +29,10 @@ AGENT_CONTROLS = [
 ]
 
 
+# Fixed value: metadata limit of agent events, in characters.
+AGENT_METADATA_LIMIT = 5_242_880
+
+
 def compliance_controls(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(COMPLIANCE_CONTROLS, "action string, soc2_control string, iso27001 string")
 
@@ -59,7 +63,19 @@ def tag_agent_events(events: DataFrame, kind: str = "kind", fields: str = "field
     controls = agent_controls(events.sparkSession).withColumnRenamed("kind", kind)
     tagged = events.join(F.broadcast(controls), kind)
     tags = F.to_json(F.struct("eu_ai_act", "nist_ai_rmf", "soc2_control", "iso27001"))
-    return tagged.withColumn("metadata", splice("metadata", fields, tags))
+    limit = F.lit(AGENT_METADATA_LIMIT).cast("bigint")
+    return tagged.withColumns({"metadata": splice("metadata", fields, tags), "max_meta": limit})
+
+
+def move_agent_context(events: DataFrame, fields: str = "fields") -> DataFrame:
+    """Put rationale, tool name, clock and attestation of agent events among their ``fields``.
+
+    For agent events these are metadata: they enter neither the sealed agent context nor the clock.
+    """
+    moved = {"rationale": quote("rationale"), "toolName": quote("tool_name"), "logicalClock": F.col("logical_clock").cast("string")}
+    parts = object_of(*moved.items(), ("attestation", F.to_json("attestation")))
+    none = {n: F.lit(None).cast(events.schema[n].dataType) for n in ("rationale", "tool_name", "logical_clock", "attestation")}
+    return events.withColumn(fields, splice(fields, parts)).withColumns(none)
 
 
 def merge_context(outer: Column, inner: Column) -> Column:

@@ -45,7 +45,9 @@ AUDIT_EVENT = {
     "rationale": "string",
     "tool_name": "string",
     "logical_clock": "bigint",
-    "attestation": "string",
+    "attestation": (
+        "struct<challenge:string,signature:string,authenticatorData:string,clientDataJSON:string,credentialId:string>"
+    ),
     "request_id": "string",
     "max_meta": "bigint",
 }
@@ -195,7 +197,7 @@ def seal_events(events: DataFrame, keyring: Keyring, policy: IngestPolicy = Inge
             "is_claim_check": sealed_length(F.col("_payload"), key) > CLAIM_CHECK_CHARS,
             "payload": seal(F.col("_payload"), F.col("event_id"), key),
             "agent_context": F.when(agent != "{}", seal(agent, agent_id, key)),
-            "attestation_proof": F.col("attestation"),
+            "attestation_proof": F.to_json("attestation"),
         }
     ).drop("_payload", "_context", "_key")
 
@@ -242,6 +244,23 @@ def claim_blobs(sealed: DataFrame) -> DataFrame:
     return large.select(sha256_hex("payload").alias("hash"), F.col("payload").alias("blob")).dropDuplicates(["hash"])
 
 
+def reseal(opened: DataFrame, keyring: Keyring) -> DataFrame:
+    """Seal opened ledger rows again under the active key, the last step of a key rotation.
+
+    Takes rows of :func:`vaultrail.operators.search.open_ledger` with claims resolved. A row that could not be opened
+    keeps its sealed text. Claim checks are decided anew, since the hash of a sealed text changes with its key; split
+    the result with :func:`accepted_rows` and :func:`claim_blobs`.
+    """
+    key = F.col("_key")
+    agent_id = F.concat(F.lit("agent:"), F.col("event_id").cast("string"))
+    renewed = {
+        "payload": F.coalesce(seal(F.col("opened"), F.col("event_id"), key), "payload"),
+        "agent_context": F.coalesce(seal(F.col("agent"), agent_id, key), "agent_context"),
+    }
+    large = {"is_claim_check": F.length("payload") > CLAIM_CHECK_CHARS, "reject_reason": F.lit(None).cast("string")}
+    return keyring.attach(opened).withColumns(renewed).withColumns(large).drop("_key", "opened", "agent")
+
+
 def rejected_rows(sealed: DataFrame) -> DataFrame:
     return sealed.where(F.col("reject_reason").isNotNull())
 

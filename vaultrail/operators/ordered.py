@@ -79,21 +79,13 @@ def neighbour(
     return joined.withColumn(out, carried).drop("_value", "_edge", "_carried", *names)
 
 
-def logical_clock(
-    df: DataFrame,
-    scope: list[str],
-    order: list[str],
-    chunk: list[Column],
-    incoming: Column,
-    base: Column,
-    out: str = "logical_clock",
-) -> DataFrame:
-    """Lamport clock per scope: ``clock = max(clock, incoming or 0) + 1``, row after row, starting at ``base``.
+def clock_terms(df: DataFrame, scope: list[str], order: list[str], chunk: list[Column], incoming: Column) -> DataFrame:
+    """Add ``clock_position`` and ``clock_lift``, from which :func:`clock_value` gives the Lamport clock of a row.
 
-    In closed form the n-th clock is ``n + max(base, max over j <= n of (incoming_j - j + 1))``, which needs running
-    maxima only. ``base`` must be the same for all rows of a scope.
+    The fold ``clock = max(clock, incoming or 0) + 1`` from ``base`` has the closed form
+    ``n + max(base, max over j <= n of (incoming_j - j + 1))`` for the n-th row, which needs running maxima only.
     """
-    data, names = _with_chunks(df.withColumns({"_in": F.coalesce(incoming, F.lit(0)).cast("bigint"), "_base": base}), chunk)
+    data, names = _with_chunks(df.withColumn("_in", F.coalesce(incoming, F.lit(0)).cast("bigint")), chunk)
     inside = Window.partitionBy(*scope, *names).orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, 0)
 
@@ -104,12 +96,33 @@ def logical_clock(
     local = local_terms(data).withColumn("_high", F.max("_lift").over(upto))
     narrow = data.select(*scope, *names, *[c for c in order if c not in scope + names], "_in")
     parts = local_terms(narrow).groupBy(*scope, *names).agg(F.count(F.lit(1)).alias("_rows"), F.max("_lift").alias("_top"))
-    along = Window.partitionBy(*scope).orderBy(*names)
-    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*scope).orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
     parts = parts.withColumn("_prior", F.max(F.col("_top") - F.col("_offset")).over(before))
     joined = _attach(local, parts, scope + names, ["_offset", "_prior"])
-    start = F.coalesce(F.col("_base"), F.lit(0)).cast("bigint")
-    lift = F.greatest(start, F.col("_prior"), F.col("_high") - F.col("_offset"))
-    clock = F.col("_offset") + F.col("_n") + lift
-    return joined.withColumn(out, clock).drop("_in", "_base", "_n", "_lift", "_high", "_offset", "_prior", *names)
+    return joined.withColumns(
+        {
+            "clock_position": F.col("_offset") + F.col("_n"),
+            "clock_lift": F.greatest(F.col("_prior"), F.col("_high") - F.col("_offset")),
+        }
+    ).drop("_in", "_n", "_lift", "_high", "_offset", "_prior", *names)
+
+
+def clock_value(base: Column) -> Column:
+    """Lamport clock of a row with clock terms; ``base`` must be the same for all rows of a scope."""
+    start = F.coalesce(base, F.lit(0)).cast("bigint")
+    return F.col("clock_position") + F.greatest(start, F.col("clock_lift"))
+
+
+def logical_clock(
+    df: DataFrame,
+    scope: list[str],
+    order: list[str],
+    chunk: list[Column],
+    incoming: Column,
+    base: Column,
+    out: str = "logical_clock",
+) -> DataFrame:
+    """Lamport clock per scope, starting at ``base``."""
+    terms = clock_terms(df.withColumn("_base", base), scope, order, chunk, incoming)
+    return terms.withColumn(out, clock_value(F.col("_base"))).drop("_base", "clock_position", "clock_lift")

@@ -16,7 +16,7 @@ from vaultrail.functions.requests import (
     trace_context,
 )
 from vaultrail.operators import enrich, ingest
-from vaultrail.operators.ordered import int_chunk, logical_clock
+from vaultrail.operators.ordered import clock_terms, clock_value, int_chunk, logical_clock
 from vaultrail.plans import inputs
 from vaultrail.plans.inputs import KEYRING
 from vaultrail.plans.oracle import AUDIT, REQUESTS, device, hmac, with_
@@ -255,9 +255,9 @@ CLOCK_FOLD = """ordered AS (SELECT request_id, event_id, logical_clock AS inc, r
 def lamport_clock(spark, folder):
     """Clocks per request, starting at the request's own clock."""
     events = inputs.audit(spark, folder).select("event_id", "request_id", F.lit(None).cast(ingest.AUDIT_EVENT["context"]).alias("context"), "logical_clock")
-    rows = enrich.attach_requests(events, requests(spark, folder))
-    clocked = logical_clock(rows, ["request_id"], ["event_id"], [int_chunk("event_id")], F.col("logical_clock"), F.col("clock_base"))
-    return clocked.select("event_id", "logical_clock")
+    terms = clock_terms(events, ["request_id"], ["event_id"], [int_chunk("event_id")], F.col("logical_clock"))
+    rows = enrich.attach_requests(terms, requests(spark, folder))
+    return rows.select("event_id", clock_value(F.col("clock_base")).alias("logical_clock"))
 
 
 @query(

@@ -194,6 +194,28 @@ def replay_lookup(spark, folder):
     return agents.replay(calls, agents.replay_store(records)).select("call_id", "tool", "args_hash", "recorded_output", "replay_error")
 
 
+@query(
+    with_(CALLS)
+    + """SELECT run_id, call_id, '{"words":' || (length(text) - length(replace(text, ' ', '')) + 1) || '}' AS recorded_output, call_id = 4 AS missed FROM (
+      SELECT * FROM calls) WHERE call_id <> 4
+      UNION ALL SELECT run_id, call_id, NULL, true FROM calls WHERE call_id = 4"""
+)
+def replay_from_bundles(spark, folder):
+    """Recorded runs stored as bundles, loaded as a replay store and used to answer the same calls."""
+    rows = call_rows(spark, folder).withColumn("scrubbed", select_arguments("args", ["turn", "input"]))
+    records, _ = agents.record_calls(rows, "lookup", count_words, [int_chunk("call_id", 1000)])
+    run = F.col("run_id")
+    runs = rows.select("run_id").dropDuplicates().select(
+        "run_id", (run % 5).alias("project_id"), F.lit(None).cast("string").alias("system_prompt"), run.alias("committed_at")
+    )
+    path = work_folder(spark, "bundles")
+    store.write_bundles(agents.evidence_bundles(records, runs), path)
+    kept = store.bundle_records(store.read_bundles(spark, path)).withColumn("call_id", F.col("seq"))
+    asked = rows.withColumn("tool", F.lit("lookup")).withColumn("args_hash", agents.args_hash("tool", "scrubbed"))
+    answers = agents.replay(asked, agents.replay_store(kept))
+    return answers.select("run_id", "call_id", "recorded_output", F.col("replay_error").isNotNull().alias("missed"))
+
+
 # --- bundles -----------------------------------------------------------------------------------------------------------
 
 
@@ -256,6 +278,17 @@ BUNDLES = """records AS (
     FROM texts LEFT JOIN alibis USING (user_id))"""
 
 
+@query(
+    """SELECT 'run_' || user_id AS run_id, 'model-' || (max(event_id) % 4) AS model_id,
+      CASE WHEN max(event_id) % 2 = 0 THEN 'fp_' || max(event_id) END AS system_fingerprint, max(event_id) % 10 AS seed
+      FROM events WHERE event_type = 'purchase' GROUP BY user_id"""
+)
+def provider_alibi(spark, folder):
+    """Last model report of every run."""
+    last = agents.last_alibi(run_alibis(spark, folder))
+    return last.select("run_id", "alibi.model_id", "alibi.system_fingerprint", "alibi.seed")
+
+
 def bundles(spark, folder):
     return agents.evidence_bundles(event_records(spark, folder), run_heads(spark, folder), run_alibis(spark, folder), part_records=40)
 

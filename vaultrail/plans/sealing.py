@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultrail.functions.crypto import Keyring, blind_index, blind_indexes, seal
+from vaultrail.functions.crypto import Keyring, blind_index, blind_indexes, seal, sealed_key_id
 from vaultrail.functions.jsontext import object_of, quote
 from vaultrail.functions.metadata import MetadataRules, guard, guard_struct
 from vaultrail.functions.text import TEXT_LIMIT, present
@@ -229,9 +229,9 @@ def size_guard_reject(spark, folder):
 LARGE = ingest.IngestPolicy(max_metadata=5_242_880)
 
 
-def sealed_documents(spark: SparkSession, folder: str) -> DataFrame:
+def sealed_documents(spark: SparkSession, folder: str, keyring: Keyring = KEYRING) -> DataFrame:
     events = ingest.guard_events(document_events(spark, folder), LARGE)
-    return ingest.seal_events(events, KEYRING, LARGE)
+    return ingest.seal_events(events, keyring, LARGE)
 
 
 @query(
@@ -290,7 +290,7 @@ def keyring_rotation_report(spark, folder):
     sealed = seal(F.col("metadata"), F.col("event_id"), F.col("_key"))
     rows = keyed.select(sealed.alias("payload"), F.lit(None).cast("string").alias("agent_context"), "metadata")
     opened = search.open_ledger(rows, KEYRING)
-    return opened.groupBy(search.sealed_key_id("payload").alias("key_id")).agg(
+    return opened.groupBy(sealed_key_id("payload").alias("key_id")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("opened") == F.col("metadata")).alias("readable")
     )
 
@@ -358,6 +358,49 @@ def ledger_append(spark, folder):
     )
 
 
+@query(
+    with_(AUDIT)
+    + """SELECT event_id, actor, actor_id, action, target, tenant, trace_id, span_id, metadata, logical_clock, 'https' AS scheme FROM audit"""
+)
+def event_source(spark, folder):
+    """Events written as JSON lines and read back with the event schema; what is missing is null."""
+    path = work_folder(spark, "events")
+    inputs.audit(spark, folder).withColumn("attestation", F.struct(F.lit("https").alias("challenge"))).write.json(path)
+    back = store.read_events(spark, path, "json")
+    names = ["event_id", "actor", "actor_id", "action", "target", "tenant", "trace_id", "span_id", "metadata", "logical_clock"]
+    return back.select(*names, F.col("attestation.challenge").alias("scheme"))
+
+
+@query(
+    with_(AUDIT)
+    + """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '{"challenge":"c' || event_id || '","signature":"s","authenticatorData":"a"'
+        || CASE WHEN event_id % 2 = 0 THEN ',"clientDataJSON":"d"' ELSE '' END || ',"credentialId":"i"}' END AS attestation_proof FROM audit"""
+)
+def attestation_text(spark, folder):
+    """Attestations are stored as JSON, in clear."""
+    e = F.col("event_id")
+    client = F.when(e % 2 == 0, "d").alias("clientDataJSON")
+    given = F.struct(
+        inputs.text("c", e).alias("challenge"), F.lit("s").alias("signature"), F.lit("a").alias("authenticatorData"), client, F.lit("i").alias("credentialId")
+    )
+    guarded = guarded_audit(spark, folder).withColumn("attestation", F.when(e % 3 == 0, given))
+    return ingest.accepted_rows(ingest.seal_events(guarded, KEYRING)).select("event_id", "attestation_proof")
+
+
+@query(
+    with_(DOC_META)
+    + f"""SELECT doc_id, 'v2' AS key_id, {sealed_length(DOC_PAYLOAD)} > 30720 AS is_claim_check, {DOC_PAYLOAD} AS opened FROM docs"""
+)
+def reseal_documents(spark, folder):
+    """Documents sealed under the old key, opened and sealed again under the new one."""
+    old = materialise(sealed_documents(spark, folder, Keyring(KEYRING.keys, "v1")), "old")
+    opened = search.open_ledger(search.resolve_claims(ingest.accepted_rows(old), ingest.claim_blobs(old)), KEYRING)
+    new = materialise(ingest.reseal(opened, KEYRING), "new")
+    rows, blobs = ingest.accepted_rows(new), ingest.claim_blobs(new)
+    back = search.open_ledger(search.resolve_claims(rows, blobs), Keyring({"v2": KEYRING.keys["v2"]}, "v2"))
+    return back.select(F.col("event_id").alias("doc_id"), sealed_key_id("payload").alias("key_id"), "is_claim_check", "opened")
+
+
 @query(
     with_(AUDIT, IDENTITIES)
     + """SELECT event_id, who AS actor, action, CAST(k AS BIGINT) AS k FROM ids WHERE tenant = 't_2'"""

@@ -15,6 +15,13 @@ def read_events(spark: SparkSession, path: str, file_format: str = "parquet") ->
     return spark.read.schema(schema).format(file_format).load(path)
 
 
+def stream_events(spark: SparkSession, path: str, file_format: str = "json", files_per_batch: int = 100) -> DataFrame:
+    """The same as a stream of files."""
+    schema = ",".join(f"{n} {t}" for n, t in ingest.AUDIT_EVENT.items())
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.format(file_format).load(path)
+
+
 def ingest_events(
     events: DataFrame,
     path: str,
