@@ -26,7 +26,7 @@ def by_scope(data):
 
 def test_numbers(spark):
     data = rows()
-    found = number_rows(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 50)]).collect()
+    found = number_rows(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 50)], hot_rows=100).collect()
     expected = {i: n for items in by_scope(data).values() for n, (i, _) in enumerate(items, 1)}
     assert {r.id: r.position for r in found} == expected and len(found) == len(data)
 
@@ -34,7 +34,7 @@ def test_numbers(spark):
 def test_neighbours_keep_null_values(spark):
     data = rows()
     for step in (-1, 1):
-        found = neighbour(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 40)], F.struct("incoming"), "near", step).collect()
+        found = neighbour(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 40)], F.struct("incoming"), "near", step, hot_rows=150).collect()
         expected = {}
         for items in by_scope(data).values():
             for n, (i, _) in enumerate(items):
@@ -47,8 +47,10 @@ def test_logical_clock_equals_fold(spark):
     data = rows()
     base = {"hot": 50, "b": 0, "c": 7}
     given = F.when(F.col("scope") == "hot", 50).when(F.col("scope") == "c", 7)
-    for width in (10, 64, 100_000):
-        found = logical_clock(frame(spark, data), ["scope"], ["id"], [int_chunk("id", width)], F.col("incoming"), given).collect()
+    for width, hot in [(10, 0), (64, 200), (64, 10_000), (100_000, 0)]:
+        found = logical_clock(
+            frame(spark, data), ["scope"], ["id"], [int_chunk("id", width)], F.col("incoming"), given, hot_rows=hot
+        ).collect()
         expected = {}
         for scope, items in by_scope(data).items():
             clock = base[scope]
@@ -60,7 +62,7 @@ def test_logical_clock_equals_fold(spark):
 
 def test_negative_order_values(spark):
     data = [("a", i, None) for i in range(-25, 25)]
-    found = number_rows(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 10)]).collect()
+    found = number_rows(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 10)], hot_rows=5).collect()
     assert all(r.position == r.id + 26 for r in found)
 
 
@@ -80,5 +82,5 @@ def test_a_hot_key_is_spread_over_its_chunks(spark):
 
 def test_null_keys_are_kept(spark):
     data = [(None, 1, None), ("a", 2, None)]
-    found = number_rows(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 10)]).collect()
+    found = number_rows(frame(spark, data), ["scope"], ["id"], [int_chunk("id", 10)], hot_rows=0).collect()
     assert {(r.scope, r.position) for r in found} == {(None, None), ("a", 1)}

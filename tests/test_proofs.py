@@ -51,7 +51,7 @@ def fold(hashes, block):
 def test_chain_and_anchors_equal_fold(spark):
     sizes, block = {"a": 70, "b": 4, "c": 1}, 4
     chain = proofs.build_chain(ledger(spark, sizes), block)
-    anchors = proofs.build_anchors(chain, block).collect()
+    anchors = proofs.build_anchors(chain, block, levels=4).collect()
     found = {(r.project_id, r.seq): r.chain_hash for r in chain.collect()}
     for p, n in sizes.items():
         values = fold([sha(f"{p}{i}") for i in range(1, n + 1)], block)

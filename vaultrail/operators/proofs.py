@@ -61,28 +61,32 @@ def verify_proofs(proofs: DataFrame, payload: str = "payload") -> DataFrame:
 
 # --- hash chains -----------------------------------------------------------------------------------------------------
 
-# Entries per block, and levels of blocks over blocks: enough for 1024 ** 4 entries per project.
-BLOCK = 1024
-LEVELS = 4
+# Entries per block, and levels of blocks over blocks: enough for 65536 ** 3 entries per project.
+BLOCK = 65_536
+LEVELS = 3
 
 
-def _fold_blocks(entries: DataFrame, block_size: int) -> DataFrame:
-    """Chain every block from genesis: ``chain = sha256(previous chain, hash)``; positions count from 0."""
-    block = floor_div("pos", block_size)
-    grouped = (
-        entries.select("project_id", block.alias("block"), "pos", "hash")
-        .groupBy("project_id", "block")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "hash"))).alias("items"))
-    )
-    start = F.struct(F.lit(GENESIS).alias("chain"), F.array().cast("array<struct<pos:bigint,hash:string,chain:string>>").alias("done"))
+def _fold(batches):
+    """Chain values of entries sorted by project, block and position; only the last value is held."""
+    import hashlib
 
-    def link(acc: Column, item: Column) -> Column:
-        chain = F.sha2(F.concat(acc["chain"], item["hash"]), 256)
-        row = F.struct(item["pos"].alias("pos"), item["hash"].alias("hash"), chain.alias("chain"))
-        return F.struct(chain.alias("chain"), F.concat(acc["done"], F.array(row)).alias("done"))
+    group, chain = None, GENESIS
+    for frame in batches:
+        chained = []
+        for project, block, value in zip(frame["project_id"], frame["block"], frame["hash"]):
+            if (project, block) != group:
+                group, chain = (project, block), GENESIS
+            chain = hashlib.sha256((chain + value).encode()).hexdigest()
+            chained.append(chain)
+        yield frame.assign(chain=chained)
 
-    folded = F.aggregate("items", start, link, lambda acc: acc["done"])
-    return grouped.select("project_id", "block", F.explode(folded).alias("e")).select("project_id", "block", "e.*")
+
+def _fold_blocks(entries: DataFrame, block_size: int) -> DataFrame:
+    """Chain every block from genesis: ``chain = sha256(previous chain, hash)``; positions count from 0."""
+    blocks = entries.select("project_id", floor_div("pos", block_size).alias("block"), "pos", "hash")
+    ordered = blocks.repartition("project_id", "block").sortWithinPartitions("project_id", "block", "pos")
+    project = dict(blocks.dtypes)["project_id"]
+    return ordered.mapInPandas(_fold, f"project_id {project}, block bigint, pos bigint, hash string, chain string")
 
 
 def block_heads(chained: DataFrame) -> DataFrame:
@@ -94,7 +98,8 @@ def build_chain(entries: DataFrame, block_size: int = BLOCK) -> DataFrame:
     """Chain value of every ledger entry ``(project_id, seq, payload_hash)``, with ``seq`` from 1 and unique.
 
     A single chain over a project could only be computed by one task. Entries are therefore chained in blocks of
-    ``block_size`` from genesis, and the block heads are anchored by :func:`build_anchors`.
+    ``block_size`` from genesis, and the block heads are anchored by :func:`build_anchors`. Each link needs the one
+    before it, which no built-in expression streams; a block is folded row by row as it leaves the sort.
     """
     positions = entries.select("project_id", (F.col("seq") - 1).alias("pos"), F.col("payload_hash").alias("hash"))
     return _fold_blocks(positions, block_size).select(

@@ -269,8 +269,8 @@ def lamport_clock(spark, folder):
       FROM ordered"""
 )
 def lamport_clock_hot(spark, folder):
-    """Clocks of three scopes that share the whole table, computed in chunks of 500 rows."""
+    """Clocks of three scopes that share the whole table; each is treated as hot and divided into chunks of 500 rows."""
     e = F.col("event_id")
     events = inputs.table(spark, folder, "events").select("event_id", (F.col("user_id") % 3).alias("scope"))
-    clocked = logical_clock(events, ["scope"], ["event_id"], [int_chunk("event_id", 500)], F.when(e % 6 == 0, e % 400), F.lit(0))
+    clocked = logical_clock(events, ["scope"], ["event_id"], [int_chunk("event_id", 500)], F.when(e % 6 == 0, e % 400), F.lit(0), hot_rows=100)
     return clocked.select("event_id", "logical_clock")
