@@ -14,6 +14,9 @@ TABLES = (
 ).split()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "string": "VARCHAR", "boolean": "BOOLEAN", "double": "DOUBLE", "int": "INTEGER"}
+
+
 def connect(folder: str):
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
@@ -43,6 +46,10 @@ def rows_of(names, rows):
 
 def compare(con, frame, sql: str) -> str | None:
     """None if both sides agree, else a short description of the difference."""
+    types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = [(c, t, types.get(c)) for c, t in frame.dtypes if SPARK_TO_DUCK.get(t) != types.get(c)]
+    if wrong:
+        return f"types differ: {wrong}"
     result = con.execute(sql)
     names = [d[0] for d in result.description]
     expected = rows_of(names, result.fetchall())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +38,32 @@ def run(query) -> None:
     query.awaitTermination()
 
 
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """One state partition per core for a stateful query in a local session; a cluster keeps its own setting.
+
+    The number is fixed when a stateful query first starts, so the planner cannot reduce it later.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def run_to_table(stream: DataFrame, label: str) -> DataFrame:
+    """Run a stateful stream into a table and read it back."""
+    spark = stream.sparkSession
+    path = work_folder(spark, label)
+    writer = stream.writeStream.format("parquet").option("path", f"{path}/rows")
+    with state_partitions(spark):
+        run(writer.option("checkpointLocation", f"{path}/_progress").trigger(availableNow=True).start())
+    return spark.read.parquet(f"{path}/rows")
+
+
 @query(
     with_(AUDIT, IDENTITIES)
     + f"SELECT event_id, {PAYLOAD} AS opened FROM ids WHERE event_id % 101 <> 0"
@@ -87,11 +115,8 @@ def stream_dedupe(spark: SparkSession, folder: str) -> DataFrame:
     configure(spark)
     events = inputs.table(spark, folder, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("created_at"))
     twice = events.unionByName(events.withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 SECOND")))
-    path = work_folder(spark, "dedupe")
     kept = jobs.drop_repeats(streamed(twice, "event_id", "events"))
-    writer = kept.select("event_id", "event_type").writeStream.format("parquet").option("path", f"{path}/rows")
-    run(writer.option("checkpointLocation", f"{path}/_progress").trigger(availableNow=True).start())
-    return spark.read.parquet(f"{path}/rows")
+    return run_to_table(kept.select("event_id", "event_type"), "dedupe")
 
 
 @query(
@@ -123,10 +148,7 @@ def stream_pairing(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id",
     )
     joined = jobs.pair_stream(streamed(starts, "conv_id", "starts").drop("conv_id"), streamed(ends, "conv_id", "ends").drop("conv_id"))
-    path = work_folder(spark, "pairs")
-    writer = joined.writeStream.format("parquet").option("path", f"{path}/rows")
-    run(writer.option("checkpointLocation", f"{path}/_progress").trigger(availableNow=True).start())
-    return spark.read.parquet(f"{path}/rows").select("run_id", "tool", "success", "result", "latency_ms")
+    return run_to_table(joined.select("run_id", "tool", "success", "result", "latency_ms"), "pairs")
 
 
 @query(

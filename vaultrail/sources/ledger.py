@@ -105,7 +105,7 @@ def read_bundles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def bundle_records(bundles: DataFrame) -> DataFrame:
-    """Tool records of stored bundles; arguments and outputs keep their JSON text."""
+    """Tool records of stored bundles; arguments and outputs are JSON text again."""
     items = F.from_json(F.get_json_object("bundle", "$.tools"), "array<string>")
     rows = bundles.select(F.get_json_object("bundle", "$.runId").alias("run_id"), F.explode(items).alias("t"))
 
