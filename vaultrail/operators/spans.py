@@ -127,8 +127,10 @@ def span_audit_events(spans: DataFrame, span_events: DataFrame, prefix: str = PR
     payload = F.col("_payload")
     # Exploding one or no event instead of filtering: a filter would be pushed down with its own copy of the parsing.
     event = F.struct(*[c.alias(n) for n, c in payload_columns(payload).items()])
-    own = parsed.select(F.explode(F.when(is_payload(F.col("_text"), payload), F.array(event))).alias("e")).select("e.*")
-    redirected = named.where(is_payload(text, read_payload(text))).select("trace_id", "span_id").dropDuplicates()
+    one = F.explode(F.when(is_payload(F.col("_text"), payload), F.array(event))).alias("e")
+    explicit = parsed.select("trace_id", "span_id", one)
+    own = explicit.select("e.*")
+    redirected = explicit.select("trace_id", "span_id").dropDuplicates()
     annotated = spans.where(_attribute(F.col("attributes"), "action", prefix).isNotNull()).join(
         redirected, ["trace_id", "span_id"], "left_anti"
     )
