@@ -8,7 +8,7 @@ import pytest
 from llm import brute
 from vaultrail.llm import brown_lm
 
-SMALL = {"head": 20, "endings": 5, "classes": 8, "rounds": 4, "held": 10}
+SMALL = {"head": 40, "endings": 5, "classes": 8, "rounds": 4, "held": 10}
 
 
 def corpus():
@@ -36,9 +36,9 @@ def plain(model, texts, training):
         for w in brute.words(t):
             to, c = cls(w), counts[w]
             score += model.step[at, to] + (math.log10((c - model.discount) / mass[to]) if c else model.unseen[to])
-            base += math.log10((c + 1) / (n + v))
+            base += math.log10((c + 1) / (n + v + 1))
             known, at = known + (c > 0), to
-        base += math.log10((len(training) + 1) / (n + v))
+        base += math.log10((len(training) + 1) / (n + v + 1))
         out.append((len(brute.words(t)) + 1, known, round(base, 6), round(score + model.step[at, model.own[end]], 6)))
     assert len(set(head)) == len(head)
     return n, out

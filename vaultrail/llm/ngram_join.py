@@ -291,7 +291,10 @@ def similarity_components(documents: DataFrame, size: int = 5, percent: int = 80
     set, or null. Other columns are ignored. An empty table gives an empty result.
     """
     signed, sets = classes_of(documents, size, percent)
-    joined = components(class_links(documents, sets, size, percent))
+    # A doc_id that stands for one class and is in another as well, by texts of its own, links the two.
+    both = signed.join(sets, ["n", "d1", "d2"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
+    both = both.join(sets.select(F.col("rep").alias("u")), "u", "left_semi")
+    joined = components(class_links(documents, sets, size, percent).unionByName(both))
     named = sets.select("n", "d1", "d2", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
     result = signed.join(named, ["n", "d1", "d2"], "left")
