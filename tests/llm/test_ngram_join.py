@@ -28,6 +28,8 @@ def test_against_all_pairs(spark, size, percent):
             for _ in range(rng.randint(0, 3)):
                 own[rng.randrange(len(own))] = "edit"
             rows.append((1000 + 10 * k + j, " ".join(own), "en", "s", 1, 1, "x"))
+    # Different texts under one doc_id, and the same set twice.
+    rows += [(1000, rows[-1][1], None, None, None, None, None), (1000, rows[-1][1] + " ", None, None, None, None, None), (4000, rows[30][1], None, None, None, None, None), (4000, rows[31][1], None, None, None, None, None)]
     found = ngram_join.similarity_components(spark.createDataFrame(rows, brute.DOCS), size, percent).collect()
     want, sets = expected(rows, size, percent)
     assert len(found) == len(rows)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultrail.llm.tables import components, join_narrow, pick
-from vaultrail.llm.textbytes import Fingerprints, lower, mix, slices, starts_of_runs, words
+from vaultrail.llm.textbytes import Fingerprints, lower, mix, slices, words
 from vaultrail.session import materialise
 
 #: Members of a group that one task compares with as many others at a time.
@@ -68,6 +68,15 @@ def ngram_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndar
     return rows[fresh], value[fresh]
 
 
+def _digests(value: np.ndarray, ends: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit digests of each set, the ranges of ``value`` of ``n`` numbers that stop at ``ends``."""
+    sums = []
+    for salt in (0x1234567, 0x89ABCDEF01):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(value.view(np.uint64) + np.uint64(salt)))))
+        sums.append((total[ends] - total[ends - n]).view(np.int64))
+    return sums
+
+
 def _signatures(size: int, percent: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64()), ("prefix", pa.binary())])
 
@@ -77,13 +86,9 @@ def _signatures(size: int, percent: int):
                 rows, value = ngram_sets(data, bounds, size)
                 n = np.bincount(rows, minlength=last - first)
                 ends = np.cumsum(n)
-                sums = []
-                for salt in (0x1234567, 0x89ABCDEF01):
-                    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(mix(value.view(np.uint64) + np.uint64(salt)))))
-                    sums.append((total[ends] - total[ends - n]).view(np.int64))
                 take = np.where(n > 0, prefix_length(n, percent), 0)
                 raw = [value[e - m : e - m + p].tobytes() for e, m, p in zip(ends.tolist(), n.tolist(), take.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first).cast(pa.int64()), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), pa.array(raw, pa.binary())], schema=schema)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first).cast(pa.int64()), pa.array(n), *map(pa.array, _digests(value, ends, n)), pa.array(raw, pa.binary())], schema=schema)
 
     return run
 
@@ -103,13 +108,16 @@ def _exploded(field: str):
 
 
 def _tokens(size: int):
-    """One row (token, rep) for each distinct n-gram of a text."""
+    """One row (token, rep) for each distinct n-gram of a text, if the text has the set of the class it came for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            reps = batch.column("rep").to_numpy()
-            for first, _, data, bounds in slices(batch.column("text")):
+            reps, wanted = batch.column("rep").to_numpy(), [batch.column(c).to_numpy() for c in ("n", "d1", "d2")]
+            for first, last, data, bounds in slices(batch.column("text")):
                 rows, value = ngram_sets(data, bounds, size)
+                n = np.bincount(rows, minlength=last - first)
+                right = np.all([w[first:last] == x for w, x in zip(wanted, (n, *_digests(value, np.cumsum(n), n)), strict=True)], axis=0)
+                rows, value = rows[right[rows]], value[right[rows]]
                 yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(reps[first + rows])], names=["token", "rep"])
 
     return run
@@ -247,22 +255,34 @@ def _group_links(percent: int):
     return run
 
 
-def classes_of(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, n, d1, d2) of every row, and one row for each distinct non-empty set with its smallest doc_id."""
+def classes_of(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, n, d1, d2) of every row, one row for each distinct non-empty set, and the doc_ids of several rows.
+
+    A class has its smallest doc_id (low) and a number of its own (rep): the same, unless that doc_id has several rows.
+    """
     rows = pick(documents, "doc_id", "text")
     signed = materialise(rows.mapInArrow(_signatures(size, percent), "doc_id long, n long, d1 long, d2 long, prefix binary"), "ngram-signatures")
-    sets = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("prefix").alias("prefix"))
-    return signed.drop("prefix"), materialise(sets, "ngram-classes")
+    sets = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix"))
+    several = signed.groupBy(F.col("doc_id").alias("low")).count().where("low is not null and count > 1").select("low", F.lit(True).alias("several"))
+    several = materialise(several, "ngram-several")
+    sets = sets.join(several, "low", "left").withColumn("several", F.coalesce("several", F.lit(False)))
+    greatest = signed.agg(F.max("doc_id")).first()[0] or 0
+    fresh = F.lit(greatest) + 1 + F.monotonically_increasing_id()
+    sets = materialise(sets.withColumn("rep", F.when(F.col("several"), fresh).otherwise(F.col("low"))), "ngram-classes")
+    return signed.drop("prefix"), sets, several.select(F.col("low").alias("doc_id"))
 
 
 def class_links(documents: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (u, v) between classes, enough to connect all that are connected."""
-    named = sets.where("rep is not null")
+    named = sets.where("low is not null")
     early = named.select("rep", "prefix").mapInArrow(_exploded("prefix"), "token long, rep long")
     met = early.withColumns({"low": F.min("rep").over(Window.partitionBy("token")), "high": F.max("rep").over(Window.partitionBy("token"))})
-    left = materialise(met.where("low < high").select("rep").distinct(), "ngram-left")
-    texts = join_narrow(pick(documents, "doc_id", "text").withColumnRenamed("doc_id", "rep"), left, "rep")
-    tokens = texts.mapInArrow(_tokens(size), "token long, rep long")
+    left = met.where("low < high").select("rep").distinct().join(named.select("rep", "low", "n", "d1", "d2", "several"), "rep")
+    left = materialise(left, "ngram-left")
+    texts = join_narrow(pick(documents, "doc_id", "text").withColumnRenamed("doc_id", "low"), left, "low")
+    # Several rows of one doc_id may have the set of the class; they give its n-grams once.
+    tokens = texts.where("not several").mapInArrow(_tokens(size), "token long, rep long")
+    tokens = tokens.unionByName(texts.where("several").mapInArrow(_tokens(size), "token long, rep long").distinct())
     common = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
     members = common.groupBy("rep").agg(F.collect_list(F.struct("df", "token")).alias("members"))
     members = members.join(named.select("rep", "n"), "rep").select("rep", "n", "members")
@@ -290,12 +310,16 @@ def similarity_components(documents: DataFrame, size: int = 5, percent: int = 80
     rows that share a doc_id with different texts. A row without doc_id takes the component of rows with an equal
     set, or null. Other columns are ignored. An empty table gives an empty result.
     """
-    signed, sets = classes_of(documents, size, percent)
-    # A doc_id that stands for one class and is in another as well, by texts of its own, links the two.
-    both = signed.join(sets, ["n", "d1", "d2"]).where("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
-    both = both.join(sets.select(F.col("rep").alias("u")), "u", "left_semi")
-    joined = components(class_links(documents, sets, size, percent).unionByName(both))
-    named = sets.select("n", "d1", "d2", "rep").join(joined.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("n", "d1", "d2", F.coalesce("component", "rep").alias("component"))
-    result = signed.join(named, ["n", "d1", "d2"], "left")
-    return result.select("doc_id", F.col("n").alias("n_ngrams"), F.coalesce("component", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id"))
+    signed, sets, several = classes_of(documents, size, percent)
+    edges = class_links(documents, sets, size, percent)
+    # Classes that share a doc_id, by texts of its own, are linked.
+    again = signed.join(several, "doc_id", "left_semi")
+    again = again.join(sets, ["n", "d1", "d2"]).select("doc_id", "rep")
+    least = again.groupBy("doc_id").agg(F.min("rep").alias("v"))
+    edges = edges.unionByName(again.join(least, "doc_id").select(F.col("rep").alias("u"), "v").where("u <> v"))
+    joined = components(edges).withColumnRenamed("node", "rep")
+    named = sets.select("n", "d1", "d2", "rep", "low").join(joined, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    named = materialise(named, "ngram-named")
+    lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
+    result = signed.join(named.join(lowest, "component").select("n", "d1", "d2", "component_id"), ["n", "d1", "d2"], "left")
+    return result.select("doc_id", F.col("n").alias("n_ngrams"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

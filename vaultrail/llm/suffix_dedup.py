@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultrail.llm.tables import join_narrow
-from vaultrail.llm.textbytes import Fingerprints, mix, slices, starts_of_runs
+from vaultrail.llm.textbytes import Fingerprints, mix, slices
 from vaultrail.session import materialise
 
 SIZE, KEY = 200, 48

@@ -85,7 +85,3 @@ class Fingerprints:
         """Of the range of ``size`` bytes at every place where one fits."""
         return mix((self.sums[size:] - self.sums[:-size]) * _inverses[: len(self.sums) - size])
 
-
-def starts_of_runs(values: np.ndarray) -> np.ndarray:
-    """Positions where a value differs from the one before; the first position too."""
-    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.empty(0, np.int64)
