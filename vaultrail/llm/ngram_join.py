@@ -1,13 +1,14 @@
 """Exact similarity join of documents on their sets of word n-grams, by prefix trees.
 
 1. Every text becomes a set of fingerprints of its n-grams. Equal sets form a class, which one member stands for.
-2. A necessary condition in a fixed order (by fingerprint): two sets with Jaccard similarity of at least t share one of
-   their first ``n - ceil(t n) + 1`` members. Classes that share none with any other class have no partner.
+2. A necessary condition in a fixed order (by fingerprint): the first k common members of two sets with Jaccard similarity of at
+   least t are among the first ``n - ceil(t n) + k`` of each. With k about ``(1 - t) n``, a class that shares fewer of
+   these with other classes than k is for its smallest partner has no partner.
 3. For the classes that are left, the global order is by document frequency, rare first. Members that occur in one class
    only come first and match nothing; a class with as many of them as its prefix is long has no partner.
-4. Classes with a common prefix member meet in a group. A group whose classes all belong to another group is left
-   out. In a task, the sets of a group form a path-compressed trie in the global order; each set walks it
-   once, sharing the overlap counted so far among all sets below a node, and leaves a subtree as soon as the lengths that
+4. Classes with a common prefix member meet in a group. A group whose classes are those of another group, or
+   all have the last prefix member of another one, is left out. In a task, the sets of a group form a path-compressed trie in the order of fingerprints, which is the same everywhere; each
+   set walks it once, sharing the overlap counted so far among all sets below a node, and leaves a subtree as soon as the lengths that
    remain cannot reach the overlap needed.
 5. A group yields a spanning forest of its links. Components follow from the forests of all groups.
 
@@ -41,6 +42,11 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return n + percent * n // -100 + 1
 
 
+def early(n: np.ndarray, percent: int) -> np.ndarray:
+    """Common members that the first condition asks of two sets of size ``n``."""
+    return np.maximum(1, (100 - percent) * n // 100)
+
+
 def ngram_sets(data: np.ndarray, bounds: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Rows and fingerprints of the distinct n-grams of each text, sorted by both.
 
@@ -86,7 +92,7 @@ def _signatures(size: int, percent: int):
                 rows, value = ngram_sets(data, bounds, size)
                 n = np.bincount(rows, minlength=last - first)
                 ends = np.cumsum(n)
-                take = np.where(n > 0, prefix_length(n, percent), 0)
+                take = np.where(n > 0, np.minimum(n, prefix_length(n, percent) - 1 + early(n, percent)), 0)
                 raw = [value[e - m : e - m + p].tobytes() for e, m, p in zip(ends.tolist(), n.tolist(), take.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(first, last - first).cast(pa.int64()), pa.array(n), *map(pa.array, _digests(value, ends, n)), pa.array(raw, pa.binary())], schema=schema)
 
@@ -124,7 +130,7 @@ def _tokens(size: int):
 
 
 def _ordered_sets(percent: int):
-    """Per class: its members shared with other classes, in global order, and those of them that lie in the prefix."""
+    """Per class: its members shared with other classes, and those of them that lie in the rare-first prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,8 +140,8 @@ def _ordered_sets(percent: int):
                 order = np.lexsort((token, df))
                 reach = int(prefix_length(n, percent)) - (n - len(order))
                 if reach > 0:
-                    out.append((rep, n, token[order].tobytes(), df[order].astype(np.int64).tobytes(), token[order[:reach]].tobytes(), int(token[order[:reach][-1]])))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["rep", "n", "shared", "df", "prefix", "last"]), schema=pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("df", pa.binary()), ("prefix", pa.binary()), ("last", pa.int64())]), preserve_index=False)
+                    out.append((rep, n, np.sort(token).tobytes(), token[order[:reach]].tobytes(), int(token[order[:reach][-1]])))
+            yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["rep", "n", "shared", "prefix", "last"]), schema=pa.schema([("rep", pa.int64()), ("n", pa.int64()), ("shared", pa.binary()), ("prefix", pa.binary()), ("last", pa.int64())]), preserve_index=False)
 
     return run
 
@@ -219,13 +225,7 @@ def _group_links(percent: int):
     """Links of each group; rows come sorted by group and may continue in the next batch."""
 
     def solve(rows: list[tuple]) -> list[tuple[int, int]]:
-        tokens = np.concatenate([np.frombuffer(r["shared"], np.int64) for r in rows])
-        df = np.concatenate([np.frombuffer(r["df"], np.int64) for r in rows])
-        order = np.lexsort((tokens, df))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = tokens[order][1:] != tokens[order][:-1]
-        local = np.empty(len(order), np.int64)
-        local[order] = np.cumsum(fresh) - 1
+        local = np.unique(np.frombuffer(b"".join([r["shared"] for r in rows]), np.int64), return_inverse=True)[1]
         sets = np.split(local, np.cumsum([len(r["shared"]) // 8 for r in rows])[:-1])
         sides = np.array([r["side"] for r in rows])
         reps = [r["rep"] for r in rows]
@@ -275,9 +275,12 @@ def classes_of(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame
 def class_links(documents: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (u, v) between classes, enough to connect all that are connected."""
     named = sets.where("low is not null")
-    early = named.select("rep", "prefix").mapInArrow(_exploded("prefix"), "token long, rep long")
-    met = early.withColumns({"low": F.min("rep").over(Window.partitionBy("token")), "high": F.max("rep").over(Window.partitionBy("token"))})
-    left = met.where("low < high").select("rep").distinct().join(named.select("rep", "low", "n", "d1", "d2", "several"), "rep")
+    first = named.select("rep", "prefix").mapInArrow(_exploded("prefix"), "token long, rep long")
+    met = first.withColumns({"low": F.min("rep").over(Window.partitionBy("token")), "high": F.max("rep").over(Window.partitionBy("token"))})
+    shared = met.where("low < high").groupBy("rep").agg(F.count("*").alias("shared"))
+    smallest = F.ceil(F.col("n") * percent / F.lit(100))
+    enough = F.col("shared") >= F.greatest(F.lit(1), F.floor(smallest * (100 - percent) / F.lit(100)))
+    left = shared.join(named.select("rep", "low", "n", "d1", "d2", "several"), "rep").where(enough).drop("shared")
     left = materialise(left, "ngram-left")
     texts = join_narrow(pick(documents, "doc_id", "text").withColumnRenamed("doc_id", "low"), left, "low")
     # Several rows of one doc_id may have the set of the class; they give its n-grams once.
@@ -286,16 +289,19 @@ def class_links(documents: DataFrame, sets: DataFrame, size: int, percent: int)
     common = tokens.withColumn("df", F.count("*").over(Window.partitionBy("token"))).where("df > 1")
     members = common.groupBy("rep").agg(F.collect_list(F.struct("df", "token")).alias("members"))
     members = members.join(named.select("rep", "n"), "rep").select("rep", "n", "members")
-    ordered = materialise(members.mapInArrow(_ordered_sets(percent), "rep long, n long, shared binary, df binary, prefix binary, last long"), "ngram-ordered")
+    ordered = materialise(members.mapInArrow(_ordered_sets(percent), "rep long, n long, shared binary, prefix binary, last long"), "ngram-ordered")
     entries = ordered.select("rep", "prefix").mapInArrow(_exploded("prefix"), "token long, rep long").join(ordered.select("rep", "last"), "rep")
-    groups = entries.groupBy("token").agg(F.count("*").alias("m"), F.min("last").alias("low"), F.max("last").alias("high"))
+    prints = [F.bit_xor(F.xxhash64(F.lit(k), "rep")).alias(f"x{k}") for k in (0, 1)]
+    groups = entries.groupBy("token").agg(F.count("*").alias("m"), F.min("last").alias("low"), F.max("last").alias("high"), *prints)
     # If the last prefix member of all its classes is the same other token, that token's group holds this one.
-    groups = groups.where("m > 1 and (low <> high or low = token)").select("token", "m")
+    groups = groups.where("m > 1 and (low <> high or low = token)")
+    # Of groups of the same classes, one is enough.
+    groups = groups.groupBy("m", "x0", "x1").agg(F.min("token").alias("token")).select("token", "m")
     parts = F.ceil(F.col("m") / F.lit(PART)).cast("int")
     spread = entries.join(groups, "token").select("token", "rep", F.when(F.col("m") > 2 * PART, parts).otherwise(F.lit(1)).alias("parts"))
     spread = spread.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     pairs = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("token", "rep", "side", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"))
-    full = pairs.join(ordered.select("rep", "n", "shared", "df"), "rep").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
+    full = pairs.join(ordered.select("rep", "n", "shared"), "rep").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "rep")
     return full.mapInArrow(_group_links(percent), "u long, v long")
 
 
