@@ -70,15 +70,16 @@ def _blocks(path: str, end: int, width: int):
 
         held = 0
         for batch in batches:
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                raw = encoder(path).raw(text.as_py() or "") + tail
-                ids.append(raw)
-                docs.append(doc)
-                lengths.append(len(raw) // 4)
-                held += len(raw) // 4
-                if held >= BLOCK:
-                    yield close()
-                    held = 0
+            for begin in range(0, len(batch), 200):
+                part = batch.slice(begin, 200)
+                for doc, raw in zip(part.column("doc_id").to_pylist(), encoder(path).raws(part.column("text").to_pylist()), strict=True):
+                    ids += (raw, tail)
+                    docs.append(doc)
+                    lengths.append(len(raw) // 4 + 1)
+                    held += lengths[-1]
+                    if held >= BLOCK:
+                        yield close()
+                        held = 0
         if docs:
             yield close()
 

@@ -38,8 +38,8 @@ def _pieces(path: str, end: int, capacity: int, with_ids: bool):
             docs, texts = batch.column("doc_id").cast(pa.int64()).to_pylist(), batch.column("text")
             for begin in range(0, len(docs), 500):
                 out: list[list] = [[], [], [], [], [], []]
-                for doc, text in zip(docs[begin : begin + 500], texts.slice(begin, 500), strict=True):
-                    raw = encoder(path).raw(text.as_py() or "") + tail
+                for doc, raw in zip(docs[begin : begin + 500], encoder(path).raws(texts.slice(begin, 500).to_pylist()), strict=True):
+                    raw += tail
                     for nr, at in enumerate(range(0, len(raw), 4 * capacity)):
                         own = raw[at : at + 4 * capacity]
                         for column, value in zip(out, (doc, nr, at // 4, len(own) // 4, zlib.crc32(own), np.frombuffer(own, "<u4").astype(np.int32) if with_ids else None), strict=True):

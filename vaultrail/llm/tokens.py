@@ -8,18 +8,21 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
 
 #: Parts in each of the two generations that a worker remembers, and the length from which a part isn't remembered.
-REMEMBERED, LONG = 400_000, 64
+REMEMBERED, LONG = 600_000, 64
+#: Texts whose parts are looked up together.
+TOGETHER = 32
 
 _SPACE = r"\s\u180e\u200b\u2060\ufeff"
 _MARK = "\x02"
 _OTHER_SPACE = re.compile(rf"(?![ \n])[{_SPACE}{_MARK}]")
 _CUT = re.compile(rf"(?<![{_SPACE}])(?=[ \n](?![{_SPACE}])(?!\Z))")
-_ENDED = re.compile(r"[A-Za-z]+[.,]")
+_ENDS = frozenset(".,")
 
 
 class Encoder:
@@ -34,7 +37,8 @@ class Encoder:
         self.spaces = self.tokenizer.normalizer is None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.ends = dict(zip(".,", self._encode([".", ","]), strict=True))
+        self.model = self.tokenizer.model
+        self.ends = {m: array("I", self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in _ENDS}
 
     def parts(self, text: str) -> list[str]:
         """The text in parts, each preceded by a space in the text unless it is marked in front."""
@@ -48,8 +52,15 @@ class Encoder:
     def _text(self, part: str) -> str:
         return part if not self.spaces else part[1:] if part[:1] == _MARK else " " + part
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        # A part of plain letters is one word to the tokenizer's rules, which its model takes as it is.
+        plain = [p for p in parts if p.isascii() and p.isalpha()]
+        words = ["\u0120" + p for p in plain] if self.spaces else [p.lower() for p in plain]
+        found = {p: array("I", [t.id for t in self.model.tokenize(w)]).tobytes() for p, w in zip(plain, words, strict=True)}
+        rest = [p for p in parts if p not in found]
+        ids = self.tokenizer.encode_batch_fast([self._text(p) for p in rest], add_special_tokens=False)
+        found |= {p: array("I", e.ids).tobytes() for p, e in zip(rest, ids, strict=True)}
+        return [found[p] for p in parts]
 
     def learn(self, parts: set[str]) -> dict[str, bytes]:
         """Ids of the parts, remembered or encoded now, as little-endian 32-bit numbers."""
@@ -58,32 +69,35 @@ class Encoder:
             return self.known
         found = {p: self.older[p] for p in fresh & self.older.keys()}
         fresh.difference_update(found)
-        # A word that a full stop or comma ends has the ids of the word and those of the mark.
-        ended = {p for p in fresh if _ENDED.fullmatch(p)}
+        # Letters or digits that a full stop or comma ends have their own ids and then that of the mark.
+        ended = [p for p in fresh if p[-1:] in _ENDS and p[-2:-1].isalnum()]
         words = {p[:-1] for p in ended}
         had = {w: i for w in words if (i := self.known.get(w, self.older.get(w))) is not None}
-        rest = list((fresh - ended) | (words - had.keys()))
-        found |= had | dict(zip(rest, self._encode([self._text(p) for p in rest]), strict=True))
-        found |= {p: found[p[:-1]] + self.ends[p[-1]] for p in ended}
-        if len(self.known) + len(found) > REMEMBERED:
-            self.older, self.known = self.known, {}
-        self.known.update((p, i) for p, i in found.items() if len(p) < LONG)
-        if len(parts.difference(self.known)) == 0:
-            return self.known
-        return {p: found[p] if p in found else self.known[p] if p in self.known else self.older[p] for p in parts}
-
-    def raw(self, text: str) -> bytes:
-        """Ids without added special tokens, as little-endian 32-bit numbers; special strings as the library has them."""
-        if not text:
-            return b""
-        parts = self.parts(text)
-        return b"".join(map(self.learn(set(parts)).__getitem__, parts))
-
-    def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.raw(text), "<u4")
-
-    def count(self, text: str) -> int:
-        return len(self.raw(text)) // 4
+        rest = list(fresh.difference(ended) | (words - had.keys()))
+        found.update(had)
+        found.update(zip(rest, self._encode(rest), strict=True))
+        found.update([(p, found[p[:-1]] + self.ends[p[-1]]) for p in ended])
+        kept = {p: i for p, i in found.items() if len(p) < LONG}
+        if len(self.known) + len(kept) > REMEMBERED:
+            before, self.older, self.known = self.known, self.known, kept
+            return {p: found[p] if p in found else before[p] for p in parts}
+        self.known.update(kept)
+        return self.known if len(kept) == len(found) else {p: found[p] if p in found else self.known[p] for p in parts}
+
+    def raws(self, texts: list[str | None]) -> list[bytes]:
+        """Ids without added special tokens, as little-endian 32-bit numbers; special strings as the library has them.
+
+        A null text has none, as an empty one.
+        """
+        out: list[bytes] = []
+        for begin in range(0, len(texts), TOGETHER):
+            parts = [self.parts(t) if t else [] for t in texts[begin : begin + TOGETHER]]
+            known = self.learn(set().union(*parts))
+            out += [b"".join(map(known.__getitem__, p)) for p in parts]
+        return out
+
+    def ids(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.raws([text])[0], "<u4")
 
 
 @lru_cache(maxsize=4)
