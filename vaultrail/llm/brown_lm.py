@@ -26,7 +26,7 @@ from vaultrail.llm.tables import pick
 from vaultrail.llm.textbytes import Fingerprints, lower, slices, words
 from vaultrail.session import materialise
 
-HEAD, ENDINGS, CLASSES, ROUNDS = 1500, 500, 64, 6
+HEAD, ENDINGS, CLASSES, ROUNDS = 700, 300, 64, 6
 #: Most frequent words whose counts every task holds; the others are looked up by a join.
 HELD = 1 << 16
 
