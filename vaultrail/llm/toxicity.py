@@ -20,7 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultrail.llm.tables import pick
+from vaultrail.llm.tables import join_narrow, pick
+from vaultrail.session import materialise
 
 #: Words in the vocabulary at most, labelled documents per label in the fit at most.
 VOCABULARY, SAMPLE = 2000, 6000
@@ -70,12 +71,8 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"word": words, "ones": [found[1][w] for w in words], "zeros": [found[0][w] for w in words]})
 
 
-def vocabulary(labelled: DataFrame) -> list[str]:
-    """Words that tell the labels apart, best first."""
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n1 or not n0:
-        return []
+def vocabulary(labelled: DataFrame, n1: int, n0: int) -> list[str]:
+    """Words that tell the ``n1`` documents with label 1 from the ``n0`` with label 0, best first."""
     words = labelled.select("text", "label").mapInPandas(_word_counts, "word string, ones long, zeros long")
     words = words.groupBy("word").agg(F.sum("ones").alias("a"), F.sum("zeros").alias("b")).where(F.col("a") + F.col("b") >= LEAST_DOCUMENTS)
 
@@ -99,7 +96,7 @@ def _instances(index: dict[str, int]):
                 sentences = _SENTENCE.findall((text or "").lower())
                 hits = (sorted(index[w] for w in index.keys() & set(_WORD.findall(s))) for s in sentences)
                 rows.append((len(sentences), ";".join(" ".join(map(str, h)) for h in hits if h)))
-            yield pd.DataFrame({"label": frame["label"], "sentences": [r[0] for r in rows], "hits": [r[1] for r in rows]})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "sentences": [r[0] for r in rows], "hits": [r[1] for r in rows]})
 
     return run
 
@@ -109,18 +106,24 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
 
     Rows without a label, a doc_id or a label of 0 or 1 are left out. If one of the labels never occurs, every score is 0.
     """
-    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    labelled = pick(documents, "doc_id", "text").join(known, "doc_id")
-    words = vocabulary(labelled)
+    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
+    known = materialise(known, "toxic-labels")
+    # What needs no text: how many documents have each label, and the hash up to which they are in the sample.
+    ids = join_narrow(pick(documents, "doc_id"), known, "doc_id").withColumn("h", F.xxhash64(F.lit(7), "doc_id"))
+    sizes = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
+    if not sizes.get(0) or not sizes.get(1):
+        return Model({}, -50.0)
+    words = vocabulary(join_narrow(pick(documents, "doc_id", "text"), known, "doc_id"), sizes[1], sizes[0])
     if not words:
         return Model({}, -50.0)
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
-    chosen = labelled.select("label", "text", F.xxhash64(F.lit(7), "doc_id").alias("h"))
-    parts = [chosen.where(F.col("label") == k).orderBy("h").select("h", "label").limit(SAMPLE) for k in (0, 1)]
-    edge = [p.agg(F.max("h")).first()[0] for p in parts]
-    taken = chosen.where(((F.col("label") == 0) & (F.col("h") <= edge[0])) | ((F.col("label") == 1) & (F.col("h") <= edge[1])))
+    parts = [ids.where(F.col("label") == k).orderBy("h").select("doc_id", "h", "label").limit(SAMPLE) for k in (0, 1)]
+    chosen = materialise(parts[0].unionByName(parts[1]).select("doc_id", "label").distinct(), "toxic-sample")
+    taken = pick(documents, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
     index = {w: i for i, w in enumerate(words)}
-    sample = taken.select("label", "text").mapInPandas(_instances(index), "label int, sentences int, hits string").orderBy("label", "sentences", "hits").toPandas()
+    # A doc_id with several rows counts once, so the sample is bounded whatever the table.
+    sample = taken.mapInPandas(_instances(index), "doc_id long, label int, sentences int, hits string")
+    sample = sample.groupBy("doc_id", "label").agg(F.min(F.struct("sentences", "hits")).alias("s")).select("label", "s.*").toPandas()
+    sample = sample.sort_values(["label", "sentences", "hits"], ignore_index=True)
     weights, bias = _descend(sample, len(words), sizes)
     return Model({w: float(weights[i]) for w, i in index.items() if weights[i]}, bias)
 
