@@ -78,3 +78,13 @@ def test_active_span_equals_brute_force(spark):
             expected = (trace or (best[3] if best else None), best[4] if best else None, best[5] if best else None)
             assert found[i] == expected, (width, i)
         assert len(found) == len(events)
+
+
+def test_open_and_endless_spans(spark):
+    spans = [("s", 10, None, "t1", "open", "p"), ("s", 20, 2**62, "t2", "endless", "p"), ("s", None, 30, "t3", "x", "p"), (None, 0, 100, "t4", "y", "p"), ("s", 25, 24, "t5", "z", "p")]
+    events = [(1, "s", 5), (2, "s", 15), (3, "s", 7_200_000_000), (4, None, 15)]
+    named = "service string, start bigint, end bigint, trace_id string, span_id string, parent_span_id string"
+    blank = [F.lit(None).cast("string").alias(n) for n in ("trace_id", "span_id", "parent_span_id")]
+    rows = spark.createDataFrame(events, "event_id long, service string, at long").select("*", *blank)
+    found = enrich.active_spans(rows, spark.createDataFrame(spans, named))
+    assert {r.event_id: r.span_id for r in found.collect()} == {1: None, 2: "open", 3: "endless", 4: None}

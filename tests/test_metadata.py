@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from vaultrail.functions.metadata import (
+    select_arguments,
     DEPTH_MARK,
     MetadataRules,
     canonical,
@@ -16,7 +17,7 @@ from vaultrail.functions.metadata import (
     guard_text,
     number_text,
     parse,
-    select_arguments,
+
 )
 
 
@@ -119,3 +120,10 @@ def test_canonical_and_selected_arguments(spark):
     ).collect()
     assert rows[0].c == '{"a":[2.5],"b":1,"secret":"s"}' and rows[0].s == '{"a":[2.5],"b":1}'
     assert rows[0]["all"] == '{"b":1,"a":[2.5],"secret":"s"}' and rows[1].c is None
+
+
+def test_arguments_that_are_no_object(spark):
+    texts = ["", None, "{", "[1]", '"x"', '{"b":1,"a":"\\ud800"}', "[" * 5000]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    found = [r.a for r in rows.orderBy("i").select(select_arguments("t", None).alias("a")).collect()]
+    assert found == ["{}", "{}", None, None, None, '{"b":1,"a":"\\ud800"}', None]

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,7 +38,7 @@ def _pads(key: bytes) -> tuple[bytes, bytes]:
 class Keyring:
     """Up to five named keys, one of them active for writing."""
 
-    keys: dict[str, str]
+    keys: dict[str, str] = field(repr=False)
     active_id: str
 
     def __post_init__(self):

@@ -8,6 +8,7 @@ unknown shape.
 from __future__ import annotations
 
 import json
+import re
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -79,12 +80,17 @@ def _refuse(constant: str):
     raise ValueError(f"{constant} is not JSON")
 
 
+_LONE = re.compile("[\ud800-\udfff]")
+
+
 def parse(text: str):
     return json.loads(text, parse_int=_Number, parse_float=_Number, parse_constant=_refuse)
 
 
 def _quoted(text: str) -> str:
-    return json.dumps(text, ensure_ascii=False)
+    """JSON string; a surrogate without its other half is no character and stays an escape."""
+    quoted = json.dumps(text, ensure_ascii=False)
+    return quoted if text.isascii() else _LONE.sub(lambda m: f"\\u{ord(m[0]):04x}", quoted)
 
 
 def _scalar(value) -> str:
@@ -225,11 +231,19 @@ def canonical_json(metadata: Column | str) -> Column:
 
 
 def select_arguments(arguments: Column | str, allow: list[str] | None) -> Column:
-    """Listed members of a JSON object in list order; without a list all members are kept."""
+    """Listed members of a JSON object in list order; without a list all members are kept.
+
+    A null or empty text is an object without members; a text that is no JSON object gives null.
+    """
 
     def one(text):
-        value = parse(text) if text else {}
-        return compact({k: value[k] for k in allow if k in value} if allow else value)
+        try:
+            value = parse(text) if text else {}
+            if not isinstance(value, dict):
+                return None
+            return compact({k: value[k] for k in allow if k in value} if allow else value)
+        except (ValueError, RecursionError):
+            return None
 
     @F.arrow_udf("string")
     def run(batch: pa.Array) -> pa.Array:

@@ -187,14 +187,22 @@ def active_spans(events: DataFrame, spans: DataFrame, bucket_micros: int = 3_600
     included). No event meets a list of spans: the spans of a (service, time bucket) are first reduced to the moments
     at which the innermost one changes, and each event then takes the last change before it. A busy service is spread
     over its buckets.
+
+    A span without an end is open until further notice. Spans are looked at only as far as the events reach, so an
+    end in the far future costs nothing. A span without a start or a service, and one that ends before it starts, is
+    active at no time.
     """
 
     def bucket(name: str) -> Column:
         return floor_div(name, bucket_micros)
 
     names = ["trace_id", "span_id", "parent_span_id"]
-    covered = spans.select(
-        "service", "start", "end", *names, F.explode(F.sequence(bucket("start"), bucket("end"))).alias("bucket")
+    reach = events.agg(F.min("at").alias("_first"), F.max("at").alias("_last"))
+    near = spans.where("service is not null and start is not null").crossJoin(F.broadcast(reach))
+    near = near.withColumn("end", F.least(F.coalesce("end", "_last"), "_last"))
+    near = near.where("start <= end and end >= _first").withColumn("_from", F.greatest("start", "_first"))
+    covered = near.select(
+        "service", "start", "end", *names, F.explode(F.sequence(bucket("_from"), bucket("end"))).alias("bucket")
     ).withColumn("floor", F.col("bucket") * F.lit(bucket_micros))
     swept = covered.repartition("service", "bucket").sortWithinPartitions("service", "bucket", "start", "span_id")
     changes = swept.mapInPandas(_innermost, _CHANGES)

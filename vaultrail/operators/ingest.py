@@ -221,12 +221,16 @@ ENVELOPE = [
 def assign_clocks(events: DataFrame, chunk: list[Column], base: Column | None = None) -> DataFrame:
     """Logical clocks per request in event order; rejected rows do not tick.
 
-    An explicit ``logical_clock`` on an event is taken as the incoming clock.
+    An explicit ``logical_clock`` on an event is taken as the incoming clock. Events outside any request share one
+    clock, which starts at 0.
     """
-    marked = events.withColumn("_ticks", F.col("reject_reason").isNull())
-    start = F.lit(0) if base is None else base
-    clocked = logical_clock(marked, ["request_id", "_ticks"], ["event_id"], chunk, F.col("logical_clock"), start)
-    return clocked.withColumn("logical_clock", F.when(F.col("_ticks"), F.col("logical_clock"))).drop("_ticks")
+    outside = F.col("request_id").isNull()
+    own = F.coalesce(F.col("request_id").cast("string"), F.lit(""))
+    marked = events.withColumns({"_ticks": F.col("reject_reason").isNull(), "_outside": outside, "_scope": own})
+    start = F.lit(0) if base is None else F.when(F.col("_outside"), F.lit(0)).otherwise(base)
+    clocked = logical_clock(marked, ["_scope", "_outside", "_ticks"], ["event_id"], chunk, F.col("logical_clock"), start)
+    ticked = clocked.withColumn("logical_clock", F.when(F.col("_ticks"), F.col("logical_clock")))
+    return ticked.drop("_ticks", "_outside", "_scope")
 
 
 def accepted_rows(sealed: DataFrame) -> DataFrame:

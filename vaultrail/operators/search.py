@@ -9,14 +9,12 @@ from vaultrail.functions.crypto import Keyring, blind_indexes, open_sealed, seal
 from vaultrail.functions.text import IDENTITY_LIMIT, truncate
 from vaultrail.session import materialise
 
-# A search for at most this many literal values becomes an IN filter that reaches the scan.
-LITERAL_VALUES = 100
-
 
 def search_literals(ledger: DataFrame, keyring: Keyring, index: str, values: list[str]) -> DataFrame:
-    """Rows whose index matches any of a few given values under any key of the ring."""
-    if len(values) > LITERAL_VALUES:
-        raise ValueError(f"use search_values() for more than {LITERAL_VALUES} values")
+    """Rows whose index matches any of the given values under any key of the ring, by an IN filter at the scan.
+
+    Any number of values works; :func:`search_values` takes them from a table.
+    """
     cut = [v if len(v) <= IDENTITY_LIMIT else v[:IDENTITY_LIMIT] + "..." for v in values]
     return ledger.where(F.col(index).isin([token for v in cut for token in keyring.tokens(v)]))
 

@@ -51,6 +51,12 @@ def work_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark).rstrip('/')}/vaultrail/{label}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a work folder that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """One split per core for a table that arrives in fewer, as small files do; other tables stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import Keyring
 from vaultrail.operators import ingest
-from vaultrail.session import materialise
+from vaultrail.session import remove_folder, work_folder
+
 
 def read_events(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     """Audit events with the full event schema; columns a file lacks are null."""
@@ -31,39 +32,47 @@ def ingest_events(
     base: Column | None = None,
     letters=None,
 ) -> DataFrame:
-    """Audit events into the ledger: guards, logical clocks, sealing, append; returns the counts.
+    """Audit events into the ledger: guards, sealing, logical clocks, append; returns the counts.
 
-    Clocks need the guarded rows twice and metadata guards may run Python, so the guarded table is written first.
+    Events are sealed before anything is written. Only sealed columns and what clocks need are staged.
     """
-    guarded = materialise(ingest.guard_events(ingest.with_event_columns(events), policy), "guarded")
-    clocked = ingest.assign_clocks(guarded, chunk, base)
-    return append(ingest.seal_events(clocked, keyring, policy), path, letters)
+    guarded = ingest.guard_events(ingest.with_event_columns(events), policy)
+    start = F.lit(0) if base is None else base
+    sealed = ingest.seal_events(guarded, keyring, policy).withColumn("clock_base", start)
+    return append(sealed, path, letters, lambda rows: ingest.assign_clocks(rows, chunk, F.col("clock_base")))
 
 
-def append(sealed: DataFrame, path: str, letters=None) -> DataFrame:
+def append(sealed: DataFrame, path: str, letters=None, clocks=None) -> DataFrame:
     """Append sealed events to the ledger below ``path`` and return accepted and rejected counts.
 
-    The sealed table is written once to the shared folder and split from there, so that sealing runs once although
-    there are three outputs. Rows are stored by day and sorted by actor index, which lets a search skip row groups; a large day is
-    split into several even files.
-    ``letters`` receives the rejected rows.
+    The envelope is staged once in the shared folder and split from there, so that sealing runs once although there are
+    several outputs; no plaintext column is written, and the stage is removed at the end. Blobs are stored before
+    the rows that point to them. Rows are stored by day and sorted by actor index, which lets a search skip row groups; a
+    large day is split into several even files. ``clocks`` completes the staged rows. ``letters`` receives the rejected
+    rows with all their columns.
     """
-    staged = materialise(sealed, "sealed")
-    day = F.to_date("created_at").alias("day")
+    spark = sealed.sparkSession
+    extra = [c for c in ("request_id", "clock_base") if c in sealed.columns]
+    folder = work_folder(spark, "sealed")
+    sealed.select(*ingest.ENVELOPE, "reject_reason", *extra).write.parquet(folder)
+    staged = spark.read.parquet(folder)
+    ingest.claim_blobs(staged).write.mode("append").parquet(f"{path}/blobs")
+    rows = ingest.accepted_rows(staged if clocks is None else clocks(staged))
     (
-        ingest.accepted_rows(staged)
-        .select("*", day)
+        rows.select("*", F.to_date("created_at").alias("day"))
         .hint("rebalance", "day")
         .sortWithinPartitions("day", "actor_index")
         .write.mode("append")
         .partitionBy("day")
         .parquet(f"{path}/rows")
     )
-    ingest.claim_blobs(staged).write.mode("append").parquet(f"{path}/blobs")
     if letters is not None:
-        letters(ingest.rejected_rows(staged))
+        letters(ingest.rejected_rows(sealed))
     bad = F.col("reject_reason").isNotNull()
-    return staged.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+    counts = staged.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+    found, schema = counts.collect(), counts.schema
+    remove_folder(spark, folder)
+    return spark.createDataFrame(found, schema)
 
 
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
