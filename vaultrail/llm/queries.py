@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultrail.llm import ann, bitpack, brown_lm, mixing, ngram_join, packing, suffix_dedup, token_counts, topk, toxicity
+from vaultrail.llm.tables import small_batches
 from vaultrail.plans.registry import registrar
 from vaultrail.session import work_folder
 
@@ -16,7 +17,7 @@ query = registrar(QUERIES, ORACLES)
 
 
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return small_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 def fold(modulus: int):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultrail.session import materialise
@@ -11,6 +11,12 @@ from vaultrail.session import materialise
 NARROW_ROWS = 200_000
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Let texts go to Python in batches of a few megabytes, so that a worker's memory doesn't follow the texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    return spark
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only; other columns, whatever their names, go no further."""
     return df.select(*(df[n] for n in names))
