@@ -17,7 +17,7 @@ A group larger than ``2 * PART`` is divided into parts, and each two parts meet
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultrail.llm.tables import components, join_narrow, pick
+from vaultrail.llm.tables import components, join_narrow, pick, temporary
 from vaultrail.llm.textbytes import Fingerprints, lower, mix, slices, words
 from vaultrail.session import materialise
 
@@ -255,33 +255,38 @@ def _group_links(percent: int):
     return run
 
 
-def classes_of(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def classes_of(documents: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, Callable[[], None]]:
     """(doc_id, n, d1, d2) of every row, one row for each distinct non-empty set, and the doc_ids of several rows.
 
     A class has its smallest doc_id (low) and a number of its own (rep): the same, unless that doc_id has several rows.
+    The early members of the classes (rep, low, prefix) are a table of their own, with a function that removes it.
     """
     rows = pick(documents, "doc_id", "text")
-    signed = materialise(rows.mapInArrow(_signatures(size, percent), "doc_id long, n long, d1 long, d2 long, prefix binary"), "ngram-signatures")
-    sets = signed.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix"))
+    signatures, remove_signatures = temporary(rows.mapInArrow(_signatures(size, percent), "doc_id long, n long, d1 long, d2 long, prefix binary"), "ngram-signatures")
+    signed = materialise(signatures.drop("prefix"), "ngram-rows")
+    sets = signatures.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("low"), F.first("prefix").alias("prefix"))
     several = signed.groupBy(F.col("doc_id").alias("low")).count().where("low is not null and count > 1").select("low", F.lit(True).alias("several"))
     several = materialise(several, "ngram-several")
     sets = sets.join(several, "low", "left").withColumn("several", F.coalesce("several", F.lit(False)))
     greatest = signed.agg(F.max("doc_id")).first()[0] or 0
     fresh = F.lit(greatest) + 1 + F.monotonically_increasing_id()
-    sets = materialise(sets.withColumn("rep", F.when(F.col("several"), fresh).otherwise(F.col("low"))), "ngram-classes")
-    return signed.drop("prefix"), sets, several.select(F.col("low").alias("doc_id"))
+    full, remove_full = temporary(sets.withColumn("rep", F.when(F.col("several"), fresh).otherwise(F.col("low"))), "ngram-early")
+    remove_signatures()
+    sets = materialise(full.drop("prefix"), "ngram-classes")
+    return signed, sets, several.select(F.col("low").alias("doc_id")), full.select("rep", "low", "prefix"), remove_full
 
 
-def class_links(documents: DataFrame, sets: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (u, v) between classes, enough to connect all that are connected."""
+def class_links(documents: DataFrame, sets: DataFrame, prefixes: DataFrame, remove_prefixes: Callable[[], None], size: int, percent: int) -> DataFrame:
+    """Links (u, v) between classes, enough to connect all that are connected. Removes ``prefixes`` when it has read them."""
     named = sets.where("low is not null")
-    first = named.select("rep", "prefix").mapInArrow(_exploded("prefix"), "token long, rep long")
+    first = prefixes.where("low is not null").select("rep", "prefix").mapInArrow(_exploded("prefix"), "token long, rep long")
     met = first.withColumns({"low": F.min("rep").over(Window.partitionBy("token")), "high": F.max("rep").over(Window.partitionBy("token"))})
     shared = met.where("low < high").groupBy("rep").agg(F.count("*").alias("shared"))
     smallest = F.ceil(F.col("n") * percent / F.lit(100))
     enough = F.col("shared") >= F.greatest(F.lit(1), F.floor(smallest * (100 - percent) / F.lit(100)))
     left = shared.join(named.select("rep", "low", "n", "d1", "d2", "several"), "rep").where(enough).drop("shared")
     left = materialise(left, "ngram-left")
+    remove_prefixes()
     texts = join_narrow(pick(documents, "doc_id", "text").withColumnRenamed("doc_id", "low"), left, "low")
     # Several rows of one doc_id may have the set of the class; they give its n-grams once.
     tokens = texts.where("not several").mapInArrow(_tokens(size), "token long, rep long")
@@ -316,8 +321,8 @@ def similarity_components(documents: DataFrame, size: int = 5, percent: int = 80
     rows that share a doc_id with different texts. A row without doc_id takes the component of rows with an equal
     set, or null. Other columns are ignored. An empty table gives an empty result.
     """
-    signed, sets, several = classes_of(documents, size, percent)
-    edges = class_links(documents, sets, size, percent)
+    signed, sets, several, prefixes, remove_prefixes = classes_of(documents, size, percent)
+    edges = class_links(documents, sets, prefixes, remove_prefixes, size, percent)
     # Classes that share a doc_id, by texts of its own, are linked.
     again = signed.join(several, "doc_id", "left_semi")
     again = again.join(sets, ["n", "d1", "d2"]).select("doc_id", "rep")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultrail.session import materialise
+from vaultrail.session import materialise, remove_folder, work_folder
 
 #: Rows up to which a narrow table (a few numbers a row) is sent to every executor.
 NARROW_ROWS = 200_000
@@ -22,6 +24,14 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*(df[n] for n in names))
 
 
+def temporary(df: DataFrame, label: str) -> tuple[DataFrame, Callable[[], None]]:
+    """``df`` written once to the shared folder, and a function that removes it when nothing reads it any more."""
+    spark = df.sparkSession
+    path = work_folder(spark, label)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), lambda: remove_folder(spark, path)
+
+
 def join_narrow(big: DataFrame, narrow: DataFrame, on: str | list[str] | Column, how: str = "inner") -> DataFrame:
     """Join a wide table with a narrow stored one, whose rows are counted first.
 
