@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import blind_index
 from vaultrail.operators import access, ingest, search
+from vaultrail.operators.ordered import int_chunk
+from vaultrail.sources import ledger as store
 
 
 def test_lifetimes(spark):
@@ -104,3 +106,42 @@ def test_causality(spark):
     expected = {"a": ("a", 0), "b": ("a", 1), "c": ("a", 2), "d": ("a", 3), "e": ("e", 0), "f": ("e", 1)}
     expected |= {k: (None, None) for k in "xyzs"} | {f"n{i}": ("n0", i) for i in range(40)}
     assert found == expected
+
+
+def test_causality_within_traces(spark):
+    edges = [("t", "a", None), ("t", "b", "a"), ("t", "b", "a"), ("u", "b", None), ("u", "c", "b"), ("t", "d", "c"), (None, "e", "b"), ("u", None, "b")]
+    frame = spark.createDataFrame(edges, "trace_id string, span_id string, parent_span_id string")
+    rows = search.causality(frame, ["trace_id"]).collect()
+    expected = {("t", "a"): ("a", 0), ("t", "b"): ("a", 1), ("u", "b"): ("b", 0), ("u", "c"): ("b", 1), ("t", "d"): ("d", 0)}
+    expected |= {(None, "e"): (None, None), ("u", None): (None, None)}
+    assert len(rows) == len(edges) and {(r.trace_id, r.span_id): (r.root_span_id, r.depth) for r in rows} == expected
+
+
+def test_purge_leaves_no_blob(spark, ring, tmp_path):
+    """Rows, blobs and counts after a purge; the blob of an erased row is not in the snapshot."""
+    large = "x" * 40_000
+    events = [(1, "ann", '{"a":"' + large + '"}'), (2, "bob", '{"b":"' + large + '"}'), (3, "ann", "{}")]
+    frame = ingest.with_event_columns(spark.createDataFrame(events, "event_id bigint, actor string, metadata string").withColumn("action", F.lit("put")))
+    sealed = ingest.seal_events(frame.withColumn("reject_reason", F.lit(None).cast("string")), ring)
+    old, new, last = (f"{tmp_path}/{n}" for n in ("old", "new", "last"))
+    store.append(sealed, old)
+    requests = lambda *names: spark.createDataFrame([(n, None) for n in names], "actor string, max_created_at timestamp")
+    counts = store.purge(spark, old, new, requests("ann", "nobody"), ring)
+    assert [r.deleted_count for r in counts.collect()] == [2]
+    rows, blobs = store.read_rows(spark, new), store.read_blobs(spark, new)
+    assert [r.event_id for r in rows.collect()] == [2] and {r.hash for r in blobs.collect()} == {r.payload for r in rows.collect()}
+    assert sorted(r.event_id for r in store.read_tombstones(spark, new).collect()) == [1, 3]
+    store.purge(spark, new, last, requests("bob"), ring)
+    assert store.read_rows(spark, last).count() == store.read_blobs(spark, last).count() == 0
+
+
+def test_stored_search_is_pushed_and_sealed(spark, ring, tmp_path, capsys):
+    """The index filter reaches the scan, and no file of a ledger has a plaintext column."""
+    frame = spark.createDataFrame([(1, "ann", "put"), (2, "bob", "put")], "event_id bigint, actor string, action string")
+    store.ingest_events(frame.withColumn("metadata", F.lit("{}")), f"{tmp_path}/ledger", ring, [int_chunk("event_id")])
+    rows = store.read_rows(spark, f"{tmp_path}/ledger")
+    assert set(spark.read.parquet(f"{tmp_path}/ledger/rows").columns) == {*ingest.ENVELOPE, "day"}
+    found = search.search_literals(rows, ring, "actor_index", ["ann"])
+    found.explain("formatted")
+    assert "PushedFilters: [In(actor_index" in capsys.readouterr().out
+    assert [r.event_id for r in found.collect()] == [1]

@@ -1,7 +1,6 @@
 import random
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from vaultrail.functions.numbers import floor_div
@@ -60,8 +59,19 @@ def test_top_k_equals_numpy(spark):
         assert [r.id for r in one] == best and np.allclose([r.score for r in one], score[best])
 
 
-def test_too_many_queries_are_refused(spark):
-    docs = spark.createDataFrame([(1, [1.0])], "id bigint, values array<float>")
-    queries = spark.range(memory.MAX_QUERIES + 1).select(F.col("id").alias("query_id"), F.array(F.lit(1.0)).alias("query"))
-    with pytest.raises(ValueError):
-        memory.top_k(docs, queries, 1)
+def test_many_queries_and_bad_vectors(spark):
+    docs = spark.createDataFrame(
+        [(1, [1.0]), (2, None), (3, [None]), (4, [float("nan")]), (5, [2.0]), (6, [1.0, 1.0])], "id bigint, values array<double>"
+    )
+    queries = spark.range(4097).select(F.col("id").alias("query_id"), F.array(F.lit(1.0)).alias("query"))
+    bad = spark.createDataFrame([(-1, None), (-2, [None]), (-3, [1.0, 2.0, 3.0])], "query_id bigint, query array<double>")
+    found = memory.top_k(docs, queries.unionByName(bad), 1)
+    assert found.agg(F.count("*"), F.countDistinct("query_id"), F.min("id"), F.max("id"), F.max("rank")).first() == (4097, 4097, 1, 1, 1)
+    assert memory.top_k(docs, queries.where("false"), 1).count() == 0
+    assert memory.top_k(docs.where("false"), bad, 1).count() == 0
+
+
+def test_blocks_meet(spark, monkeypatch):
+    monkeypatch.setattr(memory, "DOC_BLOCK", 7)
+    monkeypatch.setattr(memory, "QUERY_BLOCK", 2)
+    test_top_k_equals_numpy(spark)

@@ -34,6 +34,20 @@ def test_merkle_paths(spark):
     assert {r.id: r.valid for r in proofs.verify_proofs(frame).collect()} == expected
 
 
+def test_merkle_paths_with_positions(spark):
+    rows, expected = [], {}
+    for steps, at in ((0, 0), (3, 5), (12, 2049), (20, 777_777), (44, 2**43 + 11)):
+        path, h = [sha(f"s{i}") for i in range(steps)], sha("p")
+        for i, s in enumerate(path):
+            h = sha(s + h) if at >> i & 1 else sha(h + s)
+        rows += [(f"ok{steps}", "p", h, json.dumps(path), at), (f"elsewhere{steps}", "p", h, json.dumps(path), at ^ 1)]
+        expected |= {f"ok{steps}": True, f"elsewhere{steps}": steps == 0}
+    rows += [("unsided", "p", rows[-2][2], rows[-2][3], None), ("broken", "p", "x", "{", 1), ("no path", "p", "x", None, 1)]
+    expected |= {"unsided": None, "broken": False, "no path": False}
+    frame = spark.createDataFrame(rows, "id string, payload string, merkle_root string, merkle_path_json string, at bigint")
+    assert {r.id: r.valid for r in proofs.verify_proofs(frame, position="at").collect()} == expected
+
+
 def ledger(spark, sizes):
     rows = [(p, i, sha(f"{p}{i}")) for p, n in sizes.items() for i in range(1, n + 1)]
     random.Random(2).shuffle(rows)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vaultrail.functions.crypto import sha256_hex
 from vaultrail.functions.jsontext import object_of, quote
@@ -189,9 +190,10 @@ def record_calls(calls: DataFrame, tool: str, run: Callable[[str], str], chunk:
                 latency.append(int((time.time() - begin) * 1000))
             yield frame.drop(columns="args").assign(output=outputs, error=errors, captured_at=started, latency_ms=latency)
 
-    kept = [f for f in calls.select("run_id", "call_id", "scrubbed").schema.simpleString()[7:-1].split(",")]
-    schema = ",".join(kept) + ",output:string,error:string,captured_at:bigint,latency_ms:bigint"
-    ran = calls.select("run_id", "call_id", "scrubbed", "args").mapInPandas(execute, schema.replace(":", " "))
+    schema = T.StructType(calls.select("run_id", "call_id", "scrubbed").schema.fields)
+    for name, kind in (("output", T.StringType()), ("error", T.StringType()), ("captured_at", T.LongType()), ("latency_ms", T.LongType())):
+        schema = schema.add(name, kind)
+    ran = calls.select("run_id", "call_id", "scrubbed", "args").mapInPandas(execute, schema)
     ran = materialise(ran, "recorded")
     done = ran.where(F.col("error").isNull()).drop("error")
     done = done.withColumns({"tool": F.lit(tool), "args_hash": args_hash(F.lit(tool), "scrubbed")})

@@ -12,8 +12,9 @@ from vaultrail.operators.ordered import neighbour
 UPSERT, DELETE = "upsert", "delete"
 DEFAULT_REASON = "soft_delete"
 
-# Query vectors of one search are held by every task; at most this many fit comfortably.
-MAX_QUERIES = 4096
+# Rows of a block of documents and of a block of queries in an exact search, on average.
+DOC_BLOCK = 8192
+QUERY_BLOCK = 1024
 
 
 def versions(changes: DataFrame, chunk: list[Column]) -> DataFrame:
@@ -59,39 +60,63 @@ def _unit(matrix):
     return np.divide(matrix, length, out=np.zeros_like(matrix), where=length > 0)
 
 
+def _usable(vector: Column) -> Column:
+    """Whether a vector is given and holds finite numbers only."""
+    return vector.isNotNull() & F.forall(vector, lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False)))
+
+
+def _best(k: int):
+    """The ``k`` best of a block of documents for each vector of a block of queries; ties go to the smaller id."""
+
+    def search(docs, asked):
+        import pandas as pd
+
+        found = [[], [], []]
+        docs = docs.sort_values("id", kind="stable")
+        of_docs, of_asked = docs["vector"].map(len).to_numpy(), asked["vector"].map(len).to_numpy()
+        for size in np.unique(of_asked):
+            near, names = docs[of_docs == size], asked["query_id"].to_numpy()[of_asked == size]
+            if near.empty:
+                continue
+            ids = near["id"].to_numpy()
+            left, right = (_unit(np.stack(v.to_numpy()).astype(np.float64)) for v in (asked["vector"][of_asked == size], near["vector"]))
+            for name, vector, scores in zip(names, left, left @ right.T, strict=True):
+                keep = np.arange(len(ids))
+                if len(ids) > k:
+                    keep = np.flatnonzero(scores >= np.partition(scores, len(ids) - k)[len(ids) - k] - 1e-9)
+                # Equal vectors get equal scores here, which a product of matrices does not promise.
+                exact = (right[keep] * vector).sum(axis=1)
+                first = np.argsort(-exact, kind="stable")[:k]
+                found[0] += [name] * len(first)
+                found[1] += list(ids[keep[first]])
+                found[2] += exact[first].tolist()
+        return pd.DataFrame(dict(zip(("query_id", "id", "score"), found)))
+
+    return search
+
+
 def top_k(memory: DataFrame, queries: DataFrame, k: int, vector: str = "values", query_vector: str = "query") -> DataFrame:
     """The ``k`` most similar documents of each query vector by cosine similarity, exactly.
 
-    ``queries(query_id, query)`` is read to the driver after its size is checked, and each task compares its documents
-    with all queries in blocks, keeping ``k`` per query; only these leave the task. Ties go to the smaller id.
+    Documents and queries ``(query_id, query)`` are divided into blocks by their ids, and each two blocks meet in one task,
+    which keeps ``k`` documents per query; only these are ranked. Ties go to the smaller id. A vector that is null or holds
+    a null or non-finite number takes no part, one of length zero scores 0, and only vectors of equal size are compared.
     """
-    asked = queries.select("query_id", query_vector).limit(MAX_QUERIES + 1).collect()
-    if len(asked) > MAX_QUERIES:
-        raise ValueError(f"split the search: more than {MAX_QUERIES} query vectors")
-    names = [row[0] for row in asked]
-    matrix = _unit(np.array([row[1] for row in asked], dtype=np.float64))
+    docs = memory.select("id", F.col(vector).alias("vector")).where(_usable(F.col("vector")))
+    asked = queries.select("query_id", F.col(query_vector).alias("vector")).where(_usable(F.col("vector")))
 
-    def search(batches):
-        import pandas as pd
+    def blocks(rows: DataFrame, size: int) -> int:
+        return max(1, -(-rows.count() // size))
 
-        best = [([], []) for _ in names]
-        for frame in batches:
-            if frame.empty:
-                continue
-            ids = frame["id"].to_numpy()
-            scores = _unit(np.stack(frame[vector].to_numpy()).astype(np.float64)) @ matrix.T
-            for q in range(len(names)):
-                all_ids = np.concatenate([np.asarray(best[q][0], dtype=ids.dtype), ids])
-                all_scores = np.concatenate([best[q][1], scores[:, q]])
-                keep = np.lexsort((all_ids, -all_scores))[:k]
-                best[q] = (all_ids[keep], all_scores[keep])
-        rows = [(n, i, float(s)) for n, (ids, scores) in zip(names, best) for i, s in zip(ids, scores)]
-        yield pd.DataFrame(rows, columns=["query_id", "id", "score"])
-
-    types = dict(queries.select("query_id").dtypes) | dict(memory.select("id").dtypes)
-    partial = memory.select("id", vector).mapInPandas(
-        search, f"query_id {types['query_id']}, id {types['id']}, score double"
-    )
+    def every(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    across, down = blocks(memory, DOC_BLOCK), blocks(queries, QUERY_BLOCK)
+    docs = docs.withColumn("_d", F.pmod(F.xxhash64("id"), F.lit(across)).cast("int")).withColumn("_q", every(down))
+    asked = asked.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(down)).cast("int")).withColumn("_d", every(across))
+    types = dict(asked.dtypes) | dict(docs.dtypes)
+    met = docs.groupBy("_d", "_q").cogroup(asked.groupBy("_d", "_q"))
+    partial = met.applyInPandas(_best(k), f"query_id {types['query_id']}, id {types['id']}, score double")
     ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
     return partial.withColumn("rank", F.row_number().over(ranked).cast("bigint")).where(F.col("rank") <= k)
 

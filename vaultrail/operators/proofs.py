@@ -14,6 +14,8 @@ from vaultrail.functions.text import first_present
 
 # The last steps of a path are tried in both orders at once, the steps before them one order after the other.
 BOTH_ORDERS = 10
+# Steps up to which the sides of siblings are searched for.
+UNSIDED_STEPS = 24
 
 
 def _fold_both(start: Column, path: Column) -> Column:
@@ -39,12 +41,14 @@ def _fold_ordered(start: Column, path: Column, order: Column) -> Column:
     return F.aggregate(path, F.struct(start.alias("h"), order.cast("bigint").alias("o")), step, lambda acc: acc["h"])
 
 
-def verify_proofs(proofs: DataFrame, payload: str = "payload") -> DataFrame:
+def verify_proofs(proofs: DataFrame, payload: str = "payload", position: str | None = None) -> DataFrame:
     """Add ``valid`` to proofs ``(payload, merkle_root, merkle_path_json)``; a path that is no JSON list is invalid.
 
-    Each sibling may stand on either side, so a path of ``n`` steps has ``2^n`` candidate roots. All are tried, within
-    the row and without a shuffle; at no time are more than ``2^BOTH_ORDERS`` hashes held, and the first hit ends the
-    search.
+    ``position`` names a column with the leaf's place in its tree, from 0. Its bits tell the sides of the siblings, so
+    a path of any length takes one hash a step. Where it is null or not given, each sibling may stand on either side, and
+    a path of ``n`` steps has ``2^n`` candidate roots. All are tried, within the row and without a shuffle; at no time
+    are more than ``2^BOTH_ORDERS`` hashes held, and the first hit ends the search. That work doubles with each step,
+    so a path of more than ``UNSIDED_STEPS`` steps without a position is left undecided: its ``valid`` is null.
     """
     ready = proofs.withColumns(
         {"_path": F.from_json("merkle_path_json", "array<string>"), "_leaf": sha256_hex(payload)}
@@ -52,11 +56,15 @@ def verify_proofs(proofs: DataFrame, payload: str = "payload") -> DataFrame:
     path, leaf, root = F.col("_path"), F.col("_leaf"), F.col("merkle_root")
     ordered = F.greatest(F.size(path) - BOTH_ORDERS, F.lit(0))
     short = F.size(path) <= BOTH_ORDERS
-    orders = F.sequence(F.lit(0).cast("bigint"), F.pow(F.lit(2.0), ordered).cast("bigint") - 1)
+    tried = F.least(ordered, F.lit(UNSIDED_STEPS - BOTH_ORDERS))
+    orders = F.sequence(F.lit(0).cast("bigint"), F.pow(F.lit(2.0), tried).cast("bigint") - 1)
     first, rest = F.slice(path, F.lit(1), ordered), F.slice(path, ordered + 1, F.lit(BOTH_ORDERS))
     long_hit = F.exists(orders, lambda o: F.array_contains(_fold_both(_fold_ordered(leaf, first, o), rest), root))
-    valid = F.when(short, F.array_contains(_fold_both(leaf, path), root)).otherwise(long_hit)
-    return ready.withColumn("valid", F.coalesce(valid, F.lit(False))).drop("_path", "_leaf")
+    either = F.when(short, F.array_contains(_fold_both(leaf, path), root)).otherwise(long_hit)
+    at = F.lit(None).cast("bigint") if position is None else F.col(position)
+    valid = F.when(at.isNotNull(), _fold_ordered(leaf, path, at) == root).otherwise(either)
+    undecided = at.isNull() & (F.size(path) > UNSIDED_STEPS)
+    return ready.withColumn("valid", F.when(~F.coalesce(undecided, F.lit(False)), F.coalesce(valid, F.lit(False)))).drop("_path", "_leaf")
 
 
 # --- hash chains -----------------------------------------------------------------------------------------------------

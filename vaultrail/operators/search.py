@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -129,18 +133,21 @@ def _write_state(state: DataFrame) -> tuple[DataFrame, int, int]:
     return written, seen.get["open"], seen.get["rows"]
 
 
-def causality(spans: DataFrame) -> DataFrame:
-    """Root and depth of every span in its tree of span and parent span.
+def causality(spans: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Root and depth of every span in its tree of span and parent span; ids are looked up within ``scope``, the trace.
 
     Each round replaces a span's ancestor pointer by its ancestor's pointer, so a chain of ``n`` spans is resolved in
     ``log2(n)`` joins. A span whose parent is not in the table is a root. Spans in a cycle, or below one, end with a
-    null root and depth. ``span_id`` must be unique.
+    null root and depth. A span reported several times counts once, under its smallest parent; rows without a span id
+    or a scope have neither root nor depth.
     """
-    known = spans.select(F.col("span_id").alias("parent_span_id"))
-    edges = spans.select("span_id", "parent_span_id")
-    rooted = edges.join(known.withColumn("_known", F.lit(True)), "parent_span_id", "left")
+    whole = reduce(and_, [F.col(c).isNotNull() for c in [*scope, "span_id"]])
+    edges = spans.where(whole).groupBy(*scope, "span_id").agg(F.min("parent_span_id").alias("parent_span_id"))
+    known = edges.select(*scope, F.col("span_id").alias("parent_span_id"))
+    rooted = edges.join(known.withColumn("_known", F.lit(True)), [*scope, "parent_span_id"], "left")
     has_parent = F.col("_known").isNotNull()
     state = rooted.select(
+        *scope,
         "span_id",
         F.when(has_parent, F.col("parent_span_id")).alias("next"),
         F.when(has_parent, F.col("parent_span_id")).otherwise(F.col("span_id")).alias("root"),
@@ -150,13 +157,15 @@ def causality(spans: DataFrame) -> DataFrame:
     rounds = 0
     while open_rows and 2**rounds < total:
         up = state.select(
+            *scope,
             F.col("span_id").alias("next"),
             F.col("next").alias("_next"),
             F.col("root").alias("_root"),
             F.col("depth").alias("_depth"),
         )
-        pending = state.where(F.col("next").isNotNull()).join(up, "next")
+        pending = state.where(F.col("next").isNotNull()).join(up, [*scope, "next"])
         stepped = pending.select(
+            *scope,
             "span_id",
             F.col("_next").alias("next"),
             F.col("_root").alias("root"),
@@ -166,11 +175,12 @@ def causality(spans: DataFrame) -> DataFrame:
         rounds += 1
     open_end = F.col("next").isNotNull()
     placed = state.select(
-        F.col("span_id"),
+        *scope,
+        "span_id",
         F.when(~open_end, F.col("root")).alias("root_span_id"),
         F.when(~open_end, F.col("depth")).alias("depth"),
     )
-    return spans.join(placed, "span_id")
+    return spans.join(placed, [*scope, "span_id"], "left")
 
 
 def causal_order(rows: DataFrame, scope: list[str]) -> DataFrame:

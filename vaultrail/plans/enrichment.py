@@ -228,7 +228,7 @@ def agent_taxonomy(spark, folder):
         AUDIT,
         REQUESTS,
         """spans AS (SELECT 'svc_' || (user_id % 5) AS service, epoch_us(ts) AS s, epoch_us(ts) + ((event_id * 37) % 600 + 1) * 60000000 AS e, event_id
-          FROM events WHERE event_type = 'view')""",
+          FROM events)""",
         """timed AS (SELECT event_id, 'svc_' || (user_id % 5) AS service, epoch_us(ts) AS at FROM events)""",
         """found AS (SELECT t.event_id, s.event_id AS span FROM timed t JOIN spans s ON s.service = t.service AND t.at BETWEEN s.s AND s.e
           QUALIFY row_number() OVER (PARTITION BY t.event_id ORDER BY s.s DESC, s.event_id DESC) = 1)""",

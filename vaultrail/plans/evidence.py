@@ -116,14 +116,14 @@ def tool_call_events(spark, folder):
 
 
 def call_rows(spark, folder):
-    """User turns as tool calls; the whole turn is the argument, a secret is not kept."""
-    turns = inputs.table(spark, folder, "conversations").where(F.col("role") == "user")
+    """Turns as tool calls; the whole turn is the argument, a secret is not kept."""
+    turns = inputs.table(spark, folder, "conversations")
     args = object_of(("secret", F.lit('"s3"')), ("input", quote("text")), ("turn", F.col("turn").cast("string")))
     return turns.select(F.col("conv_id").alias("run_id"), F.col("turn").alias("call_id"), args.alias("args"))
 
 
 CALLS = """calls AS (SELECT conv_id AS run_id, turn AS call_id, text,
-    '{"turn":' || turn || ',"input":' || to_json(text)::VARCHAR || '}' AS scrubbed FROM conversations WHERE role = 'user')"""
+    '{"turn":' || turn || ',"input":' || to_json(text)::VARCHAR || '}' AS scrubbed FROM conversations)"""
 
 
 @query(with_(CALLS) + "SELECT run_id, call_id, scrubbed, sha256('lookup' || scrubbed) AS args_hash FROM calls")
@@ -166,7 +166,7 @@ def record_calls(spark, folder):
 
 REPLAY = """recorded AS (
     SELECT l_partkey % 50 AS a, l_suppkey % 5 AS t, max_by(l_orderkey, l_orderkey * 1000000 + l_partkey) AS output
-    FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL)"""
+    FROM lineitem GROUP BY ALL)"""
 
 
 @query(
@@ -178,7 +178,7 @@ REPLAY = """recorded AS (
 )
 def replay_lookup(spark, folder):
     """Calls answered from records: the output captured last per key, or an error row."""
-    lines = inputs.table(spark, folder, "lineitem").where(F.col("l_returnflag") == "R")
+    lines = inputs.table(spark, folder, "lineitem")
     records = lines.select(
         agents.args_hash(inputs.text("tool_", F.col("l_suppkey") % 5), inputs.text('{"a":', F.col("l_partkey") % 50, "}")).alias("args_hash"),
         inputs.text('{"order":', F.col("l_orderkey"), "}").alias("output"),
@@ -246,8 +246,8 @@ def run_heads(spark, folder):
 
 
 def run_alibis(spark, folder):
-    """Purchases report a model; the last report of a run counts."""
-    rows = inputs.table(spark, folder, "events").where(F.col("event_type") == "purchase")
+    """Every event reports a model; the last report of a run counts."""
+    rows = inputs.table(spark, folder, "events")
     e = F.col("event_id")
     return rows.select(
         inputs.text("run_", F.col("user_id")).alias("run_id"),
@@ -268,7 +268,7 @@ BUNDLES = """records AS (
     FROM records GROUP BY ALL),
   alibis AS (
     SELECT user_id, '{"modelId":"model-' || (max(event_id) % 4) || '"' || CASE WHEN max(event_id) % 2 = 0 THEN ',"systemFingerprint":"fp_' || max(event_id) || '"' ELSE '' END
-      || ',"seed":' || (max(event_id) % 10) || '}' AS alibi FROM events WHERE event_type = 'purchase' GROUP BY user_id),
+      || ',"seed":' || (max(event_id) % 10) || '}' AS alibi FROM events GROUP BY user_id),
   bundles AS (
     SELECT run_id, user_id, part, max(part) OVER (PARTITION BY run_id) + 1 AS parts,
       '{"version":1,"runId":"' || run_id || '","projectId":"p_' || (user_id % 5) || '"'
@@ -281,7 +281,7 @@ BUNDLES = """records AS (
 @query(
     """SELECT 'run_' || user_id AS run_id, 'model-' || (max(event_id) % 4) AS model_id,
       CASE WHEN max(event_id) % 2 = 0 THEN 'fp_' || max(event_id) END AS system_fingerprint, max(event_id) % 10 AS seed
-      FROM events WHERE event_type = 'purchase' GROUP BY user_id"""
+      FROM events GROUP BY user_id"""
 )
 def provider_alibi(spark, folder):
     """Last model report of every run."""

@@ -11,7 +11,9 @@ from vaultrail.plans import inputs
 from vaultrail.plans.inputs import KEYRING
 from vaultrail.plans.oracle import AUDIT, IDENTITIES, hmac, with_
 from vaultrail.plans.registry import registrar
-from vaultrail.plans.sealing import audit, guarded_audit, sealed_audit
+from vaultrail.plans.sealing import CLOCKS, DOC_META, DOC_PAYLOAD, audit, guarded_audit, sealed_audit, sealed_documents
+from vaultrail.session import work_folder
+from vaultrail.sources import ledger as store
 
 QUERIES, ORACLES = {}, {}
 query = registrar(QUERIES, ORACLES)
@@ -63,10 +65,6 @@ def access_grants(spark, folder):
     )
 
 
-CLOCKS = """n AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY event_id) AS pos,
-      COALESCE(logical_clock, 0) - row_number() OVER (PARTITION BY request_id ORDER BY event_id) + 1 AS lift FROM ids),
-  ledger AS (SELECT * EXCLUDE (logical_clock), pos + greatest(0, max(lift) OVER (PARTITION BY request_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)) AS logical_clock FROM n)"""
-
 NOW = 1_700_002_500
 
 
@@ -99,8 +97,10 @@ def visible_rows(spark, folder):
       FROM ids WHERE tenant = 't_1' AND action = 'event.error' AND contains(target, 'obj_7')"""
 )
 def scoped_view(spark, folder):
-    """A tenant's view with chosen columns, an action filter and a text search."""
-    ledger = ingest.accepted_rows(sealed_audit(spark, folder))
+    """A tenant's view of a stored ledger with chosen columns, an action filter and a text search."""
+    path = work_folder(spark, "ledger")
+    store.append(sealed_audit(spark, folder), path)
+    ledger = store.read_rows(spark, path)
     columns = ["createdAt", "actor", "action", "target", "metadata.k"]
     view = search.scoped_view(ledger, KEYRING, "tenant", ["t_1"], columns, search='"target":"obj_7', action="event.error")
     return view.withColumn("cat", F.date_format("cat", "yyyy-MM-dd HH:mm:ss"))
@@ -118,14 +118,13 @@ def search_table(spark, folder):
 
 @query(
     with_(AUDIT, IDENTITIES)
-    + """SELECT event_id, user_id % 4 <> 0 AS resolved, CASE WHEN user_id % 4 <> 0 THEN 'Customer ' || user_id END AS display_name
-      FROM ids WHERE actor IS NOT NULL"""
+    + """SELECT event_id, actor IS NOT NULL AND user_id % 4 <> 0 AS resolved,
+      CASE WHEN actor IS NOT NULL AND user_id % 4 <> 0 THEN 'Customer ' || user_id END AS display_name FROM ids"""
 )
 def hydrate_refs(spark, folder):
-    """Display names of referenced actors."""
+    """Display names of referenced actors; events without one have none."""
     policy = ingest.IngestPolicy(reference=("actor",))
-    events = audit(spark, folder).where(F.col("actor").isNotNull())
-    rows = events.select("event_id", ingest.stored_identity("actor", policy).alias("actor"))
+    rows = audit(spark, folder).select("event_id", ingest.stored_identity("actor", policy).alias("actor"))
     user = F.col("user_id")
     people = inputs.users(spark, folder).where(user % 4 != 0).select(
         inputs.text("usr_", user).alias("ref_id"), inputs.text("Customer ", user).alias("display_name")
@@ -147,13 +146,13 @@ def reference_ids(spark, folder):
 
 PURGE = """requests AS (
     SELECT 'usr_' || c_custkey AS who, max(until) AS until, bool_or(until IS NULL) AS everything FROM (
-      SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN TIMESTAMP '2024-01-15 00:00:00' END AS until FROM customer WHERE c_mktsegment = 'BUILDING') GROUP BY 1),
+      SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN TIMESTAMP '2024-01-15 00:00:00' END AS until FROM customer) GROUP BY 1),
   marked AS (SELECT ids.*, requests.who IS NOT NULL AND (everything OR created_at <= until) AS purged FROM ids LEFT JOIN requests USING (who))"""
 
 
 def purged(spark, folder):
     c = F.col("c_custkey")
-    wanted = inputs.table(spark, folder, "customer").where(F.col("c_mktsegment") == "BUILDING").select(
+    wanted = inputs.table(spark, folder, "customer").select(
         inputs.text("usr_", c).alias("actor"),
         F.when(c % 3 != 0, F.lit("2024-01-15 00:00:00").cast("timestamp")).alias("max_created_at"),
     )
@@ -171,6 +170,34 @@ def purge_counts(spark, folder):
     return access.purge_counts(purged(spark, folder))
 
 
+def purged_documents(spark, folder):
+    """Folder of a document ledger's next snapshot: sources whose smallest doc_id is even asked to be erased."""
+    path, snapshot = work_folder(spark, "ledger"), work_folder(spark, "snapshot")
+    store.append(sealed_documents(spark, folder), path)
+    smallest = inputs.table(spark, folder, "documents").groupBy(F.col("source").alias("actor")).agg(F.min("doc_id").alias("lowest"))
+    wanted = smallest.where("lowest % 2 = 0").select("actor", F.lit(None).cast("timestamp").alias("max_created_at"))
+    store.purge(spark, path, snapshot, wanted, KEYRING)
+    return snapshot
+
+
+ERASED = "erased AS (SELECT source FROM documents GROUP BY source HAVING min(doc_id) % 2 = 0)"
+
+
+@query(with_(DOC_META, ERASED) + f"SELECT doc_id, {DOC_PAYLOAD} AS opened FROM docs WHERE source NOT IN (SELECT source FROM erased)")
+def purge_snapshot(spark, folder):
+    """Documents that a purge leaves, opened from the snapshot's own rows and blobs."""
+    snapshot = purged_documents(spark, folder)
+    rows = search.resolve_claims(store.read_rows(spark, snapshot), store.read_blobs(spark, snapshot))
+    return search.open_ledger(rows, KEYRING).select(F.col("event_id").alias("doc_id"), "opened")
+
+
+@query(with_(ERASED) + f"SELECT doc_id, {hmac('source')} AS actor_index FROM documents WHERE source IN (SELECT source FROM erased)")
+def purge_tombstones(spark, folder):
+    """What is known of purged documents: their ids and whose they were."""
+    rows = store.read_tombstones(spark, purged_documents(spark, folder))
+    return rows.select(F.col("event_id").alias("doc_id"), "actor_index")
+
+
 CRC = """list_reduce(range(0, 160), lambda c, i: xor(c >> 1, CASE WHEN (xor(c, (ascii(substr(BODY, CAST(i // 8 + 1 AS BIGINT), 1)) >> CAST(i % 8 AS INTEGER))::BIGINT) & 1) = 1
   THEN 3988292384 ELSE 0 END), CAST(4294967295 AS BIGINT))"""
 

@@ -175,19 +175,15 @@ def timed_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def timed_spans(spark: SparkSession, folder: str) -> DataFrame:
-    """View events open spans of one to six hundred minutes in their service."""
+    """Events open spans of one to six hundred minutes in their service."""
     e, begin = F.col("event_id"), epoch_micros("ts")
-    return (
-        table(spark, folder, "events")
-        .where(F.col("event_type") == "view")
-        .select(
-            text("svc_", F.col("user_id") % 5).alias("service"),
-            begin.alias("start"),
-            (begin + ((e * 37) % 600 + 1) * 60_000_000).alias("end"),
-            text("tr_", e).alias("trace_id"),
-            text("sp_", e).alias("span_id"),
-            text("sp_", floor_div(e, 2)).alias("parent_span_id"),
-        )
+    return table(spark, folder, "events").select(
+        text("svc_", F.col("user_id") % 5).alias("service"),
+        begin.alias("start"),
+        (begin + ((e * 37) % 600 + 1) * 60_000_000).alias("end"),
+        text("tr_", e).alias("trace_id"),
+        text("sp_", e).alias("span_id"),
+        text("sp_", floor_div(e, 2)).alias("parent_span_id"),
     )
 
 

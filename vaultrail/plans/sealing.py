@@ -358,6 +358,25 @@ def ledger_append(spark, folder):
     )
 
 
+CLOCKS = """n AS (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY event_id) AS pos,
+      COALESCE(logical_clock, 0) - row_number() OVER (PARTITION BY request_id ORDER BY event_id) + 1 AS lift FROM ids),
+  ledger AS (SELECT * EXCLUDE (logical_clock), pos + greatest(0, max(lift) OVER (PARTITION BY request_id ORDER BY event_id ROWS UNBOUNDED PRECEDING)) AS logical_clock FROM n)"""
+
+
+@query(
+    with_(AUDIT, IDENTITIES, CLOCKS)
+    + f"""SELECT event_id, {PAYLOAD} AS opened, logical_clock, rationale, tool_name FROM ledger WHERE who IN ('usr_7', 'usr_42')"""
+)
+def ledger_search(spark, folder):
+    """Events ingested into a stored ledger, found there by the actor's index, with claims resolved and opened."""
+    path = work_folder(spark, "ledger")
+    store.ingest_events(inputs.audit(spark, folder), path, KEYRING, [int_chunk("event_id")])
+    found = search.search_literals(store.read_rows(spark, path), KEYRING, "actor_index", SEARCHED)
+    opened = search.open_ledger(search.resolve_claims(found, store.read_blobs(spark, path)), KEYRING)
+    part = lambda name: F.get_json_object("agent", f"$.{name}")
+    return opened.select("event_id", "opened", "logical_clock", part("rationale").alias("rationale"), part("toolName").alias("tool_name"))
+
+
 @query(
     with_(AUDIT)
     + """SELECT event_id, actor, actor_id, action, target, tenant, trace_id, span_id, metadata, logical_clock, 'https' AS scheme FROM audit"""
@@ -406,8 +425,10 @@ def reseal_documents(spark, folder):
     + """SELECT event_id, who AS actor, action, CAST(k AS BIGINT) AS k FROM ids WHERE tenant = 't_2'"""
 )
 def ledger_export(spark, folder):
-    """One tenant's rows, opened, exported as CSV and read back."""
-    rows = search.search_literals(ingest.accepted_rows(sealed_audit(spark, folder)), KEYRING, "tenant_index", ["t_2"])
+    """One tenant's rows of a stored ledger, opened, exported as CSV and read back."""
+    ledger = work_folder(spark, "ledger")
+    store.append(sealed_audit(spark, folder), ledger)
+    rows = search.search_literals(store.read_rows(spark, ledger), KEYRING, "tenant_index", ["t_2"])
     opened = search.open_ledger(rows, KEYRING)
     part = lambda path, name: F.get_json_object("opened", f"$.{path}").alias(name)
     path = work_folder(spark, "export")

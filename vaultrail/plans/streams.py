@@ -23,15 +23,18 @@ SLICES = 3
 
 
 def streamed(df: DataFrame, order: str, label: str, slices: int = SLICES) -> DataFrame:
-    """A file stream over a table, delivered in ``slices`` consecutive ranges of an integer column."""
+    """A file stream over a table, delivered in ``slices`` consecutive ranges of an integer column.
+
+    Each slice is one file per core, and a micro-batch takes as many files.
+    """
     spark = df.sparkSession
-    path = work_folder(spark, label)
+    path, files = work_folder(spark, label), spark.sparkContext.defaultParallelism
     low, high = df.agg(F.min(order), F.max(order)).first()
     width = (high - low) // slices + 1
     for i in range(slices):
         part = df.where((F.col(order) >= low + i * width) & (F.col(order) < low + (i + 1) * width))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def run(query) -> None:

@@ -92,7 +92,7 @@ def span_redirect(spark, folder):
 )
 def causal_tree(spark, folder):
     """Root and depth of every span, ordered by trace and clock."""
-    rows = search.causality(inputs.spans(spark, folder))
+    rows = search.causality(inputs.spans(spark, folder), ["trace_id"])
     clocked = logical_clock(rows, ["trace_id"], ["order_key"], [int_chunk("order_key")], F.lit(0), F.lit(0))
     ordered = search.causal_order(clocked.withColumn("event_id", F.col("order_key")), ["trace_id"])
     return ordered.select("span_id", "root_span_id", "depth", "logical_clock")

@@ -6,10 +6,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import Keyring
-from vaultrail.operators import ingest
+from vaultrail.operators import access, ingest
 from vaultrail.session import remove_folder, work_folder
 
 
+# Stored columns; the day is the folder.
+ROWS = (
+    "event_id bigint, created_at timestamp, actor_index string, action_index string, target_index string, tenant_index string, "
+    "trace_index string, payload string, logical_clock bigint, is_claim_check boolean, agent_context string, "
+    "attestation_proof string, day date"
+)
+
+
 def read_events(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     """Audit events with the full event schema; columns a file lacks are null."""
     schema = ",".join(f"{n} {t}" for n, t in ingest.AUDIT_EVENT.items())
@@ -76,7 +84,8 @@ def append(sealed: DataFrame, path: str, letters=None, clocks=None) -> DataFrame
 
 
 def read_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/rows")
+    """Ledger rows with the day they are stored under; also of a ledger that holds none."""
+    return spark.read.schema(ROWS).parquet(f"{path}/rows")
 
 
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
@@ -85,8 +94,29 @@ def read_blobs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_snapshot(kept: DataFrame, path: str) -> None:
-    """Write a purged ledger as a new snapshot; the folder that is being read is never touched."""
-    kept.write.mode("errorifexists").partitionBy("day").parquet(f"{path}/rows")
+    """Write a purged ledger as a new snapshot, in a few files a day; the folder that is being read is never touched."""
+    even = kept.hint("rebalance", "day").sortWithinPartitions("day", "actor_index")
+    even.write.mode("errorifexists").partitionBy("day").parquet(f"{path}/rows")
+
+
+def purge(spark: SparkSession, path: str, snapshot: str, requests: DataFrame, keyring: Keyring, active_only: bool = False) -> DataFrame:
+    """Erase what requests ``(actor, max_created_at)`` cover: a new snapshot of the ledger, and the deleted rows per actor.
+
+    ``snapshot`` receives the rows that stay, the blobs they still point to, and tombstones of the others. The old folder
+    stays as it is until the caller drops it, so a run that fails loses nothing and can be repeated elsewhere.
+    """
+    rows = read_rows(spark, path)
+    marked = access.mark_purged(rows, requests, keyring, active_only)
+    write_snapshot(access.kept_rows(marked).select(rows.columns), snapshot)
+    access.tombstones(marked).write.mode("errorifexists").parquet(f"{snapshot}/tombstones")
+    kept = read_rows(spark, snapshot).where("is_claim_check")
+    pointed = kept.select(F.col("payload").alias("hash")).dropDuplicates()
+    read_blobs(spark, path).join(pointed, "hash", "left_semi").write.mode("errorifexists").parquet(f"{snapshot}/blobs")
+    return access.purge_counts(read_tombstones(spark, snapshot).withColumn("purged", F.lit(True)))
+
+
+def read_tombstones(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/tombstones")
 
 
 def write_dead_letters(letters: DataFrame, path: str) -> None:
