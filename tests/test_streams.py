@@ -77,6 +77,22 @@ def test_ingest_stream_equals_batch(spark, ring, tmp_path):
     assert tuple(counts) == (29, 1)
     letter = spark.read.parquet(f"{tmp_path}/out/letters").first()
     assert letter.error == "action_missing" and json.loads(letter.payload)["event_id"] == 7 and str(letter.dt) == "2024-03-01"
+    sent = json.loads(letter.payload)
+    assert (sent["actor"], sent["request_id"], sent["metadata"]) == ("u1", "r1", '{"a":1}')
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"rows", "blobs", "letters", "counts", "clock_deltas", "_progress"}
+    assert set(spark.read.parquet(f"{tmp_path}/out/rows").columns) == {*ingest.ENVELOPE, "batch"}
+
+
+def test_ingest_stream_hands_over_rejected_rows(spark, ring, tmp_path):
+    """The caller's sink gets whole events; events outside requests share a clock that goes on from flush to flush."""
+    schema = "event_id bigint, request_id string, action string, metadata string"
+    frames = [spark.createDataFrame([(i, None, "act", "{}"), (i + 1, "", "act", "{}"), (i + 2, None, None, "{}")], schema) for i in (0, 10)]
+    taken = []
+    sink = lambda rows, batch: taken.extend((batch, r.event_id, r.reject_reason) for r in rows.collect())
+    jobs.ingest_stream(feed(spark, frames, f"{tmp_path}/in"), f"{tmp_path}/out", ring, letters=sink).awaitTermination()
+    assert taken == [(0, 2, "action_missing"), (1, 12, "action_missing")]
+    rows = spark.read.parquet(f"{tmp_path}/out/rows")
+    assert {r.event_id: r.logical_clock for r in rows.collect()} == {0: 1, 1: 1, 10: 2, 11: 2}
 
 
 def test_bundles_wait_for_their_commit(spark, tmp_path):

@@ -228,6 +228,15 @@ def active_spans(events: DataFrame, spans: DataFrame, bucket_micros: int = 3_600
     return filled.withColumns({n: F.coalesce(present(n), F.col(f"_found.{n}")) for n in names}).drop("_found")
 
 
+def resolve_trace(events: DataFrame, spans: DataFrame, runs: DataFrame, requests: DataFrame) -> DataFrame:
+    """Trace and span of an event, each from the first that has one: event, active span, agent run, request header.
+
+    Takes what :func:`active_spans`, :func:`attach_runs` and :func:`attach_requests` take, and adds what they add.
+    """
+    rows = attach_requests(attach_runs(active_spans(events, spans), runs), requests)
+    return rows.withColumns({n: first_present(n, f"trace.{n}") for n in ("trace_id", "span_id")})
+
+
 def session_metadata(**members: Column) -> Column:
     """JSON object text of string columns, for ``session_metadata``; null members are left out."""
     return object_of(*[(name, quote(value)) for name, value in members.items()])

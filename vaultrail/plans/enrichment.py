@@ -202,15 +202,17 @@ def compliance_tags(spark, folder):
 AGENT_KINDS = ["toolCall", "decision", "escalation", "anomaly", "refusal", "handoff"]
 
 
+TAXONOMY = """taxonomy(kind, action, eu, nist, soc2, iso) AS (SELECT * FROM (VALUES (0, 'agent.tool_call', 'Article 12', 'MANAGE 2.2', 'CC6.6', 'A.12.4.1'),
+    (1, 'agent.decision', 'Article 12 & 13', 'GOVERN 1.7', 'CC6.2', 'A.18.1.3'), (2, 'agent.escalation', 'Article 14', 'GOVERN 5.1', 'CC6.3', 'A.6.1.2'),
+    (3, 'agent.anomaly', 'Article 9', 'MANAGE 2.4', 'CC7.2', 'A.16.1.2'), (4, 'agent.refusal', 'Article 5', 'GOVERN 1.1', 'CC6.8', 'A.18.1.3'),
+    (5, 'agent.handoff', 'Article 12', 'MAP 1.6', 'CC6.6', 'A.12.4.1')))"""
+
+
 @query(
-    with_(AUDIT)
+    with_(AUDIT, TAXONOMY)
     + """SELECT event_id, c.action, '{"k":' || k || ',"reason":"' || target || '","eu_ai_act":"' || eu || '","nist_ai_rmf":"' || nist
         || '","soc2_control":"' || soc2 || '","iso27001":"' || iso || '"}' AS metadata
-      FROM audit JOIN (VALUES (0, 'agent.tool_call', 'Article 12', 'MANAGE 2.2', 'CC6.6', 'A.12.4.1'),
-        (1, 'agent.decision', 'Article 12 & 13', 'GOVERN 1.7', 'CC6.2', 'A.18.1.3'), (2, 'agent.escalation', 'Article 14', 'GOVERN 5.1', 'CC6.3', 'A.6.1.2'),
-        (3, 'agent.anomaly', 'Article 9', 'MANAGE 2.4', 'CC7.2', 'A.16.1.2'), (4, 'agent.refusal', 'Article 5', 'GOVERN 1.1', 'CC6.8', 'A.18.1.3'),
-        (5, 'agent.handoff', 'Article 12', 'MAP 1.6', 'CC6.6', 'A.12.4.1')) c(kind, action, eu, nist, soc2, iso)
-      ON event_id % 6 = c.kind"""
+      FROM audit JOIN taxonomy c ON event_id % 6 = c.kind"""
 )
 def agent_taxonomy(spark, folder):
     kinds = F.array(*[F.lit(k) for k in AGENT_KINDS])
@@ -223,6 +225,30 @@ def agent_taxonomy(spark, folder):
     return enrich.tag_agent_events(events).select("event_id", "action", "metadata")
 
 
+@query(
+    with_(AUDIT, TAXONOMY)
+    + """SELECT event_id, c.action, '{"k":' || k || ',"reason":"' || target || '"' || COALESCE(',"rationale":"' || rationale || '"', '')
+        || COALESCE(',"toolName":"' || tool_name || '"', '') || COALESCE(',"logicalClock":' || logical_clock, '')
+        || CASE WHEN event_id % 5 = 0 THEN ',"attestation":{"challenge":"c' || event_id || '"}' ELSE '' END || ',"eu_ai_act":"' || eu
+        || '","nist_ai_rmf":"' || nist || '","soc2_control":"' || soc2 || '","iso27001":"' || iso || '"}' AS metadata, true AS moved
+      FROM audit JOIN taxonomy c ON event_id % 6 = c.kind"""
+)
+def agent_extras(spark, folder):
+    """Rationale, tool, clock and attestation of agent events go to their metadata and are no fields of their own."""
+    kinds = F.array(*[F.lit(k) for k in AGENT_KINDS])
+    given = F.when(F.col("event_id") % 5 == 0, F.struct(inputs.text("c", F.col("event_id")).alias("challenge")))
+    events = inputs.audit(spark, folder).drop("action").withColumns(
+        {
+            "kind": F.element_at(kinds, (F.col("event_id") % 6 + 1).cast("int")),
+            "fields": object_of(("reason", quote("target"))),
+            "attestation": given,
+        }
+    )
+    rows = enrich.tag_agent_events(enrich.move_agent_context(events))
+    moved = F.coalesce("rationale", "tool_name", F.col("logical_clock").cast("string"), "attestation.challenge").isNull()
+    return rows.select("event_id", "action", "metadata", moved.alias("moved"))
+
+
 @query(
     with_(
         AUDIT,
@@ -242,6 +268,43 @@ def active_span(spark, folder):
     return rows.select("event_id", "trace_id", "span_id", "parent_span_id")
 
 
+@query(
+    with_(
+        AUDIT,
+        REQUESTS,
+        """spans AS (SELECT 'svc_' || (user_id % 5) AS service, epoch_us(ts) AS s, epoch_us(ts) + ((event_id * 37) % 600 + 1) * 60000000 AS e, event_id
+          FROM events)""",
+        """timed AS (SELECT event_id, user_id, 'svc_' || (user_id % 7) AS service, epoch_us(ts) AS at FROM events)""",
+        """found AS (SELECT t.event_id, s.event_id AS span FROM timed t JOIN spans s ON s.service = t.service AND t.at BETWEEN s.s AND s.e
+          QUALIFY row_number() OVER (PARTITION BY t.event_id ORDER BY s.s DESC, s.event_id DESC) = 1)""",
+    )
+    + """SELECT t.event_id, CASE WHEN t.event_id % 10 = 0 THEN 'own' ELSE COALESCE('tr_' || span, CASE WHEN user_id % 4 <> 0 THEN 'rt_' || user_id END, c.trace_id) END AS trace_id,
+      COALESCE('sp_' || span, CASE WHEN user_id % 8 > 4 THEN 'rs_' || user_id END, c.span_id) AS span_id
+      FROM timed t LEFT JOIN found USING (event_id) JOIN clients c ON c.request_id = 'r_' || (t.event_id // 7)"""
+)
+def trace_precedence(spark, folder):
+    """Trace and span from event, active span, agent run and request header, in this order; some services have no spans."""
+    user, none = F.col("user_id"), F.lit(None)
+    events = inputs.audit(spark, folder).select("event_id", "user_id", "request_id", "run_id").join(inputs.timed_events(spark, folder), "event_id")
+    events = events.withColumns(
+        {
+            "service": inputs.text("svc_", user % 7),
+            "rationale": none.cast("string"),
+            "tool_name": none.cast("string"),
+            "context": none.cast(ingest.AUDIT_EVENT["context"]),
+        }
+    )
+    runs = inputs.users(spark, folder).select(
+        inputs.text("run_", user).alias("run_id"),
+        F.when(user % 4 != 0, inputs.text("rt_", user)).alias("run_trace_id"),
+        F.when(user % 8 > 4, inputs.text("rs_", user)).otherwise("").alias("run_span_id"),
+        none.cast("string").alias("run_rationale"),
+        none.cast("string").alias("run_tool_name"),
+    )
+    rows = enrich.resolve_trace(events, inputs.timed_spans(spark, folder), runs, requests(spark, folder))
+    return rows.select("event_id", "trace_id", "span_id")
+
+
 CLOCK_FOLD = """ordered AS (SELECT request_id, event_id, logical_clock AS inc, row_number() OVER (PARTITION BY request_id ORDER BY event_id) AS n FROM audit),
   fold AS (
     SELECT o.request_id, o.event_id, o.n, greatest(COALESCE(c.logical_clock, 0), COALESCE(o.inc, 0)) + 1 AS clock

@@ -338,6 +338,15 @@ def merkle_verify(spark, folder):
     return proofs.verify_proofs(inputs.proofs(spark, folder)).select("proof_id", "valid")
 
 
+@query(
+    """SELECT o_orderkey AS proof_id, o_orderkey % 10 <> 0 AND o_orderkey % 25 <> 0 AND o_orderkey % 15 <> 0 AS valid FROM orders"""
+)
+def merkle_positions(spark, folder):
+    """The same proofs, checked on the sides that the place of the leaf tells."""
+    placed = inputs.proofs(spark, folder).withColumn("leaf", F.col("proof_id") % 8)
+    return proofs.verify_proofs(placed, position="leaf").select("proof_id", "valid")
+
+
 BLOCK = 128
 
 

@@ -17,6 +17,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from vaultrail.functions.crypto import Keyring
 from vaultrail.operators import agents, ingest
 from vaultrail.operators.ordered import int_chunk, logical_clock, number_rows
+from vaultrail.session import remove_folder, work_folder
 
 # Micro-batches after which the clock deltas are folded into one snapshot.
 SNAPSHOT_EVERY = 64
@@ -100,32 +101,47 @@ def clock_stream(stream: DataFrame, path: str, chunk: list[Column] | None = None
 
 
 def ingest_stream(
-    stream: DataFrame, path: str, keyring: Keyring, policy: ingest.IngestPolicy = ingest.IngestPolicy(), trigger: dict | None = None
+    stream: DataFrame,
+    path: str,
+    keyring: Keyring,
+    policy: ingest.IngestPolicy = ingest.IngestPolicy(),
+    trigger: dict | None = None,
+    letters: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Seal a stream of audit events into ``rows``, ``blobs``, ``letters`` and ``counts`` below ``path``.
 
-    Each micro-batch is one flush; its size is set on the source (files per trigger) and its pace by the trigger.
+    Each micro-batch is one flush; its size is set on the source (files per trigger) and its pace by the trigger. Events
+    are sealed before anything is written; the stage holds sealed columns only and is removed at the end of the flush.
+    Blobs are stored before the rows that point to them. Events outside any request share one clock.
+
+    A rejected event becomes a dead letter with all its fields, so that it can be sent again. ``letters`` takes the
+    rejected rows and the batch number instead; it may be called again for a batch that is repeated.
     """
 
     def work(events: DataFrame, batch: int) -> None:
         spark = events.sparkSession
         guarded = ingest.guard_events(ingest.with_event_columns(events), policy)
-        _replace(guarded, path, "guarded", batch)
-        guarded = spark.read.parquet(_batch_folder(path, "guarded", batch))
-        accepted = guarded.where(F.col("reject_reason").isNull())
-        rejected = guarded.where(F.col("reject_reason").isNotNull())
-        _replace(ingest.seal_events(clock_batch(accepted, path, batch), keyring, policy), path, "sealed", batch)
-        sealed = spark.read.parquet(_batch_folder(path, "sealed", batch))
-        deltas = sealed.groupBy("request_id").agg(F.max("logical_clock").alias("clock"))
-        _replace(deltas, path, "clock_deltas", batch)
-        _replace(ingest.accepted_rows(sealed), path, "rows", batch)
-        _replace(ingest.claim_blobs(sealed), path, "blobs", batch)
-        payload = F.to_json(F.struct("event_id", "actor", "action", "target"))
-        letters = ingest.dead_letters(rejected, payload, F.col("reject_reason"), F.col("created_at"))
-        _replace(letters, path, "letters", batch, ["dt"])
+        scope = F.coalesce(F.concat(F.lit("r:"), F.col("request_id").cast("string")), F.lit("none"))
+        sealed = ingest.seal_events(guarded, keyring, policy)
+        folder = work_folder(spark, "flush")
+        sealed.select(*ingest.ENVELOPE, "reject_reason", scope.alias("request_id")).write.parquet(folder)
+        staged = spark.read.parquet(folder)
         bad = F.col("reject_reason").isNotNull()
-        counts = guarded.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+        _replace(ingest.claim_blobs(staged), path, "blobs", batch)
+        clocked = clock_batch(staged.where(~bad), path, batch)
+        _replace(ingest.accepted_rows(clocked), path, "rows", batch)
+        # Clocks need three narrow columns of the stage, which is less to compute again than to write.
+        deltas = clocked.groupBy("request_id").agg(F.max("logical_clock").alias("clock"))
+        _replace(deltas, path, "clock_deltas", batch)
+        rejected = guarded.where(bad)
+        if letters is None:
+            payload = F.to_json(F.struct(*ingest.AUDIT_EVENT))
+            _replace(ingest.dead_letters(rejected, payload, F.col("reject_reason"), F.col("created_at")), path, "letters", batch, ["dt"])
+        else:
+            letters(rejected, batch)
+        counts = staged.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
         _replace(counts, path, "counts", batch)
+        remove_folder(spark, folder)
 
     return run_batches(stream, work, f"{path}/_progress", trigger)
 
