@@ -98,3 +98,49 @@ def test_nothing_to_learn_from(spark):
     found = brown_lm.score(spark.createDataFrame(rows, brute.DOCS), model).collect()
     assert len(found) == len(rows) and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in found)
     assert brown_lm.score(spark.createDataFrame([], brute.DOCS), model).collect() == []
+
+
+def test_words_beyond_the_head_have_classes_of_their_own(spark):
+    rows, rng = corpus()
+    odd = [(1000 + i, *r[1:]) for i, r in enumerate(brute.awkward(rng))]
+    training = [r for r in rows if r[0] % 7 != 2]
+    model = brown_lm.fit(spark.createDataFrame(training, brute.DOCS), **SMALL | {"head": 20, "endings": 2})
+    counts = Counter(w for r in training for w in brute.words(r[1]))
+    n, v = sum(counts.values()) + len(training), len(counts) + 1
+    learned = {r.h: (r.cls, r.n) for r in model.words.collect()}
+
+    def fingerprint(word):
+        _, h, tail = brown_lm._tokens(np.frombuffer(word, np.uint8), np.array([0, len(word)]))
+        return int(h[0]), int(model.own[model.units.of(h, tail)[0]])
+
+    def cls(word):
+        h, by_ending = fingerprint(word)
+        return learned[h][0] if h in learned else by_ending
+
+    assert sorted(n for _, n in learned.values()) == sorted(counts.values()) and all(learned[fingerprint(w)[0]][1] == c for w, c in counts.items())
+    # All transitions are those of the words' own classes.
+    between, end = np.zeros(model.step.shape), len(model.step) - 1
+    for r in training:
+        path = [end, *map(cls, brute.words(r[1])), end]
+        np.add.at(between, (path[:-1], path[1:]), 1)
+    assert np.allclose(model.step, brown_lm._steps(between))
+    # Nouns and verbs never share a class, of whatever rank and ending.
+    kinds = Counter((cls(w), w[:1]) for w in counts)
+    assert len({c for c, _ in kinds}) == len(kinds)
+    found = brown_lm.score(spark.createDataFrame(rows + odd, brute.DOCS), model).collect()
+    texts = {r[0]: r[1] for r in rows + odd if r[0] is not None}
+    mass = Counter()
+    for w, c in counts.items():
+        mass[cls(w)] += c
+    for r in found:
+        path = brute.words(texts[r.doc_id])
+        want, at = 0.0, end
+        for w in path:
+            c, to = counts[w], cls(w)
+            want, at = want + model.step[at, to] + (math.log10((c - model.discount) / mass[to]) if c else model.unseen[to]), to
+        assert (r.n_tokens, r.n_known) == (len(path) + 1, 1 + sum(w in counts for w in path))
+        assert r.score == pytest.approx(want + model.step[at, end], abs=1e-5)
+        assert r.base_score == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in path) + math.log10((len(training) + 1) / (n + v + 1)), abs=1e-5)
+    held = [r for r in found if r.doc_id < 1000 and r.doc_id % 7 == 2]
+    n = sum(r.n_tokens for r in held)
+    assert brown_lm.perplexity(sum(r.score for r in held), n) < 0.7 * brown_lm.perplexity(sum(r.base_score for r in held), n)

@@ -1,13 +1,15 @@
 """Brown class-based bigram model: P(word | previous) = P(class | class of previous) * P(word | class).
 
-Units are what the exchange clustering moves between classes: each of the ``HEAD`` most frequent words is a unit of its
-own; all other words with the same ending (their last two bytes) are one unit, for the ``ENDINGS`` most frequent endings,
-and all that is left is one more. So the class of any word, known or not, follows from the word alone, and two bounded
-lists describe the classes of an unbounded vocabulary. The end of a text is a word with a class of its own; it is also what
-a text starts after.
-
-The exchange algorithm moves one unit at a time to the class that raises the likelihood of all class bigrams of the
-training texts most, until nothing moves or ``ROUNDS`` are over. Transitions are interpolated with class frequencies;
+Classes are learned from units: each of the ``HEAD`` most frequent words is a unit of its own; all other words with the same
+ending (their last two bytes) are one unit, for the ``ENDINGS`` most frequent endings, and all that is left is one more. The
+exchange algorithm moves one unit at a time to the class that raises the likelihood of all class bigrams of the
+training texts most, until nothing moves or ``ROUNDS`` are over. The end of a text is a word with a class of its own; it is
+also what a text starts after.
+
+Then every other training word, however rare, gets the class that makes its own neighbours most likely: Spark counts the classes
+before and after each word, and each word is decided from its counts alone. The class of a word is a column
+of a table as long as the vocabulary; only a word never seen takes the class of its ending. Class bigrams are counted
+again with the classes of the words. Transitions are interpolated with class frequencies;
 emissions are discounted, and each class gives what is discounted to words never seen. All counts cover all training texts.
 """
 
@@ -15,19 +17,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultrail.llm.tables import pick
+from vaultrail.llm.tables import pick, temporary
 from vaultrail.llm.textbytes import Fingerprints, lower, slices, words
 from vaultrail.session import materialise
 
-HEAD, ENDINGS, CLASSES, ROUNDS = 700, 300, 64, 6
-#: Most frequent words whose counts every task holds; the others are looked up by a join.
+HEAD, ENDINGS, CLASSES, ROUNDS = 1500, 500, 64, 6
+#: Most frequent words whose counts and classes every task holds; the others are looked up by a join.
 HELD = 1 << 16
 
 
@@ -39,12 +41,6 @@ def _tokens(data: np.ndarray, bounds: np.ndarray):
     return row, Fingerprints(small).of(starts, ends).view(np.int64), tail
 
 
-def _sums(keys: np.ndarray, *values: np.ndarray):
-    """Distinct keys and, for each array of values, its sums by key."""
-    distinct, inverse = np.unique(keys, return_inverse=True)
-    return distinct, *(np.bincount(inverse, v, minlength=len(distinct)) for v in values)
-
-
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, data, bounds in slices(batch.column("text"), 1 << 22):
@@ -102,6 +98,80 @@ def _bigrams(units: Units):
     return run
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs and counts as bytes, so that the driver reads them a partition at a time."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def close() -> pa.RecordBatch:
+        pair, n = (np.concatenate(x) for x in zip(*held, strict=True))
+        held.clear()
+        return pa.RecordBatch.from_pylist([{"pair": pair.tobytes(), "n": n.tobytes()}], schema=pa.schema([("pair", pa.binary()), ("n", pa.binary())]))
+
+    for batch in batches:
+        held.append((batch.column("pair").to_numpy(), batch.column("n").to_numpy()))
+        if sum(len(x[0]) for x in held) >= 1 << 18:
+            yield close()
+    if held:
+        yield close()
+
+
+def _by_word(h: np.ndarray, side: np.ndarray, width: int):
+    """Distinct words, and for each its sides with their counts, packed as 32-bit numbers (side, count up to 65535)."""
+    distinct, inverse = np.unique(h, return_inverse=True)
+    keys, n = np.unique(inverse * width + side, return_counts=True)
+    again = (n + 65534) // 65535
+    keys, part = np.repeat(keys, again), np.full(int(again.sum()), 65535)
+    part[np.cumsum(again) - 1] = n - 65535 * (again - 1)
+    data = ((keys % width) << 16 | part).astype(np.uint32)
+    offsets = (np.searchsorted(keys // width, np.arange(len(distinct) + 1)) * 4).astype(np.int32)
+    return pa.array(distinct), pa.Array.from_buffers(pa.binary(), len(distinct), [None, pa.py_buffer(offsets), pa.py_buffer(data.tobytes())])
+
+
+def _sides(packed: pa.Array):
+    """For each number of the packed rows: its row, side and count."""
+    texts = packed.to_pylist()
+    data = np.frombuffer(b"".join(texts), np.uint32).astype(np.int64)
+    return np.repeat(np.arange(len(texts)), [len(x) // 4 for x in texts]), data >> 16, data & 65535
+
+
+def _neighbours(units: Units, own: np.ndarray):
+    """(h, seen) of the words that are no units of their own: how often each class is before (side = class) or after them."""
+    k = int(own.max()) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last, data, bounds in slices(batch.column("text"), 1 << 22):
+                row, hashed, tail = _tokens(data, bounds)
+                unit = units.of(hashed, tail)
+                cls = own[_with_ends(row, unit, last - first, units.end)]
+                at = np.flatnonzero(unit >= len(units.head))
+                place = at + row[at] + 1
+                found = _by_word(np.concatenate((hashed[at], hashed[at])), np.concatenate((cls[place - 1], k + cls[place + 1])), 2 * k)
+                yield pa.RecordBatch.from_arrays([*found], names=["h", "seen"])
+
+    return run
+
+
+def _best_class(step: np.ndarray, mass: np.ndarray):
+    """(h, n, cls) of words with their neighbours: the class with the highest likelihood of both sides and of the word in it."""
+    k = len(step)
+    fit = np.concatenate((step, step.T)) * math.log(10)
+    weight = np.where(mass > 0, np.log(np.maximum(mass, 1)), np.inf)
+    weight[-1] = np.inf  # the end is no class of words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = batch.column("seen")
+            word = np.repeat(np.arange(len(seen)), np.diff(seen.offsets.to_numpy()))
+            row, side, n = _sides(seen.flatten())
+            counts = np.bincount(word[row] * 2 * k + side, n, len(seen) * 2 * k).reshape(len(seen), 2 * k)
+            total = counts[:, :k].sum(1)
+            cls = np.argmax(counts @ fit - total[:, None] * weight, axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(total.astype(np.int64)), pa.array(cls.astype(np.int16))], names=["h", "n", "cls"])
+
+    return run
+
+
 def exchange(counts: np.ndarray, classes: int, rounds: int) -> np.ndarray:
     """Class of each unit; the last unit, the end, keeps the last class. ``counts[a, b]`` counts b after a."""
     size = len(counts)
@@ -158,7 +228,10 @@ def exchange(counts: np.ndarray, classes: int, rounds: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    """``step[a, b]``: log10 probability of class b after a. ``words`` has (h, n) of the training words not held."""
+    """``step[a, b]``: log10 probability of class b after a. ``words`` has (h, n, cls) of all training words.
+
+    ``own`` has the classes of the units: of the words of the head, and of words never seen by their endings.
+    """
 
     units: Units
     own: np.ndarray
@@ -171,6 +244,7 @@ class Model:
     ends: int
     held: np.ndarray
     held_counts: np.ndarray
+    held_classes: np.ndarray
     words: DataFrame
 
     def base(self, count: np.ndarray) -> np.ndarray:
@@ -188,51 +262,134 @@ def fit(training: DataFrame, head: int = HEAD, endings: int = ENDINGS, classes:
     counted = texts.mapInArrow(_word_counts, "h long, tail int, n long").groupBy("h").agg(F.min("tail").alias("tail"), F.sum("n").alias("n"))
     counted = materialise(counted, "lm-words")
     sums = counted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)).first()
-    top = counted.orderBy(F.desc("n"), "h").limit(max(held, head)).select("h", "n").toPandas()
-    heads = top["h"].to_numpy(np.int64)[:head]
+    heads = counted.orderBy(F.desc("n"), "h").limit(head).select("h", "n").toPandas()
     tails = counted.groupBy("tail").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "tail").limit(endings).toPandas()
-    units = Units(heads, tails["tail"].to_numpy(np.int64))
-    pairs = texts.mapInArrow(_bigrams(units), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    units = Units(heads["h"].to_numpy(np.int64), tails["tail"].to_numpy(np.int64))
+    pairs, remove = temporary(texts.mapInArrow(_bigrams(units), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")), "lm-units")
     size = units.end + 1
     counts = np.zeros((size, size))
-    counts.reshape(-1)[pairs["pair"].to_numpy(np.int64)] = pairs["n"].to_numpy()
+    for r in pairs.mapInArrow(_packed, "pair binary, n binary").toLocalIterator():
+        counts.reshape(-1)[np.frombuffer(r["pair"], np.int64)] = np.frombuffer(r["n"], np.int64)
+    remove()
     # Texts of a slice share the ends between them; the end in front of its first text stands for the one after the last.
     own = exchange(counts, classes, rounds)
     k = int(own.max()) + 1
     member = np.zeros((size, k))
     member[np.arange(size), own] = 1
     between = member.T @ counts @ member
-    frequency = (between.sum(0) + 0.1) / (between.sum() + 0.1 * k)
-    step = np.log10((between + 5.0 * frequency) / (between.sum(1, keepdims=True) + 5.0))
+    del counts
+
+    spark = training.sparkSession
+    near = texts.mapInArrow(_neighbours(units, own), "h long, seen binary").groupBy("h").agg(F.collect_list("seen").alias("seen"))
+    words = near.mapInArrow(_best_class(_steps(between), between.sum(0)), "h long, n long, cls short")
+    learned = list(zip(heads["h"].tolist(), heads["n"].tolist(), own.tolist(), strict=False))
+    words = materialise(words.unionByName(spark.createDataFrame(learned, "h long, n long, cls short")), "lm-classes")
+    top = words.orderBy(F.desc("n"), "h").limit(held).toPandas().sort_values("h")
+    lists = {"held": top["h"].to_numpy(np.int64), "held_classes": top["cls"].to_numpy(np.int64)}
+    pairs, remove = temporary(texts.mapInArrow(_class_bigrams(units, own, **lists), "h long, h2 long, seen binary, ca short, cb short, n long"), "lm-pairs")
+    first, second = (words.select(F.col("h").alias(h), F.col("cls").alias(c)) for h, c in (("h", "ca"), ("h2", "cb")))
+    found = pairs.where("seen is not null").select("h", "seen").join(first, "h").select("ca", "seen").mapInArrow(_class_sides(k), "ca short, cb short, n long")
+    found = found.unionByName(pairs.where("h2 is not null").select("h", "h2").join(second, "h2").join(first, "h").select("ca", "cb", F.lit(1).cast("long").alias("n")))
+    found = found.unionByName(pairs.where("h is null").select("ca", "cb", "n"))
+    between = np.zeros((k, k))
+    for r in found.groupBy("ca", "cb").agg(F.sum("n").alias("n")).collect():
+        between[r.ca, r.cb] = r.n
+    remove()
+
     once, twice = int(sums[2]), int(sums[3])
     discount = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
-    by_unit = counted.select("h", "tail", "n").mapInArrow(_unit_types(units), "unit long, types long, n long").groupBy("unit").agg(F.sum("types").alias("types"), F.sum("n").alias("n")).toPandas()
     types, mass = np.zeros(k), np.zeros(k)
-    np.add.at(types, own[by_unit["unit"].to_numpy(np.int64)], by_unit["types"].to_numpy())
-    np.add.at(mass, own[by_unit["unit"].to_numpy(np.int64)], by_unit["n"].to_numpy())
+    for r in words.groupBy("cls").agg(F.count("*").alias("types"), F.sum("n").alias("n")).collect():
+        types[r.cls], mass[r.cls] = r.types, r.n
     # A class without words has all its mass for words never seen.
     unseen = np.log10(np.where(mass > 0, np.maximum(discount * types, 1e-9) / np.maximum(mass, 1), 1.0))
-    first = top.head(held).sort_values("h")
-    return Model(units, own, step, mass, unseen, discount, int(sums[1]) + ends, int(sums[0]) + (ends > 0), ends, first["h"].to_numpy(np.int64), first["n"].to_numpy(np.int64), counted.select("h", "n"))
+    return Model(units, own, _steps(between), mass, unseen, discount, int(sums[1]) + ends, int(sums[0]) + (ends > 0), ends, lists["held"], top["n"].to_numpy(np.int64), lists["held_classes"], words)
+
 
+def _steps(between: np.ndarray) -> np.ndarray:
+    frequency = (between.sum(0) + 0.1) / (between.sum() + 0.1 * len(between))
+    return np.log10((between + 5.0 * frequency) / (between.sum(1, keepdims=True) + 5.0))
+
+
+def _path(units: Units, own: np.ndarray, held: np.ndarray, held_classes: np.ndarray, row: np.ndarray, hashed: np.ndarray, tail: np.ndarray, texts: int):
+    """Along the words and ends of a slice: classes, fingerprints, and places in the held list (-1 without)."""
+    at = np.minimum(np.searchsorted(held, hashed), max(len(held) - 1, 0))
+    place = np.where(held[at] == hashed, at, -1) if len(held) else np.full(len(hashed), -1)
+    cls = own[units.of(hashed, tail)]
+    cls[place >= 0] = held_classes[place[place >= 0]]
+    return _with_ends(row, cls, texts, int(own[units.end])), _with_ends(row, hashed, texts, 0), _with_ends(row, place, texts, 0)
+
+
+def _class_bigrams(units: Units, own: np.ndarray, held: np.ndarray, held_classes: np.ndarray):
+    """Three kinds of rows: (ca, cb, n), class pairs of held words; (h, seen), the classes of held words on the sides of a word that
+    is not held; (h, h2), two words in a row that both are not held."""
+    k = int(own.max()) + 1
+    schema = pa.schema([("h", pa.int64()), ("h2", pa.int64()), ("seen", pa.binary()), ("ca", pa.int16()), ("cb", pa.int16()), ("n", pa.int64())])
+
+    def made(size: int, **columns: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(size, f.type)) for f in schema], schema=schema)
 
-def _unit_types(units: Units):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(k * k, np.int64)
         for batch in batches:
-            h, tail, n = (batch.column(c).to_numpy() for c in ("h", "tail", "n"))
-            unit, types, total = _sums(units.of(h, tail), np.ones(len(h)), n)
-            yield pa.RecordBatch.from_arrays([pa.array(unit), pa.array(types.astype(np.int64)), pa.array(total.astype(np.int64))], names=["unit", "types", "n"])
+            for first, last, data, bounds in slices(batch.column("text"), 1 << 22):
+                cls, hashed, place = _path(units, own, held, held_classes, *_tokens(data, bounds), last - first)
+                known = place >= 0
+                before, after = np.flatnonzero(known[:-1] & ~known[1:]), np.flatnonzero(~known[:-1] & known[1:])
+                total += np.bincount((cls[:-1] * k + cls[1:])[known[:-1] & known[1:]], minlength=k * k)
+                h, seen = _by_word(np.concatenate((hashed[before + 1], hashed[after])), np.concatenate((cls[before], k + cls[after + 1])), 2 * k)
+                yield made(len(h), h=h, seen=seen)
+                both = np.flatnonzero(~known[:-1] & ~known[1:])
+                yield made(len(both), h=pa.array(hashed[both]), h2=pa.array(hashed[both + 1]))
+        some = np.flatnonzero(total)
+        yield made(len(some), ca=pa.array((some // k).astype(np.int16)), cb=pa.array((some % k).astype(np.int16)), n=pa.array(total[some]))
 
     return run
 
 
-def _local(model: dict):
-    """Per text: what the held lists tell, and (key, h, class, times) of each word that needs a look-up.
+def _class_sides(k: int):
+    """Class pairs of words of class ca with the classes on their sides."""
 
-    Rows with h null carry the text's own sums.
-    """
-    units, own, step, held, held_counts = (model[k] for k in ("units", "own", "step", "held", "held_counts"))
-    schema = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("cls", pa.int16()), ("times", pa.int32()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(2 * k * k)
+        for batch in batches:
+            row, side, n = _sides(batch.column("seen"))
+            total += np.bincount(batch.column("ca").to_numpy()[row] * (2 * k) + side, n, 2 * k * k)
+        total = total.reshape(k, 2 * k)
+        ca, cb = np.nonzero(pairs := total[:, :k].T + total[:, k:])
+        yield pa.RecordBatch.from_arrays([pa.array(ca.astype(np.int16)), pa.array(cb.astype(np.int16)), pa.array(pairs[ca, cb].astype(np.int64))], names=["ca", "cb", "n"])
+
+    return run
+
+
+#: A word that is not held: the class before it, the class after it (-1 if that word is not held: it has the step) and its own; ``h2`` is the word
+#: before if that is not held either. Until a word is looked up, it has the class of its ending.
+FAR = "key long, h long, h2 long, ca short, cb short, after short"
+
+
+def _far_words(state: dict, both: bool):
+    """Rows ``FAR`` of the words that are not held, with or without the word before held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column("key").to_numpy()
+            for first, last, data, bounds in slices(batch.column("text")):
+                row, hashed, tail = _tokens(data, bounds)
+                cls, hashes, place = _path(*(state[x] for x in ("units", "own", "held", "held_classes")), row, hashed, tail, last - first)
+                word = np.arange(len(row)) + row + 1
+                some = (place[word] < 0) & ((place[word - 1] < 0) == both)
+                at = word[some]
+                after = np.where(place[at + 1] < 0, -1, cls[at + 1])
+                h2 = pa.array(hashes[at - 1]) if both else pa.nulls(len(at), pa.int64())
+                columns = [pa.array(keys[first + row[some]]), pa.array(hashes[at]), h2, *(pa.array(x.astype(np.int16)) for x in (cls[at - 1], cls[at], after))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "h", "h2", "ca", "cb", "after"])
+
+    return run
+
+
+def _near(state: dict):
+    """Per text: its number of tokens, and what the held lists tell of it."""
+    step, held_counts = state["step"], state["held_counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,29 +397,19 @@ def _local(model: dict):
             for first, last, data, bounds in slices(batch.column("text")):
                 texts = last - first
                 row, hashed, tail = _tokens(data, bounds)
-                unit = units.of(hashed, tail)
-                path = _with_ends(row, unit, texts, units.end)
-                steps = step[own[path[:-1]], own[path[1:]]]
+                cls, _, place = _path(*(state[x] for x in ("units", "own", "held", "held_classes")), row, hashed, tail, texts)
                 # Token i of the slice is the target of step i; the ends come after their texts.
-                owner = np.empty(len(steps), np.int64)
                 size = np.bincount(row, minlength=texts)
-                owner[:] = np.repeat(np.arange(texts), size + 1)
-                score = np.bincount(owner, steps, minlength=texts)
-                at = np.minimum(np.searchsorted(held, hashed), max(len(held) - 1, 0))
-                count = np.where(held[at] == hashed, held_counts[at], 0) if len(held) else np.zeros(len(hashed), np.int64)
-                local = count > 0
-                score += np.bincount(row[local], model["emission"](count[local], own[unit[local]]), minlength=texts)
-                base = np.bincount(row[local], model["base"](count[local]), minlength=texts) + float(model["base"](np.array(model["ends"])))
-                known = np.bincount(row[local], minlength=texts) + (model["ends"] > 0)
-                own_rows = [keys[first:last], None, None, None, size + 1, known, base, score]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) if v is not None else pa.nulls(texts, t) for v, t in zip(own_rows, schema.types, strict=True)], schema=schema)
-                row, hashed, cls = row[~local], hashed[~local], own[unit[~local]]
-                order = np.lexsort((hashed, row))
-                row, hashed, cls = row[order], hashed[order], cls[order]
-                begin = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (hashed[1:] != hashed[:-1])))) if len(row) else np.empty(0, np.int64)
-                times = np.diff(np.append(begin, len(row)))
-                far = [keys[first + row[begin]], hashed[begin], cls[begin].astype(np.int16), times.astype(np.int32), None, None, None, None]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) if v is not None else pa.nulls(len(begin), t) for v, t in zip(far, schema.types, strict=True)], schema=schema)
+                steps = np.where((place[:-1] >= 0) & (place[1:] >= 0), step[cls[:-1], cls[1:]], 0.0)
+                score = np.bincount(np.repeat(np.arange(texts), size + 1), steps, minlength=texts)
+                at = np.arange(len(row)) + row + 1
+                local = place[at] >= 0
+                at = at[local]
+                count = held_counts[place[at]]
+                score += np.bincount(row[local], state["emission"](count, cls[at]), minlength=texts)
+                base = np.bincount(row[local], state["base"](count), minlength=texts) + float(state["base"](np.array(state["ends"])))
+                known = np.bincount(row[local], minlength=texts) + (state["ends"] > 0)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys[first:last], size + 1, known, base, score)], names=["key", "n_tokens", "known", "base", "score"])
 
     return run
 
@@ -275,19 +422,23 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     word is unknown and scores are still finite.
     """
     rows = pick(documents, "doc_id", "text").select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    state = {"units": model.units, "own": model.own, "step": model.step, "held": model.held, "held_counts": model.held_counts, "ends": model.ends}
-    narrow = Model(model.units, model.own, model.step, model.mass, model.unseen, model.discount, model.tokens, model.vocabulary, model.ends, model.held, model.held_counts, None)
-    state |= {"emission": narrow.emission, "base": narrow.base}
-    made = rows.select("key", "text").mapInArrow(_local(state), "key long, h long, cls short, times int, n_tokens long, known long, base double, score double")
-    far = made.where("h is not null").select("key", "h", "cls", "times")
-    found = far.join(model.words.withColumnRenamed("n", "c"), "h", "left").withColumn("c", F.coalesce("c", F.lit(0)))
+    narrow = replace(model, words=None)
+    state = {k: getattr(narrow, k) for k in ("units", "own", "step", "held", "held_counts", "held_classes", "ends", "emission", "base")}
+    texts = rows.select("key", "text")
+    single, both = (texts.mapInArrow(_far_words(state, x), FAR) for x in (False, True))
+    both = both.join(model.words.select(F.col("h").alias("h2"), F.col("cls").alias("c2")), "h2", "left")
+    far = single.select("key", "h", "ca", "cb", "after").unionByName(both.select("key", "h", F.coalesce("c2", "ca").alias("ca"), "cb", "after"))
+    found = far.join(model.words.select("h", F.col("n").alias("c"), F.col("cls").alias("c1")), "h", "left")
+    found = found.select("key", "ca", F.coalesce("c1", "cb").alias("cb"), "after", F.coalesce("c", F.lit(0)).alias("c"))
+    lines = [(a, model.step[:, a].tolist(), model.step[a].tolist()) for a in range(len(model.step))]
+    found = found.join(F.broadcast(rows.sparkSession.createDataFrame(lines, "cb short, come array<double>, go array<double>")), "cb")
+    steps = F.col("come")[F.col("ca")] + F.when(F.col("after") >= 0, F.col("go")[F.col("after")]).otherwise(0.0)
     mass = F.array(*[F.lit(float(x)) for x in np.maximum(model.mass, 1)])
     unseen = F.array(*[F.lit(float(x)) for x in model.unseen])
-    emission = F.when(F.col("c") > 0, F.log10((F.col("c") - F.lit(model.discount)) / mass[F.col("cls")])).otherwise(unseen[F.col("cls")])
+    emission = F.when(F.col("c") > 0, F.log10((F.col("c") - F.lit(model.discount)) / mass[F.col("cb")])).otherwise(unseen[F.col("cb")])
     base = F.log10((F.col("c") + 1) / F.lit(float(model.tokens + model.vocabulary + 1)))
-    none = F.lit(None)
-    far = found.select("key", none.cast("long").alias("n_tokens"), F.when(F.col("c") > 0, F.col("times")).otherwise(0).cast("long").alias("known"), (F.col("times") * base).alias("base"), (F.col("times") * emission).alias("score"))
-    near = made.where("h is null").select("key", "n_tokens", "known", "base", "score")
+    far = found.select("key", F.lit(None).cast("long").alias("n_tokens"), (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), (steps + emission).alias("score"))
+    near = texts.mapInArrow(_near(state), "key long, n_tokens long, known long, base double, score double")
     # Rows with the same doc_id and text have one key; each makes its own sums, so all are divided by their number.
     sums = near.unionByName(far).groupBy("key").agg(F.count("n_tokens").alias("m"), *[F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "score")])
     shown = sums.select("key", (F.col("n_tokens") / F.col("m")).cast("long").alias("n_tokens"), (F.col("known") / F.col("m")).cast("long").alias("n_known"), (F.col("base") / F.col("m")).alias("base_score"), (F.col("score") / F.col("m")).alias("score"))
