@@ -2,12 +2,16 @@
 
 A source's target is its share of all words by weight, at most ``limit`` times its own words; what is cut off goes to
 the other sources by weight. Every document is first taken ``floor(target / source size)`` times. The rest of the target is
-sampled without replacement: a document has an inclusion probability in proportion to its size, its rank is its random odds
-divided by its inclusion odds, and documents are taken in rank order while they fit into the rest. One closing document
-per source, the one whose size is nearest to what is still missing, is added if that brings the source nearer to its target.
+sampled without replacement: a document has an inclusion probability in proportion to its size; documents larger than the rest are
+set aside, and those whose probability would reach 1 are taken, which leaves the others their share of what then is missing. A
+document's rank is its random odds divided by its inclusion odds. Going down the ranks, each document that fits into what is still
+missing is taken, until no unused one fits. One closing document per source, the one whose size is nearest to
+what is still missing, is added if that brings the source nearer to its target.
 
 Running sums within a source never need its rows in one task: ranks are mapped to cells, sums over cells are
-formed first, and only the rows of the one cell in which a source's rest runs out are put in order.
+formed first, and only the rows of the one cell in which a source's rest runs out are put in order. A round takes all
+documents of a source up to the first that no longer fits; the next round goes on behind them with those of at most
+the size still missing. So a round is a pass over narrow rows, and its outcome one row a source.
 """
 
 from __future__ import annotations
@@ -61,27 +65,60 @@ def taken_copies(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), l
     plan = plan.withColumn("whole", whole).withColumn("rest", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
     plan = materialise(plan.withColumnRenamed("source", "origin"), "mix-plan")
 
-    chance = F.least(F.when(F.col("square") > 0, F.col("rest") * F.col("size") / F.col("square")).otherwise(0.0), F.lit(0.999))
+    # Documents taken for certain: largest first, as long as a size's share of what is missing without the larger ones reaches 1.
+    sizes = join_narrow(rows.where("size > 0").groupBy("source", "size").agg(F.count("*").cast("double").alias("n")), plan, F.col("source").eqNullSafe(F.col("origin")))
+    sizes = sizes.where("size <= rest").select("source", "size", "n", "rest")
+    larger = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    smaller = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, 0)
+    sizes = sizes.withColumns({"missing": F.col("rest") - F.coalesce(F.sum(F.col("n") * F.col("size")).over(larger), F.lit(0.0)), "square": F.sum(F.col("n") * F.col("size") * F.col("size")).over(smaller)})
+    sure = F.col("size") * F.col("missing") >= F.col("square")
+    shares = sizes.groupBy("source").agg(F.min(F.when(sure, F.col("size"))).alias("certain"), F.max(F.when(~sure, F.struct("size", F.col("missing").alias("open"), F.col("square").alias("squares")))).alias("o"))
+    shares = materialise(shares.select(F.col("source").alias("share_of"), "certain", "o.open", "o.squares"), "mix-shares")
+
+    chance = F.when((F.col("size") > 0) & (F.col("size") <= F.col("rest")), F.when(F.col("size") >= F.col("certain"), 1.0).otherwise(F.col("open") * F.col("size") / F.col("squares")))
     uniform = (F.shiftrightunsigned("h", 11) + 0.5) / float(1 << 53)
     odds = (uniform / (1 - uniform)) * (1 - chance) / chance
-    ranked = join_narrow(rows, plan, rows["source"].eqNullSafe(plan["origin"])).withColumn("rank", F.when(chance > 0, odds))
-    # A monotone map of the ranks to cells, even if inclusion odds vary little within a source.
+    ranked = join_narrow(rows, plan, rows["source"].eqNullSafe(plan["origin"]))
+    ranked = join_narrow(ranked, shares, ranked["source"].eqNullSafe(F.col("share_of")), "left").withColumn("rank", F.when(chance > 0, odds))
+    # A monotone map of the ranks to cells, even if inclusion odds vary little within a source; the certain ones are in front.
     flat = odds * (F.col("rest") / F.greatest(F.col("source_size") - F.col("rest"), F.lit(1.0)))
-    ranked = ranked.withColumn("cell", F.when(chance > 0, F.floor(CELLS * flat / (1 + flat)).cast("int")))
-    ranked = materialise(ranked.select("doc_id", "source", "size", "h", "rank", "cell", "rest"), "mix-ranks")
-
+    ranked = ranked.withColumn("cell", F.when(chance >= 1, -1).when(chance > 0, F.floor(CELLS * flat / (1 + flat)).cast("int")))
+    ranked = materialise(ranked.select("doc_id", "source", "size", "h", "rank", "cell", "rest", F.monotonically_increasing_id().alias("nr")), "mix-ranks")
+
+    # One row a source and round: documents of at most ``missing`` words with a place behind ``start`` and up to ``stop`` are taken.
+    place = F.struct("cell", "rank", "h", "nr")
+    first = F.struct(F.lit(-2).alias("cell"), F.lit(-1.0).alias("rank"), F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("nr"))
+    state = plan.where("rest > 0").select("origin", F.col("rest").alias("missing"), first.alias("start"))
+    state, rounds = materialise(state, "mix-round"), []
     before = Window.partitionBy("source").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    cells = ranked.where("cell is not null").groupBy("source", "cell", "rest").agg(F.sum("size").alias("sum"))
-    cells = cells.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0)))
-    edge = cells.where("before + sum > rest").groupBy("source").agg(F.min(F.struct("cell", "before")).alias("edge"))
-    edge = materialise(edge.select(F.col("source").alias("origin"), F.col("edge.cell").alias("edge"), "edge.before"), "mix-edge")
-    placed = join_narrow(ranked, edge, ranked["source"].eqNullSafe(edge["origin"]), "left").drop("origin")
-    own = Window.partitionBy("source").orderBy("rank", "doc_id", "h", "size")
-    inside = placed.where("cell = edge").withColumn("upto", F.col("before") + F.sum("size").over(own))
-    inside = inside.withColumns({"extra": (F.col("upto") <= F.col("rest")).cast("int"), "nr": F.row_number().over(own)})
-    outside = placed.where("cell is null or edge is null or cell <> edge").withColumns({"extra": F.when(F.col("cell").isNotNull() & (F.col("edge").isNull() | (F.col("cell") < F.col("edge"))), 1).otherwise(0), "nr": F.lit(0)})
-    shown = ["doc_id", "source", "size", "h", "rest", "extra", "nr"]
-    sampled = materialise(inside.select(shown).unionByName(outside.select(shown)), "mix-sample")
+    own = Window.partitionBy("source").orderBy("rank", "h", "nr")
+    while not state.isEmpty():
+        able = join_narrow(ranked.where("cell is not null").drop("rest", "doc_id"), state, F.col("source").eqNullSafe(F.col("origin"))).where(F.col("size") <= F.col("missing")).where(place > F.col("start"))
+        cells = able.groupBy("source", "cell", "missing", "start").agg(F.sum("size").alias("sum"))
+        cells = cells.withColumn("before", F.coalesce(F.sum("sum").over(before), F.lit(0)))
+        # A source without an edge is done: all that is left of it fits.
+        edges = cells.groupBy("source").agg(F.first("missing").alias("missing"), F.first("start").alias("start"), F.min(F.when(F.col("before") + F.col("sum") > F.col("missing"), F.struct("cell", "before"))).alias("edge"))
+        edges = materialise(edges.select(F.col("source").alias("origin"), "missing", "start", F.col("edge.cell").alias("edge"), "edge.before"), "mix-edge")
+        inside = join_narrow(ranked.drop("rest", "doc_id"), edges.where("edge is not null"), F.col("source").eqNullSafe(F.col("origin")) & (F.col("cell") == F.col("edge")))
+        inside = inside.where(F.col("size") <= F.col("missing")).where(place > F.col("start")).withColumn("upto", F.col("before") + F.sum("size").over(own))
+        last = inside.where(F.col("upto") <= F.col("missing")).groupBy("source").agg(F.max(place).alias("stop"), F.max("upto").alias("got"))
+        taken = edges.join(last, F.col("origin").eqNullSafe(F.col("source")), "left")
+        # Where none of the edge cell fits, the round ends in front of that cell.
+        ahead = F.struct(F.col("edge").alias("cell"), F.lit(-1.0).alias("rank"), F.lit(0).cast("long").alias("h"), F.lit(0).cast("long").alias("nr"))
+        taken = taken.select("origin", "missing", "start", F.when(F.col("edge").isNotNull(), F.coalesce("stop", ahead)).alias("stop"), F.coalesce("got", "before").alias("got"))
+        taken = materialise(taken, "mix-round")
+        rounds.append(taken)
+        state = materialise(taken.where("stop is not null and missing > got").select("origin", (F.col("missing") - F.col("got")).alias("missing"), F.col("stop").alias("start")), "mix-round")
+
+    sampled = ranked.withColumn("extra", F.lit(0))
+    if rounds:
+        steps = rounds[0]
+        for x in rounds[1:]:
+            steps = steps.unionByName(x)
+        steps = materialise(steps.groupBy("origin").agg(F.collect_list(F.struct("start", "stop", "missing")).alias("steps")), "mix-steps")
+        took = F.exists("steps", lambda x: (F.col("size") <= x["missing"]) & (place > x["start"]) & (x["stop"].isNull() | (place <= x["stop"])))
+        sampled = join_narrow(ranked, steps, F.col("source").eqNullSafe(F.col("origin")), "left").withColumn("extra", F.coalesce(F.col("cell").isNotNull() & took, F.lit(False)).cast("int"))
+    sampled = materialise(sampled.select("doc_id", "source", "size", "h", "rest", "extra", "nr"), "mix-sample")
 
     reached = sampled.groupBy("source").agg(F.sum(F.col("size") * F.col("extra")).alias("got"), F.max("rest").alias("rest"))
     reached = reached.select(F.col("source").alias("origin"), (F.col("rest") - F.col("got")).alias("missing"))
