@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultrail.llm import ann, bitpack, brown_lm, mixing, ngram_join, packing, suffix_dedup, token_counts, topk, toxicity
+from vaultrail.llm import ann, bitpack, brown_lm, mixing, ngram_join, packing, pieces, suffix_dedup, token_counts, topk, toxicity
 from vaultrail.llm.tables import small_batches
 from vaultrail.plans.registry import registrar
 from vaultrail.session import work_folder
@@ -122,3 +122,10 @@ def op9_bit_packing(spark: SparkSession, folder: str) -> DataFrame:
 def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors found for each fiftieth vector."""
     return ann.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op13_piece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of whole texts by backtracking, and digests of the ids and of the text they give."""
+    found = pieces.encode(read(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"), end=True, decoded=True)
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
