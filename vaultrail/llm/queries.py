@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultrail.llm import ann, bitpack, brown_lm, mixing, ngram_join, packing, pieces, suffix_dedup, token_counts, topk, toxicity
+from vaultrail.llm import ann, bitpack, brown_lm, mixing, ngram_join, packing, pieces, prefix_trie, suffix_dedup, token_counts, topk, toxicity
 from vaultrail.llm.tables import small_batches
 from vaultrail.plans.registry import registrar
 from vaultrail.session import work_folder
@@ -124,6 +124,41 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@query("""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(role || text)) AS position, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(4294967295::BIGINT, list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda d: list_concat([ascii(d)::BIGINT], list_transform(range(8), lambda i: -1::BIGINT))))),
+    lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END)) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (
+  SELECT c.conv_id, 0 AS later, position, role, text FROM c JOIN t ON t.conv_id = base AND position <= h
+  UNION ALL SELECT c.conv_id, 1, position, role, text FROM c JOIN t ON t.conv_id = c.conv_id AND position > h),
+l AS (SELECT conv_id, list({'role': role, 'text': text} ORDER BY later, position) AS turns FROM r GROUP BY conv_id),
+m AS (SELECT c.conv_id, coalesce(turns, []) AS turns, coalesce(len(turns), 0) AS n FROM c LEFT JOIN l USING (conv_id)),
+p AS (
+  SELECT conv_id, n, d, sha256(to_json(turns[1:d])::VARCHAR) AS k, CASE WHEN d > 0 THEN sha256(to_json(turns[1:d - 1])::VARCHAR) END AS up,
+    CASE WHEN d > 0 THEN strlen(turns[d].text) ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(0, n + 1)) AS d FROM m)),
+v AS (
+  SELECT k, min(up) AS up, min(conv_id) AS conv_id, min(d) AS depth, count(*) AS n_convs, min(bytes) AS bytes,
+    string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = n) AS ends FROM p GROUP BY k),
+n AS (SELECT up AS k, count(*) AS n_children FROM v WHERE up IS NOT NULL GROUP BY up),
+w AS (SELECT v.*, coalesce(n_children, 0) AS n_children FROM v LEFT JOIN n USING (k)),
+s AS (SELECT DISTINCT a.k, b.k AS below FROM p a JOIN p b ON a.conv_id = b.conv_id AND a.d <= b.d),
+g AS (SELECT s.k, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((n_convs - 1) * bytes)::BIGINT AS saved_tokens FROM s JOIN w ON w.k = s.below GROUP BY s.k)
+SELECT w.conv_id, w.depth::BIGINT AS depth, o.conv_id AS parent_conv_id, w.n_convs, w.n_children, n_leaves, saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN g USING (k) LEFT JOIN v o ON o.k = w.up
+""")
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of conversations that begin with the first turns of another one."""
+    turns = prefix_trie.numbered_turns(read(spark, folder, "conversations"))
+    rebuilt, members = prefix_trie.shared_openings(turns)
+    return prefix_trie.trie_nodes(rebuilt, members).drop("d1", "d2")
+
+
 @query()
 def op13_piece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of whole texts by backtracking, and digests of the ids and of the text they give."""
