@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultrail.llm import ann, bitpack, brown_lm, mixing, ngram_join, packing, pieces, prefix_trie, suffix_dedup, token_counts, topk, toxicity
+from vaultrail.llm import ann, bitpack, brown_lm, hard_negatives, mixing, ngram_join, packing, pieces, prefix_trie, suffix_dedup, token_counts, topk, toxicity
 from vaultrail.llm.tables import small_batches
 from vaultrail.plans.registry import registrar
 from vaultrail.session import work_folder
@@ -124,6 +124,27 @@ def op10_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+@query("""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS w FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id, list_dot_product(a.w, c.w)::BIGINT AS score
+  FROM v a JOIN v c ON c.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+""")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten hardest negatives, from 30 to 90 per cent of the score, for five positives of each hundredth vector."""
+    label = F.expr("CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END")
+    return hard_negatives.hard_negatives(read(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 @query("""
 WITH t AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(role || text)) AS position, role, text
