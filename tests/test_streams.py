@@ -52,8 +52,8 @@ def test_a_repeated_micro_batch_replaces_itself(spark, tmp_path):
     path = str(tmp_path)
     for batch, frame in [(0, frames[0]), (1, frames[1]), (1, frames[1])]:
         clocked = jobs.clock_batch(frame, path, batch)
-        jobs._replace(clocked, path, "clocked", batch)
-        jobs._replace(clocked.groupBy("request_id").agg(F.max("logical_clock").alias("clock")), path, "clock_deltas", batch)
+        jobs.replace_batch(clocked, path, "clocked", batch)
+        jobs.replace_batch(clocked.groupBy("request_id").agg(F.max("logical_clock").alias("clock")), path, "clock_deltas", batch)
     found = spark.read.parquet(f"{path}/clocked").collect()
     assert {r.event_id: r.logical_clock for r in found} == folded(rows) and len(found) == len(rows)
 

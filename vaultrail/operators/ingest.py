@@ -174,7 +174,7 @@ def event_context(policy: IngestPolicy, key: Column) -> Column:
 def seal_events(events: DataFrame, keyring: Keyring, policy: IngestPolicy = IngestPolicy()) -> DataFrame:
     """Envelope columns of guarded events.
 
-    ``payload`` is the sealed text itself; :func:`split_outcomes` moves large ones behind a claim check. Which rows are
+    ``payload`` is the sealed text itself; :func:`accepted_rows` and :func:`claim_blobs` move large ones behind a claim check. Which rows are
     large is known by arithmetic before anything is sealed.
     """
     key = F.col("_key")

@@ -33,7 +33,8 @@ def _batch_folder(path: str, table: str, batch: int) -> str:
     return f"{path}/{table}/batch={batch}"
 
 
-def _replace(df: DataFrame, path: str, table: str, batch: int, partition_by: list[str] | None = None) -> None:
+def replace_batch(df: DataFrame, path: str, table: str, batch: int, partition_by: list[str] | None = None) -> None:
+    """Write what a micro-batch adds to a table, in place of what an earlier try of it has left."""
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -68,7 +69,7 @@ def _clock_bases(spark: SparkSession, path: str, batch: int) -> DataFrame:
         return rows.groupBy("request_id").agg(F.max("clock").alias("clock"))
 
     if batch == start and batch > 0:
-        _replace(known(start - SNAPSHOT_EVERY, start), path, "clock_snapshots", start)
+        replace_batch(known(start - SNAPSHOT_EVERY, start), path, "clock_snapshots", start)
     return known(start, batch)
 
 
@@ -89,10 +90,10 @@ def clock_stream(stream: DataFrame, path: str, chunk: list[Column] | None = None
     """Logical clocks over a stream, to ``path/clocked``."""
 
     def work(events: DataFrame, batch: int) -> None:
-        _replace(clock_batch(events, path, batch, chunk), path, "clocked", batch)
+        replace_batch(clock_batch(events, path, batch, chunk), path, "clocked", batch)
         done = events.sparkSession.read.parquet(_batch_folder(path, "clocked", batch))
         deltas = done.groupBy("request_id").agg(F.max("logical_clock").alias("clock"))
-        _replace(deltas, path, "clock_deltas", batch)
+        replace_batch(deltas, path, "clock_deltas", batch)
 
     return run_batches(stream, work, f"{path}/_progress", trigger)
 
@@ -121,31 +122,43 @@ def ingest_stream(
     def work(events: DataFrame, batch: int) -> None:
         spark = events.sparkSession
         guarded = ingest.guard_events(ingest.with_event_columns(events), policy)
-        scope = F.coalesce(F.concat(F.lit("r:"), F.col("request_id").cast("string")), F.lit("none"))
         sealed = ingest.seal_events(guarded, keyring, policy)
         folder = work_folder(spark, "flush")
-        sealed.select(*ingest.ENVELOPE, "reject_reason", scope.alias("request_id")).write.parquet(folder)
-        staged = spark.read.parquet(folder)
-        bad = F.col("reject_reason").isNotNull()
-        _replace(ingest.claim_blobs(staged), path, "blobs", batch)
-        clocked = clock_batch(staged.where(~bad), path, batch)
-        _replace(ingest.accepted_rows(clocked), path, "rows", batch)
-        # Clocks need three narrow columns of the stage, which is less to compute again than to write.
-        deltas = clocked.groupBy("request_id").agg(F.max("logical_clock").alias("clock"))
-        _replace(deltas, path, "clock_deltas", batch)
-        rejected = guarded.where(bad)
+        sealed.select(*ingest.ENVELOPE, "reject_reason", clock_scope().alias("request_id")).write.parquet(folder)
+        store_sealed(spark.read.parquet(folder), path, batch)
+        rejected = guarded.where(F.col("reject_reason").isNotNull())
         if letters is None:
-            payload = F.to_json(F.struct(*ingest.AUDIT_EVENT))
-            _replace(ingest.dead_letters(rejected, payload, F.col("reject_reason"), F.col("created_at")), path, "letters", batch, ["dt"])
+            replace_batch(ingest.dead_letters(rejected, letter_text(), F.col("reject_reason"), F.col("created_at")), path, "letters", batch, ["dt"])
         else:
             letters(rejected, batch)
-        counts = staged.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
-        _replace(counts, path, "counts", batch)
         remove_folder(spark, folder)
 
     return run_batches(stream, work, f"{path}/_progress", trigger)
 
 
+def clock_scope() -> Column:
+    """Scope of an event's clock; events outside any request share one."""
+    return F.coalesce(F.concat(F.lit("r:"), F.col("request_id").cast("string")), F.lit("none"))
+
+
+def letter_text() -> Column:
+    """A rejected event with all its fields."""
+    return F.to_json(F.struct(*ingest.AUDIT_EVENT))
+
+
+def store_sealed(staged: DataFrame, path: str, batch: int) -> None:
+    """Blobs, rows with their clocks, and counts of a stored micro-batch of sealed events (rejected ones among them)."""
+    bad = F.col("reject_reason").isNotNull()
+    replace_batch(ingest.claim_blobs(staged), path, "blobs", batch)
+    clocked = clock_batch(staged.where(~bad), path, batch)
+    replace_batch(ingest.accepted_rows(clocked), path, "rows", batch)
+    # Clocks need three narrow columns of the stage, which is less to compute again than to write.
+    deltas = clocked.groupBy("request_id").agg(F.max("logical_clock").alias("clock"))
+    replace_batch(deltas, path, "clock_deltas", batch)
+    counts = staged.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
+    replace_batch(counts, path, "counts", batch)
+
+
 def drop_repeats(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Drop events delivered again within the delay; state older than that is dropped."""
     return stream.withWatermark("created_at", delay).dropDuplicatesWithinWatermark(["event_id"])
@@ -195,11 +208,11 @@ def bundle_stream(stream: DataFrame, path: str, chunk: Callable[[], list[Column]
         fresh = rows.where(F.col("kind") == "record").select(*names)
         commits = rows.where(F.col("kind") == "commit").select("run_id", "project_id", "system_prompt", "committed_at")
         known = fresh.unionByName(_earlier(spark, path, "open_records", batch - 1, batch, _RECORDS)) if batch else fresh
-        _replace(known.join(commits.select("run_id"), "run_id", "left_semi"), path, "closed_records", batch)
-        _replace(known.join(commits.select("run_id"), "run_id", "left_anti"), path, "open_records", batch)
+        replace_batch(known.join(commits.select("run_id"), "run_id", "left_semi"), path, "closed_records", batch)
+        replace_batch(known.join(commits.select("run_id"), "run_id", "left_anti"), path, "open_records", batch)
         closed = _earlier(spark, path, "closed_records", batch, batch + 1, _RECORDS)
         numbered = number_rows(closed, ["run_id"], ["call_id"], chunk(), "seq")
-        _replace(agents.evidence_bundles(numbered, commits), path, "bundles", batch)
+        replace_batch(agents.evidence_bundles(numbered, commits), path, "bundles", batch)
 
     return run_batches(stream, work, f"{path}/_progress", trigger)
 
