@@ -72,7 +72,7 @@ def test_recording_and_replay(spark):
     assert answers[2].recorded_output is None and "fetch" in answers[2].replay_error and answers[2].args_hash in answers[2].replay_error
 
 
-def test_bundles_in_parts(spark, tmp_path):
+def test_one_bundle_per_run(spark, tmp_path):
     records = spark.range(1, 8).select(
         F.lit("r1").alias("run_id"), F.col("id").alias("seq"), F.lit("t").alias("tool"), F.lit("h").alias("args_hash"), F.lit('{"a":1}').alias("args"),
         F.lit('"o"').alias("output"), F.lit(5).cast("bigint").alias("latency_ms"), F.col("id").alias("captured_at"),
@@ -80,18 +80,35 @@ def test_bundles_in_parts(spark, tmp_path):
     runs = spark.createDataFrame([("r1", "p", "be kind", 99), ("r2", "p", None, 100)], "run_id string, project_id string, system_prompt string, committed_at bigint")
     alibis = spark.createDataFrame([("r1", 1, "old", None, None, None), ("r1", 2, "new", "fp", 7, 0.5)],
                                    "run_id string, captured_at bigint, model_id string, system_fingerprint string, seed bigint, temperature double")
-    whole = agents.evidence_bundles(records, runs, alibis).collect()
-    body = {r.run_id: json.loads(r.bundle) for r in whole}
-    assert list(body["r1"]) == ["version", "runId", "projectId", "systemPromptHash", "systemPrompt", "providerAlibi", "tools", "committedAt"]
-    assert [t["seq"] for t in body["r1"]["tools"]] == list(range(1, 8))
-    assert body["r1"]["providerAlibi"] == {"modelId": "new", "systemFingerprint": "fp", "seed": 7, "temperature": 0.5}
-    assert body["r1"]["systemPromptHash"] == hashlib.sha256(b"be kind").hexdigest()
-    assert body["r2"] == {"version": 1, "runId": "r2", "projectId": "p", "tools": [], "committedAt": 100}
-    parts = agents.evidence_bundles(records, runs, alibis, part_records=3)
-    split = sorted((r.part, r.parts, [t["seq"] for t in json.loads(r.bundle)["tools"]]) for r in parts.where("run_id = 'r1'").collect())
-    assert split == [(0, 3, [1, 2, 3]), (1, 3, [4, 5, 6]), (2, 3, [7])]
-    for r in parts.withColumn("z", agents.gzip_bytes("bundle")).collect():
-        assert gzip.decompress(r.z).decode() == r.bundle and hashlib.sha256(r.bundle.encode()).hexdigest() == r.payload_hash
-    store.write_bundles(parts, f"{tmp_path}/bundles")
-    back = store.bundle_records(store.read_bundles(spark, f"{tmp_path}/bundles")).orderBy("seq").collect()
+    for size in (1000, 3, 1):
+        pieces = agents.evidence_pieces(records, runs, alibis, piece_records=size)
+        bundles = {r.run_id: r.bundle for r in agents.whole_bundles(pieces).collect()}
+        body = {k: json.loads(v) for k, v in bundles.items()}
+        assert list(body["r1"]) == ["version", "runId", "projectId", "systemPromptHash", "systemPrompt", "providerAlibi", "tools", "committedAt"]
+        assert [t["seq"] for t in body["r1"]["tools"]] == list(range(1, 8))
+        assert body["r1"]["providerAlibi"] == {"modelId": "new", "systemFingerprint": "fp", "seed": 7, "temperature": 0.5}
+        assert body["r1"]["systemPromptHash"] == hashlib.sha256(b"be kind").hexdigest()
+        assert body["r2"] == {"version": 1, "runId": "r2", "projectId": "p", "tools": [], "committedAt": 100}
+        digests = {r.run_id: (r.payload_hash, r.n_bytes, r.project_id, r.committed_at) for r in agents.bundle_digests(pieces).collect()}
+        assert digests == {k: (hashlib.sha256(v.encode()).hexdigest(), len(v.encode()), "p", body[k]["committedAt"]) for k, v in bundles.items()}
+        assert {r.run_id: gzip.decompress(r.packed).decode() for r in agents.zipped_bundles(pieces).collect()} == bundles
+        store.write_bundles(pieces, f"{tmp_path}/bundles{size}")
+        assert sorted(r.bundle for r in store.read_bundles(spark, f"{tmp_path}/bundles{size}").collect()) == sorted(bundles.values())
+    back = store.bundle_records(store.read_bundles(spark, f"{tmp_path}/bundles3")).orderBy("seq").collect()
     assert [(r.seq, r.args, r.output) for r in back] == [(i, '{"a":1}', "o") for i in range(1, 8)]
+
+
+def test_a_long_run_is_one_bundle(spark, tmp_path):
+    n = 100_000
+    many = spark.range(n).repartition(16).select(F.lit("long").alias("run_id"), "id").unionByName(spark.range(300).select(F.format_string("run%s", F.col("id") % 40).alias("run_id"), (F.col("id") / 40).cast("bigint").alias("id")))
+    records = many.select(
+        "run_id", (F.col("id") + 1).alias("seq"), F.lit("t").alias("tool"), F.lit("h").alias("args_hash"), F.lit("{}").alias("args"), F.lit('"}"').alias("output"),
+        F.lit(5).cast("bigint").alias("latency_ms"), "id", F.col("id").alias("captured_at"),
+    )
+    runs = records.select("run_id").distinct().withColumns({"project_id": F.when(F.col("run_id") != "run7", F.concat(F.lit("p"), F.length("run_id"))), "system_prompt": F.lit("é"), "committed_at": F.lit(1).cast("bigint")})
+    pieces = agents.evidence_pieces(records, runs)
+    store.write_bundles(pieces, f"{tmp_path}/b")
+    lines = {json.loads(r.bundle)["runId"]: r.bundle for r in store.read_bundles(spark, f"{tmp_path}/b").collect()}
+    digests = {r.run_id: r.payload_hash for r in agents.bundle_digests(pieces).collect()}
+    assert digests == {k: hashlib.sha256(v.encode()).hexdigest() for k, v in lines.items()} and len(lines) == 41
+    assert [t["seq"] for t in json.loads(lines["long"])["tools"]] == list(range(1, n + 1))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.metadata import canonical_json
 from vaultrail.operators import proofs
+from vaultrail.sources import ledger as store
 
 
 def sha(text):
@@ -54,31 +55,45 @@ def ledger(spark, sizes):
     return spark.createDataFrame(rows, "project_id string, seq bigint, payload_hash string").repartition(3)
 
 
-def fold(hashes, block):
-    out = []
-    for i, h in enumerate(hashes):
-        previous = "0" * 64 if i % block == 0 else out[-1]
-        out.append(sha(previous + h))
-    return out
+def fold(hashes):
+    out = ["0" * 64]
+    for h in hashes:
+        out.append(sha(out[-1] + h))
+    return out[1:]
 
 
 def test_chain_and_anchors_equal_fold(spark):
     sizes, block = {"a": 70, "b": 4, "c": 1}, 4
-    chain = proofs.build_chain(ledger(spark, sizes), block)
-    anchors = proofs.build_anchors(chain, block, levels=4).collect()
+    chain = proofs.build_chain(ledger(spark, sizes), block_size=block)
+    anchors = proofs.build_anchors(chain, block).collect()
     found = {(r.project_id, r.seq): r.chain_hash for r in chain.collect()}
     for p, n in sizes.items():
-        values = fold([sha(f"{p}{i}") for i in range(1, n + 1)], block)
+        values = fold([sha(f"{p}{i}") for i in range(1, n + 1)])
         assert [found[p, i] for i in range(1, n + 1)] == values
-        for level in (1, 2, 3):
-            heads = [values[min(i + block, len(values)) - 1] for i in range(0, len(values), block)]
-            values = fold(heads, block)
-            here = sorted((r.pos, r.hash, r.chain) for r in anchors if r.project_id == p and r.level == level)
-            assert here == list(zip(range(len(heads)), heads, values))
+        heads = [values[min(i + block, len(values)) - 1] for i in range(0, len(values), block)]
+        here = sorted((r.pos, r.hash, r.chain) for r in anchors if r.project_id == p)
+        assert here == list(zip(range(len(heads)), heads, fold(heads)))
+
+
+def test_appends_continue_the_chain(spark, tmp_path):
+    path = str(tmp_path)
+    store.append_chain(ledger(spark, {"a": 5, "b": 2}), path, 0)
+    # Done again, with entries that are chained already, after one that died before its heads were written.
+    ledger(spark, {"a": 9}).selectExpr("project_id", "seq", "payload_hash", "payload_hash AS chain_hash").write.parquet(f"{path}/links/commit=1")
+    for _ in range(2):
+        heads = {r.project_id: r.seq for r in store.append_chain(ledger(spark, {"a": 12, "c": 3}), path, 1).collect()}
+        assert heads == {"a": 12, "c": 3}
+    store.append_chain(ledger(spark, {"a": 12, "b": 2, "c": 3}), path, 2)
+    chain = store.read_chain(spark, path)
+    found = {(r.project_id, r.seq): r.chain_hash for r in chain.collect()}
+    assert chain.count() == len(found) == 17
+    for p, n in {"a": 12, "b": 2, "c": 3}.items():
+        assert [found[p, i] for i in range(1, n + 1)] == fold([sha(f"{p}{i}") for i in range(1, n + 1)])
+    assert [r.broken for r in proofs.check_chain(chain, 4).collect()] == [0, 0, 0]
 
 
 def test_breaks_are_found(spark):
-    chain = proofs.build_chain(ledger(spark, {"a": 20, "b": 20, "c": 20, "d": 20}), 8)
+    chain = proofs.build_chain(ledger(spark, {"a": 20, "b": 20, "c": 20, "d": 20}), block_size=8)
     changed = chain.withColumn("payload_hash", F.when(F.expr("project_id = 'a' AND seq = 11"), F.lit("x")).otherwise(F.col("payload_hash")))
     changed = changed.withColumn("chain_hash", F.when(F.expr("project_id = 'b' AND seq = 5"), F.lit("y")).otherwise(F.col("chain_hash")))
     changed = changed.where("NOT (project_id = 'c' AND seq = 3)")

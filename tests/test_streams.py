@@ -95,7 +95,7 @@ def test_ingest_stream_hands_over_rejected_rows(spark, ring, tmp_path):
     assert {r.event_id: r.logical_clock for r in rows.collect()} == {0: 1, 1: 1, 10: 2, 11: 2}
 
 
-def test_bundles_wait_for_their_commit(spark, tmp_path):
+def test_bundles_wait_for_their_commit(spark, tmp_path, monkeypatch):
     schema = (
         "kind string, run_id string, call_id bigint, tool string, args_hash string, args string, output string, latency_ms bigint, "
         "captured_at bigint, project_id string, system_prompt string, committed_at bigint"
@@ -107,13 +107,24 @@ def test_bundles_wait_for_their_commit(spark, tmp_path):
     def commit(run):
         return ("commit", run, None, None, None, None, None, None, None, "p", "prompt", 9)
 
-    batches = [[record("a", 1), record("b", 1)], [record("a", 3), record("a", 2), commit("b")], [commit("a"), record("c", 1)]]
+    batches = [
+        [record("a", 1), record("b", 1)], [record("a", 3), record("a", 2), commit("b")], [commit("a"), record("c", 1)],
+        [record("b", 7), record("b", 6), record("a", 9)], [commit("c"), commit("b")], [record("b", 8), commit("d")], [record("e", 1)],
+    ]
     frames = [spark.createDataFrame(b, schema) for b in batches]
     out = f"{tmp_path}/out"
+    monkeypatch.setattr(jobs, "COMPACT_EVERY", 2)
     jobs.bundle_stream(feed(spark, frames, f"{tmp_path}/in"), out, lambda: [int_chunk("call_id")]).awaitTermination()
-    found = {r.run_id: json.loads(r.bundle) for r in spark.read.parquet(f"{out}/bundles").collect()}
-    assert {k: [(t["seq"], t["output"]) for t in v["tools"]] for k, v in found.items()} == {"a": [(1, 1), (2, 2), (3, 3)], "b": [(1, 1)]}
-    assert [r.run_id for r in spark.read.parquet(f"{out}/open_records/batch=2").collect()] == ["c"]
+    found = {(r.run_id, r.part): r for r in jobs.stored_bundles(spark, out).collect()}
+    assert {k: [(t["seq"], t["output"]) for t in json.loads(v.bundle)["tools"]] for k, v in found.items()} == {
+        ("a", 0): [(1, 1), (2, 2), (3, 3)], ("a", 1): [(4, 9)], ("b", 0): [(1, 1)], ("b", 1): [(2, 6), (3, 7)], ("b", 2): [(4, 8)], ("c", 0): [(1, 1)], ("d", 0): [],
+    }
+    for (run, part), r in found.items():
+        assert r.previous_hash == (found[run, part - 1].payload_hash if part else None)
+    # A micro-batch writes its own records only, and the log is cut down to those of open runs.
+    assert [spark.read.parquet(f"{out}/records/batch={b}").count() for b in range(7)] == [2, 2, 1, 3, 0, 1, 1]
+    assert sorted(r.run_id for r in spark.read.parquet(f"{out}/records_compacted/batch=6").collect()) == []
+    assert sorted(r.run_id for r in spark.read.parquet(f"{out}/records_compacted/batch=4").collect()) == ["c"]
 
 
 def run_to_table(stream, path):

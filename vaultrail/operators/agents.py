@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,8 +23,8 @@ NO_RESULT = "Execution failed or returned no result"
 RATIONALE_INPUT = 100
 BUNDLE_VERSION = 1
 
-# Tool records in one stored part of a bundle; longer runs have several parts.
-PART_RECORDS = 1000
+# Tool records in one piece of a bundle's text.
+PIECE_RECORDS = 1000
 
 
 def tool_name(name: Column | str) -> Column:
@@ -236,23 +236,22 @@ def record_json() -> Column:
     )
 
 
-def evidence_bundles(records: DataFrame, runs: DataFrame, alibis: DataFrame | None = None, part_records: int = PART_RECORDS) -> DataFrame:
-    """Bundle JSON per run, with its SHA-256.
+def evidence_pieces(records: DataFrame, runs: DataFrame, alibis: DataFrame | None = None, piece_records: int = PIECE_RECORDS) -> DataFrame:
+    """Bundle JSON per run in pieces of text: ``(run_id, project_id, committed_at, piece, text)``.
 
-    ``records`` carry ``seq`` (unique per run from 1); ``runs(run_id, project_id, system_prompt, committed_at)``. A run
-    of up to ``part_records`` calls is one row. A longer one continues in further parts with the same header, each with
-    the next records, so no run has to fit a task; ``part`` and ``parts`` say where a row belongs. A run without records
-    has one part with an empty list.
+    ``records`` carry ``seq`` (unique per run); ``runs(run_id, project_id, system_prompt, committed_at)`` has each run once. A run of any
+    length has one bundle: its pieces in their order, each followed by a closing brace. No step needs all pieces of a run at
+    once; see :func:`bundle_digests`, :func:`whole_bundles` and :func:`vaultrail.sources.ledger.write_bundles`.
     """
-    part = floor_div(F.col("seq") - 1, part_records)
+    piece = floor_div(F.col("seq") - 1, piece_records)
     texts = (
-        records.select("run_id", part.alias("part"), "seq", record_json().alias("text"))
-        .groupBy("run_id", "part")
+        records.select("run_id", piece.alias("piece"), "seq", record_json().alias("text"))
+        .groupBy("run_id", "piece")
         .agg(F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("items"))
-        .select("run_id", "part", F.concat_ws(",", F.transform("items", lambda i: i["text"])).alias("tools"))
+        .select("run_id", "piece", F.concat_ws(",", F.transform("items", lambda i: i["text"])).alias("tools"))
     )
-    parts = records.groupBy("run_id").agg((F.max(part) + 1).alias("parts"))
-    head = runs.join(parts, "run_id", "left")
+    ranges = records.groupBy("run_id").agg(F.min(piece).alias("first"), F.max(piece).alias("last"))
+    head = runs.join(ranges, "run_id", "left")
     if alibis is not None:
         head = head.join(last_alibi(alibis), "run_id", "left")
         alibi = object_of(
@@ -265,27 +264,74 @@ def evidence_bundles(records: DataFrame, runs: DataFrame, alibis: DataFrame | No
     else:
         alibi = F.lit(None).cast("string")
     prompt = F.col("system_prompt")
-    bundle = object_of(
+    front = object_of(
         ("version", F.lit(str(BUNDLE_VERSION))),
         ("runId", quote(F.col("run_id").cast("string"))),
         ("projectId", quote(F.col("project_id").cast("string"))),
         ("systemPromptHash", quote(sha256_hex(prompt))),
         ("systemPrompt", quote(prompt)),
         ("providerAlibi", alibi),
-        ("tools", F.concat(F.lit("["), F.coalesce("tools", F.lit("")), F.lit("]"))),
-        ("committedAt", json_number(F.col("committed_at"))),
-    )
-    whole = head.join(texts, "run_id", "left").select(
-        "run_id",
-        "project_id",
-        F.coalesce("part", F.lit(0)).alias("part"),
-        F.coalesce("parts", F.lit(1)).alias("parts"),
-        "committed_at",
-        bundle.alias("bundle"),
     )
+    front = F.concat(_unclosed(front), F.lit(',"tools":['))
+    back = F.concat(F.lit("]"), F.coalesce(F.concat(F.lit(',"committedAt":'), json_number(F.col("committed_at"))), F.lit("")))
+    keys = ["run_id", "project_id", "committed_at"]
+    heads = head.select(*keys, "first", "last", front.alias("front"), back.alias("back"))
+    begun = F.when(F.col("piece") == F.col("first"), F.col("front")).otherwise(F.lit(","))
+    # Every piece ends before a closing brace: that of its last record, or the bundle's own.
+    middle = texts.join(heads, "run_id").select(*keys, "piece", F.concat(begun, _unclosed(F.col("tools"))).alias("text"))
+    closing = F.when(F.col("last").isNull(), F.concat("front", "back")).otherwise(F.col("back"))
+    return middle.unionByName(heads.select(*keys, (F.coalesce("last", F.lit(-1)) + 1).alias("piece"), closing.alias("text")))
+
+
+def _unclosed(text: Column) -> Column:
+    return F.substring(text, F.lit(1), F.length(text) - 1)
+
+
+def bundle_digests(pieces: DataFrame) -> DataFrame:
+    """SHA-256 of each bundle, carried through its pieces in order: ``(run_id, project_id, committed_at, payload_hash, n_bytes)``."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import hashlib
+
+        run, state, size = None, None, 0
+
+        def row() -> pa.RecordBatch:
+            keys = [c.slice(0, 1) for c in run]
+            return pa.RecordBatch.from_arrays([*keys, pa.array([state.hexdigest()]), pa.array([size], pa.int64())], names=["run_id", "project_id", "committed_at", "payload_hash", "n_bytes"])
+
+        for batch in batches:
+            ids, texts = batch.column("run_id").to_pylist(), batch.column("text").to_pylist()
+            for i, (own, text) in enumerate(zip(ids, texts, strict=True)):
+                if run is None or own != run[0][0].as_py():
+                    if run is not None:
+                        yield row()
+                    run, state, size = [batch.column(n).slice(i, 1) for n in ("run_id", "project_id", "committed_at")], hashlib.sha256(), 0
+                data = f"{text}}}".encode()
+                state.update(data)
+                size += len(data)
+        if run is not None:
+            yield row()
+
+    types = dict(pieces.dtypes)
+    ordered = pieces.select("run_id", "project_id", "committed_at", "piece", "text").repartition("run_id").sortWithinPartitions("run_id", "piece").drop("piece")
+    return ordered.mapInArrow(fold, ", ".join(f"{n} {types[n]}" for n in ("run_id", "project_id", "committed_at")) + ", payload_hash string, n_bytes bigint")
+
+
+def whole_bundles(pieces: DataFrame) -> DataFrame:
+    """One row per run: ``(run_id, project_id, committed_at, bundle, payload_hash)``; a bundle must fit a value (2 GB)."""
+    parts = pieces.groupBy("run_id", "project_id", "committed_at").agg(F.array_sort(F.collect_list(F.struct("piece", "text"))).alias("parts"))
+    bundle = F.concat(F.array_join(F.transform("parts", lambda p: p["text"]), "}"), F.lit("}"))
+    whole = parts.select("run_id", "project_id", "committed_at", bundle.alias("bundle"))
     return whole.withColumn("payload_hash", sha256_hex("bundle"))
 
 
+def zipped_bundles(pieces: DataFrame) -> DataFrame:
+    """``(run_id, packed)``: each piece is a gzip member of its own, packed where it is; the members in order are one gzip file."""
+    members = pieces.select("run_id", "piece", F.hex(gzip_bytes(F.concat("text", F.lit("}")))).alias("member"))
+    parts = members.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("piece", "member"))).alias("parts"))
+    return parts.select("run_id", F.unhex(F.array_join(F.transform("parts", lambda p: p["member"]), "")).alias("packed"))
+
+
 def gzip_bytes(text: Column | str) -> Column:
     """Gzip bytes of a text, equal on every run (no time stamp in the header)."""
 

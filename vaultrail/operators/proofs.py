@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,81 +72,86 @@ def verify_proofs(proofs: DataFrame, payload: str = "payload", position: str | N
 
 # --- hash chains -----------------------------------------------------------------------------------------------------
 
-# Entries per block, and levels of blocks over blocks: enough for 65536 ** 3 entries per project.
+# Entries in a row of the fold, and from one anchor to the next.
 BLOCK = 65_536
-LEVELS = 3
 
 
-def _fold(batches):
-    """Chain values of entries sorted by project, block and position; only the last value is held."""
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chain values of blocks sorted by project and block; of a project only the last value is held."""
     import hashlib
 
-    group, chain = None, GENESIS
-    for frame in batches:
-        chained = []
-        for project, block, value in zip(frame["project_id"], frame["block"], frame["hash"]):
-            if (project, block) != group:
-                group, chain = (project, block), GENESIS
-            chain = hashlib.sha256((chain + value).encode()).hexdigest()
-            chained.append(chain)
-        yield frame.assign(chain=chained)
-
-
-def _fold_blocks(entries: DataFrame, block_size: int) -> DataFrame:
-    """Chain every block from genesis: ``chain = sha256(previous chain, hash)``; positions count from 0."""
-    blocks = entries.select("project_id", floor_div("pos", block_size).alias("block"), "pos", "hash")
-    ordered = blocks.repartition("project_id", "block").sortWithinPartitions("project_id", "block", "pos")
-    project = dict(blocks.dtypes)["project_id"]
-    return ordered.mapInPandas(_fold, f"project_id {project}, block bigint, pos bigint, hash string, chain string")
-
-
-def block_heads(chained: DataFrame) -> DataFrame:
-    """Last chain value of each block, as entries of the level above."""
-    return chained.groupBy("project_id", "block").agg(F.max_by("chain", "pos").alias("hash")).withColumnRenamed("block", "pos")
-
-
-def build_chain(entries: DataFrame, block_size: int = BLOCK) -> DataFrame:
-    """Chain value of every ledger entry ``(project_id, seq, payload_hash)``, with ``seq`` from 1 and unique.
-
-    A single chain over a project could only be computed by one task. Entries are therefore chained in blocks of
-    ``block_size`` from genesis, and the block heads are anchored by :func:`build_anchors`. Each link needs the one
-    before it, which no built-in expression streams; a block is folded row by row as it leaves the sort.
+    project, chain = None, None
+    for batch in batches:
+        for i in range(len(batch)):
+            row = batch.slice(i, 1).to_pylist()[0]
+            if chain is None or row["project_id"] != project:
+                project, chain = row["project_id"], row["head"]
+            chained = []
+            for value in row["hashes"]:
+                chain = hashlib.sha256((chain + value).encode()).hexdigest()
+                chained.append(chain)
+            columns = [batch.column(n).slice(i, 1) for n in ("project_id", "positions", "hashes")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([chained], pa.list_(pa.string()))], names=["project_id", "positions", "hashes", "chains"])
+
+
+def build_chain(entries: DataFrame, heads: DataFrame | None = None, block_size: int = BLOCK) -> DataFrame:
+    """Chain value of every ledger entry ``(project_id, seq, payload_hash)``, with ``seq`` from 1 and unique: one chain per project.
+
+    ``chain = sha256(previous chain, payload hash)``, from genesis or from the stored ``heads(project_id, seq, chain_hash)``, beyond
+    which only entries of higher ``seq`` are taken. Each link needs the one before it, so a project's links are one
+    stream; its entries reach it packed in blocks, it holds one value, and projects are worked on side by side. What is
+    chained once is not folded again: a later run begins at the heads.
     """
-    positions = entries.select("project_id", (F.col("seq") - 1).alias("pos"), F.col("payload_hash").alias("hash"))
-    return _fold_blocks(positions, block_size).select(
-        "project_id", (F.col("pos") + 1).alias("seq"), "block", F.col("hash").alias("payload_hash"), F.col("chain").alias("chain_hash")
+    rows = entries.select("project_id", "seq", F.col("payload_hash").alias("hash"))
+    rows = rows.withColumn("head", F.lit(GENESIS))
+    if heads is not None:
+        known = heads.select("project_id", F.col("seq").alias("_seq"), F.col("chain_hash").alias("_chain"))
+        rows = rows.join(known, "project_id", "left").where("_seq is null or seq > _seq")
+        rows = rows.withColumn("head", F.coalesce("_chain", "head")).drop("_seq", "_chain")
+    packed = (
+        rows.groupBy("project_id", floor_div(F.col("seq") - 1, block_size).alias("block"))
+        .agg(F.array_sort(F.collect_list(F.struct("seq", "hash"))).alias("items"), F.first("head").alias("head"))
+        .select("project_id", "block", F.col("items.seq").alias("positions"), F.col("items.hash").alias("hashes"), "head")
     )
+    ordered = packed.repartition("project_id").sortWithinPartitions("project_id", "block").drop("block")
+    project = dict(entries.dtypes)["project_id"]
+    folded = ordered.mapInArrow(_fold, f"project_id {project}, positions array<bigint>, hashes array<string>, chains array<string>")
+    links = folded.select("project_id", F.explode(F.arrays_zip("positions", "hashes", "chains")).alias("l"))
+    return links.select("project_id", F.col("l.positions").alias("seq"), F.col("l.hashes").alias("payload_hash"), F.col("l.chains").alias("chain_hash"))
+
 
+def chain_heads(chain: DataFrame) -> DataFrame:
+    """Last entry of each project: ``(project_id, seq, chain_hash)``."""
+    last = F.max(F.struct("seq", "chain_hash")).alias("l")
+    return chain.groupBy("project_id").agg(last).select("project_id", "l.seq", "l.chain_hash")
 
-def build_anchors(chain: DataFrame, block_size: int = BLOCK, levels: int = LEVELS) -> DataFrame:
-    """Chains over block heads, level by level: ``(level, project_id, pos, hash, chain)``.
 
-    ``hash`` at level 1 is a head of entry blocks, at level ``n`` a head of blocks of level ``n - 1``. The last chain
-    value of the top level stands for the whole project.
+def build_anchors(chain: DataFrame, block_size: int = BLOCK) -> DataFrame:
+    """An index beside the chain: the chain value at the end of each block, and a chain over these: ``(project_id, pos, hash, chain)``.
+
+    ``pos`` counts blocks from 0. The last anchor stands for all entries of the project, and each one lets a reader check its
+    block without the blocks before it.
     """
-    below = chain.select("project_id", "block", F.col("seq").alias("pos"), F.col("chain_hash").alias("chain"))
-    out = None
-    for level in range(1, levels):
-        folded = _fold_blocks(block_heads(below), block_size)
-        rows = folded.select(F.lit(level).cast("bigint").alias("level"), "project_id", "pos", "hash", "chain")
-        out = rows if out is None else out.unionByName(rows)
-        below = folded
-    return out
+    block = floor_div(F.col("seq") - 1, block_size)
+    ends = chain.groupBy("project_id", block.alias("pos")).agg(F.max_by("chain_hash", "seq").alias("payload_hash"))
+    over = build_chain(ends.select("project_id", (F.col("pos") + 1).alias("seq"), "payload_hash"), block_size=block_size)
+    return over.select("project_id", (F.col("seq") - 1).alias("pos"), F.col("payload_hash").alias("hash"), F.col("chain_hash").alias("chain"))
 
 
 def check_chain(chain: DataFrame, block_size: int = BLOCK) -> DataFrame:
     """First broken link per project and the number of broken links.
 
     A link is checked against its stored predecessor alone, so the check needs no fold: any change to a hash or a chain
-    value shows at that entry or the next.
+    value shows at that entry or the next. Blocks are checked side by side; the first link of a block finds its
+    predecessor among the last ones of blocks.
     """
     block = floor_div(F.col("seq") - 1, block_size)
     inside = Window.partitionBy("project_id", "_block").orderBy("seq")
-    linked = chain.select("project_id", "seq", "payload_hash", "chain_hash", block.alias("_block")).withColumns(
-        {"_prev": F.lag("chain_hash").over(inside), "_prev_seq": F.lag("seq").over(inside)}
-    )
-    starts = (F.col("seq") - 1) % F.lit(block_size) == 0
-    previous = F.when(starts, F.lit(GENESIS)).when(F.col("_prev_seq") == F.col("seq") - 1, F.col("_prev"))
+    linked = chain.select("project_id", "seq", "payload_hash", "chain_hash", block.alias("_block"))
+    tails = linked.groupBy("project_id", (F.col("_block") + 1).alias("_block")).agg(F.max(F.struct("seq", "chain_hash")).alias("_tail"))
+    linked = linked.withColumn("_before", F.lag(F.struct("seq", "chain_hash")).over(inside)).join(tails, ["project_id", "_block"], "left")
+    before = F.coalesce("_before", "_tail")
+    previous = F.when(F.col("seq") == 1, F.lit(GENESIS)).when(before["seq"] == F.col("seq") - 1, before["chain_hash"])
     good = F.coalesce(F.col("chain_hash") == F.sha2(F.concat(previous, F.col("payload_hash")), 256), F.lit(False))
     return linked.groupBy("project_id").agg(
         F.count(F.lit(1)).alias("entries"),

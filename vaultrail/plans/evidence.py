@@ -13,7 +13,7 @@ from vaultrail.operators.ordered import int_chunk, number_rows
 from vaultrail.plans import inputs
 from vaultrail.plans.oracle import AUDIT, RUN_DAYS, TOOL_EVENTS, with_
 from vaultrail.plans.registry import registrar
-from vaultrail.session import work_folder
+from vaultrail.session import materialise, work_folder
 from vaultrail.sources import ledger as store
 
 QUERIES, ORACLES = {}, {}
@@ -209,7 +209,7 @@ def replay_from_bundles(spark, folder):
         "run_id", (run % 5).alias("project_id"), F.lit(None).cast("string").alias("system_prompt"), run.alias("committed_at")
     )
     path = work_folder(spark, "bundles")
-    store.write_bundles(agents.evidence_bundles(records, runs), path)
+    store.write_bundles(agents.evidence_pieces(records, runs), path)
     kept = store.bundle_records(store.read_bundles(spark, path)).withColumn("call_id", F.col("seq"))
     asked = rows.withColumn("tool", F.lit("lookup")).withColumn("args_hash", agents.args_hash("tool", "scrubbed"))
     answers = agents.replay(asked, agents.replay_store(kept))
@@ -263,15 +263,14 @@ BUNDLES = """records AS (
     SELECT run_id, user_id, event_id, row_number() OVER (PARTITION BY run_id ORDER BY event_id) AS seq,
       action, metadata, target, event_id % 90 AS latency, created_ms FROM audit),
   texts AS (
-    SELECT run_id, user_id, (seq - 1) // 40 AS part, string_agg('{"seq":' || seq || ',"toolName":"' || action || '","argsHash":"' || sha256(action || metadata)
+    SELECT run_id, user_id, string_agg('{"seq":' || seq || ',"toolName":"' || action || '","argsHash":"' || sha256(action || metadata)
       || '","args":' || metadata || ',"output":"' || target || '","latencyMs":' || latency || ',"capturedAt":' || created_ms || '}', ',' ORDER BY seq) AS tools
     FROM records GROUP BY ALL),
   alibis AS (
     SELECT user_id, '{"modelId":"model-' || (max(event_id) % 4) || '"' || CASE WHEN max(event_id) % 2 = 0 THEN ',"systemFingerprint":"fp_' || max(event_id) || '"' ELSE '' END
       || ',"seed":' || (max(event_id) % 10) || '}' AS alibi FROM events GROUP BY user_id),
   bundles AS (
-    SELECT run_id, user_id, part, max(part) OVER (PARTITION BY run_id) + 1 AS parts,
-      '{"version":1,"runId":"' || run_id || '","projectId":"p_' || (user_id % 5) || '"'
+    SELECT run_id, user_id, '{"version":1,"runId":"' || run_id || '","projectId":"p_' || (user_id % 5) || '"'
       || CASE WHEN user_id % 3 <> 0 THEN ',"systemPromptHash":"' || sha256('prompt of ' || user_id) || '","systemPrompt":"prompt of ' || user_id || '"' ELSE '' END
       || CASE WHEN alibi IS NULL THEN '' ELSE ',"providerAlibi":' || alibi END
       || ',"tools":[' || tools || '],"committedAt":' || (1706000000000 + user_id) || '}' AS bundle
@@ -289,14 +288,16 @@ def provider_alibi(spark, folder):
     return last.select("run_id", "alibi.model_id", "alibi.system_fingerprint", "alibi.seed")
 
 
-def bundles(spark, folder):
-    return agents.evidence_bundles(event_records(spark, folder), run_heads(spark, folder), run_alibis(spark, folder), part_records=40)
+def pieces(spark, folder):
+    return agents.evidence_pieces(event_records(spark, folder), run_heads(spark, folder), run_alibis(spark, folder), piece_records=40)
 
 
-@query(with_(AUDIT, BUNDLES) + "SELECT run_id, part, parts, bundle, sha256(bundle) AS payload_hash FROM bundles")
+@query(with_(AUDIT, BUNDLES) + "SELECT run_id, bundle, sha256(bundle) AS payload_hash FROM bundles")
 def tool_seq_bundle(spark, folder):
-    """Evidence bundles in parts of forty records."""
-    return bundles(spark, folder).select("run_id", "part", "parts", "bundle", "payload_hash")
+    """One evidence bundle per run, with the digest carried through its pieces of forty records."""
+    parts = pieces(spark, folder)
+    digests = agents.bundle_digests(parts).select("run_id", "payload_hash")
+    return agents.whole_bundles(parts).select("run_id", "bundle").join(digests, "run_id")
 
 
 @query(
@@ -304,16 +305,16 @@ def tool_seq_bundle(spark, folder):
     + """SELECT run_id, seq, action AS tool, sha256(action || metadata) AS args_hash, metadata AS args, target AS output FROM records"""
 )
 def bundle_sink(spark, folder):
-    """Bundles stored as gzipped lines and read back into tool records."""
+    """Bundles stored as gzipped lines, one per run, and read back into tool records."""
     path = work_folder(spark, "bundles")
-    store.write_bundles(bundles(spark, folder), path)
+    store.write_bundles(pieces(spark, folder), path)
     rows = store.bundle_records(store.read_bundles(spark, path))
     return rows.select("run_id", "seq", "tool", "args_hash", "args", "output")
 
 
-@query(with_(AUDIT, BUNDLES) + "SELECT run_id, part, sha256(bundle) AS unzipped_hash, true AS smaller FROM bundles")
+@query(with_(AUDIT, BUNDLES) + "SELECT run_id, sha256(bundle) AS unzipped_hash, true AS smaller FROM bundles")
 def bundle_gzip(spark, folder):
-    """Gzip bytes of bundles; unpacked they hash to the bundle's own hash."""
+    """Gzip files of bundles, a member per piece; unpacked they hash to the bundle's own hash."""
     @F.arrow_udf("string")
     def unpacked_hash(batch: pa.Array) -> pa.Array:
         import gzip
@@ -321,10 +322,9 @@ def bundle_gzip(spark, folder):
 
         return pa.array([hashlib.sha256(gzip.decompress(b)).hexdigest() for b in batch.to_pylist()], pa.string())
 
-    packed = bundles(spark, folder).withColumn("packed", agents.gzip_bytes("bundle"))
-    return packed.select(
-        "run_id", "part", unpacked_hash("packed").alias("unzipped_hash"), (F.octet_length("packed") < F.octet_length("bundle")).alias("smaller")
-    )
+    parts = pieces(spark, folder)
+    packed = agents.zipped_bundles(parts).join(agents.bundle_digests(parts).select("run_id", "n_bytes"), "run_id")
+    return packed.select("run_id", unpacked_hash("packed").alias("unzipped_hash"), (F.octet_length("packed") < F.col("n_bytes")).alias("smaller"))
 
 
 # --- proofs and chains -------------------------------------------------------------------------------------------------
@@ -358,15 +358,21 @@ def entries(spark, folder):
 
 GENESIS = "repeat('0', 64)"
 CHAIN = f"""chain AS (
-    SELECT project_id, seq, payload_hash, sha256({GENESIS} || payload_hash) AS chain_hash FROM entries WHERE (seq - 1) % {BLOCK} = 0
+    SELECT project_id, seq, payload_hash, sha256({GENESIS} || payload_hash) AS chain_hash FROM entries WHERE seq = 1
     UNION ALL
     SELECT e.project_id, e.seq, e.payload_hash, sha256(c.chain_hash || e.payload_hash)
-    FROM chain c JOIN entries e ON e.project_id = c.project_id AND e.seq = c.seq + 1 AND (e.seq - 1) % {BLOCK} <> 0)"""
+    FROM chain c JOIN entries e ON e.project_id = c.project_id AND e.seq = c.seq + 1)"""
 
 
 @query(with_(RUN_DAYS, CHAIN, recursive=True) + "SELECT project_id, seq, payload_hash, chain_hash FROM chain")
 def chain_build(spark, folder):
-    return proofs.build_chain(entries(spark, folder), BLOCK).select("project_id", "seq", "payload_hash", "chain_hash")
+    """One chain per project, built by three appends, each from the stored heads of the one before."""
+    path = work_folder(spark, "chain")
+    rows = materialise(entries(spark, folder), "entries")
+    for commit in range(3):
+        last = F.col("seq") <= 50 * (commit + 1) ** 2 if commit < 2 else F.lit(True)
+        store.append_chain(rows.where(last), path, commit)
+    return store.read_chain(spark, path)
 
 
 @query(
@@ -375,17 +381,17 @@ def chain_build(spark, folder):
         CHAIN,
         f"""heads AS (SELECT project_id, (seq - 1) // {BLOCK} AS pos, max_by(chain_hash, seq) AS hash FROM chain GROUP BY ALL)""",
         f"""anchors AS (
-          SELECT project_id, pos, hash, sha256({GENESIS} || hash) AS chain FROM heads WHERE pos % {BLOCK} = 0
+          SELECT project_id, pos, hash, sha256({GENESIS} || hash) AS chain FROM heads WHERE pos = 0
           UNION ALL SELECT h.project_id, h.pos, h.hash, sha256(a.chain || h.hash) FROM anchors a
-          JOIN heads h ON h.project_id = a.project_id AND h.pos = a.pos + 1 AND h.pos % {BLOCK} <> 0)""",
+          JOIN heads h ON h.project_id = a.project_id AND h.pos = a.pos + 1)""",
         recursive=True,
     )
     + "SELECT project_id, pos, hash, chain FROM anchors"
 )
 def chain_anchors(spark, folder):
-    """Chain over the block heads of each project."""
-    chain = proofs.build_chain(entries(spark, folder), BLOCK)
-    return proofs.build_anchors(chain, BLOCK).where(F.col("level") == 1).select("project_id", "pos", "hash", "chain")
+    """Chain over the ends of blocks of each project, an index beside the chain itself."""
+    chain = proofs.build_chain(entries(spark, folder), block_size=BLOCK)
+    return proofs.build_anchors(chain, BLOCK)
 
 
 @query(
@@ -395,7 +401,7 @@ def chain_anchors(spark, folder):
 )
 def chain_verify(spark, folder):
     """Every two-hundredth entry has its payload hash changed after the chain was built."""
-    chain = proofs.build_chain(entries(spark, folder), BLOCK)
+    chain = proofs.build_chain(entries(spark, folder), block_size=BLOCK)
     changed = F.when(F.col("seq") % 200 == 150, F.sha2("payload_hash", 256)).otherwise(F.col("payload_hash"))
     return proofs.check_chain(chain.withColumn("payload_hash", changed), BLOCK)
 

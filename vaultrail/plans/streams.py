@@ -14,7 +14,7 @@ from vaultrail.plans.inputs import KEYRING
 from vaultrail.plans.oracle import AUDIT, IDENTITIES, PAYLOAD, with_
 from vaultrail.plans.registry import registrar
 from vaultrail.session import configure, work_folder
-from vaultrail.streaming import jobs
+from vaultrail.streaming import buffer, jobs
 
 QUERIES, ORACLES = {}, {}
 query = registrar(QUERIES, ORACLES)
@@ -96,6 +96,43 @@ def stream_accounting(spark: SparkSession, folder: str) -> DataFrame:
     return counts.select("accepted", "rejected", letters.select("n").scalar().alias("letters"))
 
 
+FLUSH, HOURS = 40, 12
+
+
+@query(
+    with_(
+        AUDIT,
+        "arrived AS (SELECT event_id, tenant, created_ms AS ms, row_number() OVER (PARTITION BY tenant ORDER BY event_id) AS n FROM audit)",
+        f"""held AS (
+          SELECT tenant, n, event_id, ms AS since, 1 AS held, 0 AS flush FROM arrived WHERE n = 1
+          UNION ALL
+          SELECT tenant, n, event_id, CASE WHEN held = {FLUSH} THEN ms ELSE since END, held, flush FROM (
+            SELECT tenant, n, event_id, ms, flush + CASE WHEN fired AND held > 0 THEN 1 ELSE 0 END AS flush, CASE WHEN fired THEN 1 ELSE held + 1 END AS held,
+              CASE WHEN fired THEN since + (ms - since) // {HOURS * 3_600_000} * {HOURS * 3_600_000} ELSE since END AS since
+            FROM (
+              SELECT r.tenant, r.n, r.event_id, r.ms, h.since, CASE WHEN h.held = {FLUSH} THEN 0 ELSE h.held END AS held,
+                h.flush + CASE WHEN h.held = {FLUSH} THEN 1 ELSE 0 END AS flush, r.ms >= h.since + {HOURS * 3_600_000} AS fired
+              FROM held h JOIN arrived r ON r.tenant = h.tenant AND r.n = h.n + 1)))""",
+        recursive=True,
+    )
+    + f"""SELECT tenant, flush::BIGINT AS flush, count(*) AS rows, min(event_id) AS first_event, max(event_id) AS last_event, max(held) = {FLUSH} AS counted
+      FROM held GROUP BY tenant, flush"""
+)
+def stream_flush(spark: SparkSession, folder: str) -> DataFrame:
+    """Flushes of a buffer per tenant, at forty rows or twelve hours after the last one, across micro-batches."""
+    configure(spark)
+    events = inputs.audit(spark, folder).select("event_id", "tenant", "created_at")
+    path = work_folder(spark, "buffers")
+    closed = buffer.flushes(streamed(events, "event_id", "events"), ["tenant"], "event_id", "created_at", FLUSH, HOURS * 3_600_000)
+    with state_partitions(spark):
+        run(closed.writeStream.format("parquet").option("path", f"{path}/rows").option("checkpointLocation", f"{path}/_progress").trigger(availableNow=True).start())
+        left = buffer.left_rows(spark, f"{path}/_progress", ["tenant"], events.schema)
+    rows = spark.read.schema(closed.schema).parquet(f"{path}/rows").unionByName(left)
+    return rows.groupBy("tenant", "flush").agg(
+        F.count("*").alias("rows"), F.min("row.event_id").alias("first_event"), F.max("row.event_id").alias("last_event"), F.bool_and(F.col("reason") == "count").alias("counted")
+    )
+
+
 @query(
     with_(
         """ordered AS (SELECT event_id, user_id, CASE WHEN event_id % 6 = 0 THEN event_id % 40 ELSE 0 END AS inc,
@@ -154,22 +191,41 @@ def stream_pairing(spark: SparkSession, folder: str) -> DataFrame:
     return run_to_table(joined.select("run_id", "tool", "success", "result", "latency_ms"), "pairs")
 
 
+LATE = 7
+
+
 @query(
-    with_(AUDIT, evidence.BUNDLES.replace("(seq - 1) // 40", f"(seq - 1) // {agents.PART_RECORDS}").replace("CASE WHEN alibi IS NULL THEN '' ELSE ',\"providerAlibi\":' || alibi END", "''"))
-    + "SELECT run_id, part, parts, bundle, sha256(bundle) AS payload_hash FROM bundles"
+    with_(
+        AUDIT,
+        f"""numbered AS (
+          SELECT *, event_id % {LATE} = 0 AS late, row_number() OVER (PARTITION BY run_id ORDER BY event_id % {LATE} = 0, event_id) AS seq FROM audit)""",
+        """texts AS (
+          SELECT run_id, user_id, late, string_agg('{"seq":' || seq || ',"toolName":"' || action || '","argsHash":"' || sha256(action || metadata)
+            || '","args":' || metadata || ',"output":"' || target || '","latencyMs":' || (event_id % 90) || ',"capturedAt":' || created_ms || '}', ',' ORDER BY seq) AS tools
+          FROM numbered GROUP BY ALL)""",
+        """heads AS (SELECT DISTINCT run_id, user_id FROM audit),
+        parts AS (
+          SELECT h.run_id, h.user_id, p.part, coalesce(tools, '') AS tools FROM heads h CROSS JOIN (VALUES (0), (1)) p(part)
+          LEFT JOIN texts t ON t.run_id = h.run_id AND t.late = (p.part = 1) WHERE p.part = 0 OR tools IS NOT NULL),
+        bundles AS (
+          SELECT run_id, part, '{"version":1,"runId":"' || run_id || '","projectId":"p_' || (user_id % 5) || '"'
+            || CASE WHEN user_id % 3 <> 0 THEN ',"systemPromptHash":"' || sha256('prompt of ' || user_id) || '","systemPrompt":"prompt of ' || user_id || '"' ELSE '' END
+            || ',"tools":[' || tools || '],"committedAt":' || (1706000000000 + user_id) || '}' AS bundle FROM parts)""",
+    )
+    + """SELECT run_id, part::BIGINT AS part, bundle, sha256(bundle) AS payload_hash,
+      CASE WHEN part = 1 THEN lag(sha256(bundle)) OVER (PARTITION BY run_id ORDER BY part) END AS previous_hash FROM bundles"""
 )
 def stream_bundles(spark: SparkSession, folder: str) -> DataFrame:
-    """Tool records collected over a stream until their run commits."""
+    """Tool records collected over a stream until their run commits; every seventh comes after that, in a linked further part."""
     configure(spark)
     records = evidence.event_records(spark, folder).drop("seq").withColumnRenamed("event_id", "call_id")
-    heads = evidence.run_heads(spark, folder)
-    last = records.agg(F.max("call_id")).first()[0]
-    rows = records.withColumn("kind", F.lit("record")).unionByName(
-        heads.withColumns({"kind": F.lit("commit"), "call_id": F.lit(last).cast("bigint")}), allowMissingColumns=True
-    )
+    late = F.col("call_id") % LATE == 0
+    rows = records.withColumns({"kind": F.lit("record"), "moment": F.when(late, 2).otherwise(F.col("call_id") % 2)})
+    heads = evidence.run_heads(spark, folder).withColumns({"kind": F.lit("commit"), "moment": F.lit(1)})
+    stream = streamed(rows.unionByName(heads, allowMissingColumns=True), "moment", "records")
     path = work_folder(spark, "runs")
-    run(jobs.bundle_stream(streamed(rows, "call_id", "records"), path, lambda: [int_chunk("call_id")]))
-    return spark.read.parquet(f"{path}/bundles").select("run_id", "part", "parts", "bundle", "payload_hash")
+    run(jobs.bundle_stream(stream, path, lambda: [int_chunk("call_id")]))
+    return jobs.stored_bundles(spark, path)
 
 
 @query(

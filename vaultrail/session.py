@@ -17,6 +17,9 @@ RUNTIME_CONF = {
     # Windows and aggregates over (key, chunk) must spread a key over its chunks. Without this, rows that are already
     # partitioned by the key alone would be left together, and a hot key with them.
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    # A union of equally partitioned parts may pass for partitioned itself; when the parts are then coalesced one by one at run
+    # time, rows of one part are lost (seen in Spark 4.1.2 with a repartition on top of such a union).
+    "spark.sql.unionOutputPartitioning": "false",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Hashing and sealing cost far more per byte than reading, so small partitions are worth a core of their own.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",

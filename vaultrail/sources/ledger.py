@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultrail.functions.crypto import Keyring
-from vaultrail.operators import access, ingest
+from vaultrail.operators import access, ingest, proofs
 from vaultrail.session import remove_folder, work_folder
 
 
@@ -128,19 +128,23 @@ def read_dead_letters(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("dt date, timestamp string, error string, payload string").json(path)
 
 
-def write_bundles(bundles: DataFrame, path: str) -> None:
-    """Append evidence bundles as gzipped JSON lines, one folder per project."""
-    (
-        bundles.select("project_id", F.col("bundle").alias("value"))
-        .write.mode("append")
-        .partitionBy("project_id")
-        .option("compression", "gzip")
-        .text(path)
-    )
+def write_bundles(pieces: DataFrame, path: str) -> None:
+    """Append evidence bundles as gzipped JSON lines, one folder per project.
+
+    A run of any length is one line, written piece by piece as the pieces leave the sort; the writer puts the closing brace
+    behind each of them. Runs without project are stored under an empty name.
+    """
+    # Only the first piece of a bundle begins with a brace.
+    line = F.when(F.col("text").startswith("{"), F.concat(F.lit("\n"), F.col("text"))).otherwise(F.col("text"))
+    # A folder column that can't be null needs no second sort by the writer, which would not keep the pieces' order.
+    rows = pieces.select(F.coalesce(F.col("project_id").cast("string"), F.lit("")).alias("project_id"), "run_id", "piece", line.alias("value"))
+    ordered = rows.repartition("run_id").sortWithinPartitions("project_id", "run_id", "piece")
+    ordered.select("project_id", "value").write.mode("append").partitionBy("project_id").option("compression", "gzip").option("lineSep", "}").text(path)
 
 
 def read_bundles(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).withColumnRenamed("value", "bundle")
+    """Stored bundles, one row per run."""
+    return spark.read.text(path).where("value <> ''").withColumnRenamed("value", "bundle")
 
 
 def bundle_records(bundles: DataFrame) -> DataFrame:
@@ -169,3 +173,40 @@ def export_csv(rows: DataFrame, path: str) -> None:
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+
+
+# --- hash chains -------------------------------------------------------------------------------------------------------
+
+CHAIN = "project_id string, seq bigint, payload_hash string, chain_hash string, commit bigint"
+HEADS = "project_id string, seq bigint, chain_hash string, commit bigint"
+
+
+def append_chain(entries: DataFrame, path: str, commit: int) -> DataFrame:
+    """Chain new ledger entries ``(project_id, seq, payload_hash)`` to the stored chains below ``path``; returns the new heads.
+
+    ``commit`` numbers the appends and grows. Only entries beyond the stored heads are folded. The links are written first and
+    the heads after them, each as one folder of the commit; links without heads are no part of the chain. An append that is done
+    again, or has died half-way, replaces its own folders.
+    """
+    spark = entries.sparkSession
+    own = entries.withColumn("project_id", F.col("project_id").cast("string"))
+    earlier = read_heads(spark, path).where(F.col("commit") < commit)
+    links = proofs.build_chain(own, proofs.chain_heads(earlier))
+    links.write.mode("overwrite").parquet(f"{path}/links/commit={commit}")
+    stored = spark.read.schema(CHAIN.rpartition(",")[0]).parquet(f"{path}/links/commit={commit}")
+    proofs.chain_heads(stored).write.mode("overwrite").parquet(f"{path}/heads/commit={commit}")
+    return read_heads(spark, path).where(F.col("commit") == commit).drop("commit")
+
+
+def read_heads(spark: SparkSession, path: str) -> DataFrame:
+    """Heads that the commits have left, one per commit and project it added to."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/heads")
+    there = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+    return spark.read.schema(HEADS).option("basePath", f"{path}/heads").parquet(f"{path}/heads") if there else spark.createDataFrame([], HEADS)
+
+
+def read_chain(spark: SparkSession, path: str) -> DataFrame:
+    """Links of all commits that have been completed."""
+    links = spark.read.schema(CHAIN).option("basePath", f"{path}/links").parquet(f"{path}/links")
+    done = read_heads(spark, path).select("commit").distinct()
+    return links.join(done, "commit", "left_semi").drop("commit")

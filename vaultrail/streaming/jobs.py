@@ -17,7 +17,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from vaultrail.functions.crypto import Keyring
 from vaultrail.operators import agents, ingest
 from vaultrail.operators.ordered import int_chunk, logical_clock, number_rows
-from vaultrail.session import remove_folder, work_folder
+from vaultrail.session import materialise, remove_folder, work_folder
 
 # Micro-batches after which the clock deltas are folded into one snapshot.
 SNAPSHOT_EVERY = 64
@@ -193,30 +193,95 @@ _RECORDS = (
 )
 
 
-def bundle_stream(stream: DataFrame, path: str, chunk: Callable[[], list[Column]], trigger: dict | None = None) -> StreamingQuery:
-    """Collect tool records until a run's commit row arrives, then write its bundle to ``path/bundles``.
+_RUNS = (
+    "run_id string, project_id string, system_prompt string, committed_at bigint, part bigint, n_records bigint, "
+    "payload_hash string, previous_hash string, closed bigint"
+)
+
+# Micro-batches after which the log of records is cut down to those that are in no bundle yet.
+COMPACT_EVERY = 32
+
+
+def _logged(spark: SparkSession, path: str, table: str, schema: str, batch: int, compact: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What micro-batches before ``batch`` have added to a table: a compacted part and the parts since then.
+
+    A micro-batch writes what it adds and nothing else. Every ``COMPACT_EVERY``-th one first writes ``compact`` of all that is
+    known, which bounds what later ones read.
+    """
+    start = batch // COMPACT_EVERY * COMPACT_EVERY
+
+    def known(base: int, upto: int) -> DataFrame:
+        rows = _earlier(spark, path, table, base, upto, schema)
+        return rows.unionByName(spark.read.schema(schema).parquet(_batch_folder(path, f"{table}_compacted", base))) if base else rows
+
+    if batch == start and batch:
+        replace_batch(compact(known(start - COMPACT_EVERY, start)), path, f"{table}_compacted", start)
+    return known(start, batch)
 
-    What is carried from batch to batch are the records of runs still open.
+
+def _latest(runs: DataFrame) -> DataFrame:
+    """Last bundle of each run."""
+    names = [part.split()[0] for part in _RUNS.split(", ")]
+    return runs.groupBy("run_id").agg(F.max_by(F.struct(*names), "part").alias("r")).select("r.*")
+
+
+def _unbundled(records: DataFrame, latest: DataFrame) -> DataFrame:
+    """Records that have arrived after the last bundle of their run."""
+    last = latest.select("run_id", F.col("closed").alias("_closed"))
+    return records.join(last, "run_id", "left").where("_closed is null or arrived > _closed").drop("_closed")
+
+
+def bundle_stream(stream: DataFrame, path: str, chunk: Callable[[], list[Column]], trigger: dict | None = None) -> StreamingQuery:
+    """Collect tool records until a run's commit row arrives, then write the text of its bundle to ``path/pieces``.
 
     ``stream`` rows have ``kind`` ``record`` or ``commit``; records carry the tool record columns, commits
-    ``project_id``, ``system_prompt`` and ``committed_at``.
+    ``project_id``, ``system_prompt`` and ``committed_at``. ``path/runs`` has a row per bundle: its run and part, the number of
+    records of the run so far, its digest and that of the part before. Records that arrive after their run's commit make
+    a further part in their own micro-batch, which continues ``seq`` and names the digest it follows; a second commit of a run
+    changes nothing. :func:`stored_bundles` reads the bundles.
+
+    A micro-batch writes its records, and the bundles it closes; records of open runs are not written again but for a compaction.
     """
 
     def work(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
+        schema = f"{_RECORDS}, arrived bigint"
         names = [part.split()[0] for part in _RECORDS.split(", ")]
-        fresh = rows.where(F.col("kind") == "record").select(*names)
-        commits = rows.where(F.col("kind") == "commit").select("run_id", "project_id", "system_prompt", "committed_at")
-        known = fresh.unionByName(_earlier(spark, path, "open_records", batch - 1, batch, _RECORDS)) if batch else fresh
-        replace_batch(known.join(commits.select("run_id"), "run_id", "left_semi"), path, "closed_records", batch)
-        replace_batch(known.join(commits.select("run_id"), "run_id", "left_anti"), path, "open_records", batch)
-        closed = _earlier(spark, path, "closed_records", batch, batch + 1, _RECORDS)
-        numbered = number_rows(closed, ["run_id"], ["call_id"], chunk(), "seq")
-        replace_batch(agents.evidence_bundles(numbered, commits), path, "bundles", batch)
+        fresh = rows.where(F.col("kind") == "record").select(*names, F.lit(batch).cast("bigint").alias("arrived"))
+        replace_batch(fresh, path, "records", batch)
+        fresh = _earlier(spark, path, "records", batch, batch + 1, schema)
+        latest = materialise(_latest(_logged(spark, path, "runs", _RUNS, batch, _latest)), "latest-runs")
+        body = F.struct("project_id", "system_prompt", "committed_at")
+        commits = rows.where(F.col("kind") == "commit").groupBy("run_id").agg(F.max_by(body, "committed_at").alias("c")).select("run_id", "c.*")
+        new = commits.join(latest.select("run_id"), "run_id", "left_anti")
+        late = latest.join(fresh.select("run_id"), "run_id", "left_semi")
+        none = F.lit(None).cast("string")
+        closing = new.select("*", F.lit(0).cast("bigint").alias("part"), F.lit(0).cast("bigint").alias("before"), none.alias("previous_hash")).unionByName(
+            late.select("run_id", "project_id", "system_prompt", "committed_at", (F.col("part") + 1).alias("part"), F.col("n_records").alias("before"), F.col("payload_hash").alias("previous_hash"))
+        )
+        closing = materialise(closing, "closing-runs")
+        logged = _logged(spark, path, "records", schema, batch, lambda records: _unbundled(records, latest)).unionByName(fresh)
+        closed = _unbundled(logged.join(closing.select("run_id"), "run_id", "left_semi"), latest)
+        numbered = number_rows(closed, ["run_id"], ["call_id"], chunk(), "seq").join(closing.select("run_id", "before"), "run_id")
+        numbered = numbered.withColumn("seq", F.col("seq") + F.col("before")).drop("before")
+        pieces = agents.evidence_pieces(numbered, closing.drop("part", "before", "previous_hash"))
+        replace_batch(pieces.join(closing.select("run_id", "part"), "run_id"), path, "pieces", batch)
+        written = spark.read.parquet(_batch_folder(path, "pieces", batch))
+        counts = closed.groupBy("run_id").agg(F.count("*").alias("n"))
+        digests = agents.bundle_digests(written).select("run_id", "payload_hash")
+        done = closing.join(digests, "run_id").join(counts, "run_id", "left").withColumns({"n_records": F.col("before") + F.coalesce("n", F.lit(0)), "closed": F.lit(batch).cast("bigint")})
+        replace_batch(done.select([part.split()[0] for part in _RUNS.split(", ")]), path, "runs", batch)
 
     return run_batches(stream, work, f"{path}/_progress", trigger)
 
 
+def stored_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """``(run_id, part, bundle, payload_hash, previous_hash)`` of a bundle stream, one row per part."""
+    pieces = spark.read.parquet(f"{path}/pieces").withColumn("run_id", F.struct("run_id", "part"))
+    runs = spark.read.schema(f"{_RUNS}, batch int").option("basePath", f"{path}/runs").parquet(f"{path}/runs").select("run_id", "part", "previous_hash")
+    return agents.whole_bundles(pieces).select("run_id.run_id", "run_id.part", "bundle", "payload_hash").join(runs, ["run_id", "part"])
+
+
 def dead_letter_stream(stream: DataFrame, path: str, trigger: dict | None = None) -> StreamingQuery:
     """Dead letters ``(dt, timestamp, error, payload)`` as JSON lines by UTC day below ``path/letters``."""
     writer = stream.writeStream.format("json").partitionBy("dt").option("path", f"{path}/letters")
