@@ -6,10 +6,12 @@ the ids of the text. A worker remembers the ids of the parts it has met lately,
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 
@@ -23,6 +25,18 @@ _MARK = "\x02"
 _OTHER_SPACE = re.compile(rf"(?![ \n])[{_SPACE}{_MARK}]")
 _CUT = re.compile(rf"(?<![{_SPACE}])(?=[ \n](?![{_SPACE}])(?!\Z))")
 _ENDS = frozenset(".,")
+#: The two sets of rules by which texts may be cut. Other files' texts are encoded whole.
+_BYTE_RULES = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
+_WORD_RULES = (
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+)
 
 
 class Encoder:
@@ -33,6 +47,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        told = json.loads(self.tokenizer.to_str())
+        plain = not any(w.isalnum() for t in told["added_tokens"] for w in re.findall(r"\w+|.", t["content"])[:1])
+        self.cuts = plain and told["model"]["type"] == "BPE" and (told["normalizer"], told["pre_tokenizer"]) in (_BYTE_RULES, _WORD_RULES)
         # A tokenizer with a normalizer here drops white space altogether; one without keeps it byte by byte.
         self.spaces = self.tokenizer.normalizer is None
         self.known: dict[str, bytes] = {}
@@ -44,7 +61,9 @@ class Encoder:
         """The text in parts, each preceded by a space in the text unless it is marked in front."""
         if not self.spaces:
             return text.replace("\n", " ").split(" ")
-        if "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or _OTHER_SPACE.search(text):
+        # Of the characters that are printable, only the space is a space.
+        odd = not text.replace("\n", "").isprintable() and _OTHER_SPACE.search(text)
+        if odd or "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n":
             return [_MARK + p for p in _CUT.split(text)]
         # Every space and line end stands alone between other characters, and belongs to what follows.
         return (_MARK + text.replace("\n", f" {_MARK}\n")).split(" ")
@@ -62,9 +81,9 @@ class Encoder:
         found |= {p: array("I", e.ids).tobytes() for p, e in zip(rest, ids, strict=True)}
         return [found[p] for p in parts]
 
-    def learn(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of the parts, remembered or encoded now, as little-endian 32-bit numbers."""
-        fresh = parts.difference(self.known)
+    def learn(self, texts: list[list[str]]) -> dict[str, bytes]:
+        """Ids of the parts of texts, remembered or encoded now, as little-endian 32-bit numbers."""
+        fresh = set(filterfalse(self.known.__contains__, chain.from_iterable(texts)))
         if not fresh:
             return self.known
         found = {p: self.older[p] for p in fresh & self.older.keys()}
@@ -80,9 +99,9 @@ class Encoder:
         kept = {p: i for p, i in found.items() if len(p) < LONG}
         if len(self.known) + len(kept) > REMEMBERED:
             before, self.older, self.known = self.known, self.known, kept
-            return {p: found[p] if p in found else before[p] for p in parts}
+            return {p: found[p] if p in found else before[p] for p in chain.from_iterable(texts)}
         self.known.update(kept)
-        return self.known if len(kept) == len(found) else {p: found[p] if p in found else self.known[p] for p in parts}
+        return self.known if len(kept) == len(found) else {p: found[p] if p in found else self.known[p] for p in chain.from_iterable(texts)}
 
     def raws(self, texts: list[str | None]) -> list[bytes]:
         """Ids without added special tokens, as little-endian 32-bit numbers; special strings as the library has them.
@@ -90,9 +109,14 @@ class Encoder:
         A null text has none, as an empty one.
         """
         out: list[bytes] = []
+        if not self.cuts:
+            for begin in range(0, len(texts), TOGETHER):
+                found = self.tokenizer.encode_batch_fast([t or "" for t in texts[begin : begin + TOGETHER]], add_special_tokens=False)
+                out += [array("I", e.ids).tobytes() for e in found]
+            return out
         for begin in range(0, len(texts), TOGETHER):
             parts = [self.parts(t) if t else [] for t in texts[begin : begin + TOGETHER]]
-            known = self.learn(set().union(*parts))
+            known = self.learn(parts)
             out += [b"".join(map(known.__getitem__, p)) for p in parts]
         return out
 
