@@ -137,12 +137,17 @@ def taken_copies(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), l
 
 
 def mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), limit: float = 3.0, seed: int = 0) -> DataFrame:
-    """The rows of ``documents``, each repeated as often as the mix takes it."""
+    """The rows of ``documents``, each repeated as often as the mix takes it.
+
+    A null or blank text has size 0 and is not taken; a null source is a source of its own; rows without doc_id and repeated
+    rows take part as any other. All columns come back, whatever their names.
+    """
     taken = taken_copies(documents, weights, limit, seed).select(F.col("h").alias("mix_h"), F.col("doc_id").alias("mix_id"), F.col("source").alias("mix_source"), "copies")
     # Equal rows share a hash; their copies are counted together and dealt to them evenly.
     counts = materialise(taken.groupBy("mix_h", "mix_id", "mix_source").agg(F.sum("copies").alias("mix_copies"), F.count("*").alias("mix_rows")), "mix-copies")
-    named = documents.withColumn("mix_key", F.xxhash64(F.lit(seed), documents["doc_id"], documents["text"]))
-    same = (F.col("mix_key") == F.col("mix_h")) & documents["doc_id"].eqNullSafe(F.col("mix_id")) & documents["source"].eqNullSafe(F.col("mix_source"))
+    key = F.xxhash64(F.lit(seed), documents["doc_id"], documents["text"])
+    named = documents.select(F.struct("*").alias("row"), key.alias("mix_key"), documents["doc_id"].alias("own_id"), documents["source"].alias("own_source"))
+    same = (F.col("mix_key") == F.col("mix_h")) & F.col("own_id").eqNullSafe(F.col("mix_id")) & F.col("own_source").eqNullSafe(F.col("mix_source"))
     joined = join_narrow(named, counts, same)
     nth = F.row_number().over(Window.partitionBy("mix_h", "mix_id", "mix_source").orderBy("mix_h"))
     single = joined.where("mix_rows = 1").withColumn("mix_nth", F.lit(1))
@@ -150,4 +155,4 @@ def mix(documents: DataFrame, weights: tuple[float, ...] = (5, 2, 1), limit: flo
     both = single.unionByName(several)
     own = F.floor(F.col("mix_copies") / F.col("mix_rows")) + (F.col("mix_nth") <= F.col("mix_copies") % F.col("mix_rows")).cast("int")
     repeated = both.withColumn("mix_again", F.explode(F.array_repeat(F.lit(0), own.cast("int"))))
-    return repeated.select(documents.columns)
+    return repeated.select("row.*")

@@ -334,3 +334,41 @@ def similarity_components(documents: DataFrame, size: int = 5, percent: int = 80
     lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
     result = signed.join(named.join(lowest, "component").select("n", "d1", "d2", "component_id"), ["n", "d1", "d2"], "left")
     return result.select("doc_id", F.col("n").alias("n_ngrams"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """``documents`` with one row, that of smallest doc_id, of each group that n-gram similarity connects.
+
+    Groups are those of :func:`similarity_components`, but a row is known by its doc_id and text: rows that share a doc_id or have
+    none are linked by their texts alone, so of unrelated texts under one doc_id each stays, and of equal rows one. Among texts of one
+    doc_id the smallest SHA-256 stays; a row without doc_id stays only where its group has no other. Rows without words (null
+    and empty texts) are in no group and all stay. All columns come back, whatever their names.
+    """
+    base = documents.select(F.struct("*").alias("row"), documents["doc_id"].cast("long").alias("doc_id"), documents["text"].alias("text"))
+    several = base.groupBy(F.col("doc_id").alias("again")).count().where("again is null or count > 1").select("again")
+    several = materialise(several, "repeated-ids")
+    if not several.limit(1).count():
+        groups = similarity_components(base, size, percent).where("n_ngrams > 0")
+        leaving = materialise(groups.where("component_id <> doc_id").select("doc_id"), "near-duplicates")
+        return join_narrow(base, leaving, "doc_id", "left_anti").select("row.*")
+    shared = F.col("doc_id").eqNullSafe(F.col("again"))
+    single = join_narrow(base, several, shared, "left_anti")
+    repeated = join_narrow(base, several, shared, "left_semi").withColumn("content", F.sha2(F.coalesce("text", F.lit("")), 256))
+    # Each text under a repeated or missing doc_id gets a number of its own, beyond all doc_ids.
+    greatest = base.agg(F.max("doc_id")).first()[0] or 0
+    numbers = repeated.select(F.col("doc_id").alias("own"), F.col("content").alias("digest")).distinct()
+    numbers = materialise(numbers.withColumn("key", F.lit(greatest) + 1 + F.monotonically_increasing_id()), "repeated-rows")
+    repeated = join_narrow(repeated, numbers, F.col("doc_id").eqNullSafe(F.col("own")) & (F.col("content") == F.col("digest")))
+    keyed = single.select("doc_id", "text").unionByName(repeated.select(F.col("key").alias("doc_id"), "text"))
+    groups = similarity_components(keyed, size, percent).where("n_ngrams > 0").select(F.col("doc_id").alias("key"), "component_id").distinct()
+    groups = groups.join(numbers.withColumn("numbered", F.lit(True)), "key", "left")
+    named = F.when(F.col("numbered"), F.col("own")).otherwise(F.col("key"))
+    groups = materialise(groups.select("key", "component_id", named.isNull().alias("nameless"), named.alias("named"), F.coalesce("digest", F.lit("")).alias("digest")), "near-groups")
+    first = groups.groupBy("component_id").agg(F.min_by("key", F.struct("nameless", "named", "digest")).alias("kept"))
+    known = materialise(groups.join(first, "component_id").select("key", (F.col("key") == F.col("kept")).alias("stays")), "near-known")
+    rest = join_narrow(single, known.where("not stays").select(F.col("key").alias("doc_id")), "doc_id", "left_anti").select("row")
+    judged = join_narrow(repeated, known, "key", "left")
+    wordless = judged.where("stays is null").select("row")
+    # Equal rows may be many; one of them is kept by a partial aggregate, without bringing them together.
+    one = judged.where("stays").groupBy("key").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
+    return rest.unionByName(wordless).unionByName(one).select("row.*")

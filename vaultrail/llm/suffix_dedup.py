@@ -271,8 +271,9 @@ def whole_characters(raw: bytes, runs: list[tuple[int, int]]) -> list[tuple[int,
 
 
 def keyed(documents: DataFrame) -> DataFrame:
-    """All columns, and ``dedup_key``: one number for each doc_id and text; a null text is an empty one."""
-    return documents.withColumn("dedup_key", F.xxhash64(documents["doc_id"], F.coalesce(documents["text"], F.lit(""))))
+    """The caller's row as one column, its doc_id and text, and ``dedup_key``: one number for each doc_id and text; a null text is an empty one."""
+    key = F.xxhash64(documents["doc_id"], F.coalesce(documents["text"], F.lit("")))
+    return documents.select(F.struct("*").alias("row"), documents["doc_id"].alias("doc_id"), documents["text"].alias("text"), key.alias("dedup_key"))
 
 
 def with_spans(rows: DataFrame, size: int = SIZE, key: int = KEY, hot: int = HOT) -> DataFrame:
@@ -313,9 +314,9 @@ def removed_spans(documents: DataFrame, size: int = SIZE, key: int = KEY, hot: i
 def deduplicated(documents: DataFrame, size: int = SIZE, key: int = KEY, hot: int = HOT) -> DataFrame:
     """``documents`` with repeated strings taken out of the texts, as far as whole characters go, and n_chars set anew.
 
-    Every row stays; a null text stays null.
+    Every row stays, repeated ones and those without doc_id too; a null text stays null. All columns come back, whatever their names.
     """
-    rows = with_spans(keyed(documents), size, key, hot)
+    rows = with_spans(keyed(documents).select("row", "text", "dedup_key"), size, key, hot)
 
     def cut(texts, spans):
         import pandas as pd
@@ -330,7 +331,8 @@ def deduplicated(documents: DataFrame, size: int = SIZE, key: int = KEY, hot: in
         return pd.Series(out)
 
     texts = F.when(F.col("dedup_spans").isNull(), F.col("text")).otherwise(F.pandas_udf(cut, "string")("text", "dedup_spans"))
-    kept = rows.withColumn("text", texts)
+    kept = rows.select("row", texts.alias("text"))
+    row = F.col("row").withField("text", F.col("text"))
     if "n_chars" in documents.columns:
-        kept = kept.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(documents.schema["n_chars"].dataType))
-    return kept.select(documents.columns)
+        row = row.withField("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(documents.schema["n_chars"].dataType))
+    return kept.select(row.alias("row")).select("row.*")

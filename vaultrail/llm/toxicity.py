@@ -3,8 +3,10 @@
 A sentence has the words it contains as features and a logistic score p. The score of a document is the noisy-or of its
 sentences, ``1 - prod(1 - p)``, so weights are learned from document labels alone and still tell which sentences offend.
 
-The vocabulary comes from counts over all labelled documents: the words whose presence tells the labels apart best by
-the likelihood ratio. The weights are fitted on a bounded sample of labelled documents (``SAMPLE`` per label, by hash),
+A sentence without any vocabulary word has probability 0, so a clean text of any length scores 0.
+
+The vocabulary comes from counts over all labelled documents: the words whose presence tells the labels apart by the
+likelihood ratio, as far as the sample below has them, which bounds their number. The weights are fitted on a bounded sample of labelled documents (``SAMPLE`` per label, by hash),
 each of which is reduced to its sentences' vocabulary words first; label weights restore the true share of the labels.
 """
 
@@ -23,8 +25,10 @@ from pyspark.sql import functions as F
 from vaultrail.llm.tables import join_narrow, pick
 from vaultrail.session import materialise
 
-#: Words in the vocabulary at most, labelled documents per label in the fit at most.
-VOCABULARY, SAMPLE = 2000, 6000
+#: Labelled documents per label in the fit at most.
+SAMPLE = 6000
+#: Log odds of a sentence before its words are seen, to which the bias is pulled.
+PRIOR = -6.0
 #: Documents a word must occur in, and a likelihood ratio it must reach, to be a feature.
 LEAST_DOCUMENTS, LEAST_RATIO = 5, 15.0
 
@@ -55,8 +59,8 @@ class Model:
                 odds = self.sentence(text[a:b])
                 if odds is not None:
                     scored.append((a, b, float(1 / (1 + np.exp(-odds)))))
-        clean = -np.logaddexp(0, self.bias) * (len(spans) - len(scored)) + sum(np.log1p(-min(p, 1 - 1e-12)) for _, _, p in scored)
-        return float(-np.expm1(clean)), scored
+        clean = sum(np.log1p(-min(p, 1 - 1e-12)) for _, _, p in scored)
+        return float(0.0 - np.expm1(min(clean, 0.0))), scored
 
 
 def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -71,23 +75,24 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"word": words, "ones": [found[1][w] for w in words], "zeros": [found[0][w] for w in words]})
 
 
-def vocabulary(labelled: DataFrame, n1: int, n0: int) -> list[str]:
-    """Words that tell the ``n1`` documents with label 1 from the ``n0`` with label 0, best first."""
+def vocabulary(labelled: DataFrame, n1: int, n0: int, seen: DataFrame) -> list[str]:
+    """Words of ``seen`` (a bounded sample of rows) that tell the ``n1`` documents with label 1 from the ``n0`` with label 0, best first."""
     words = labelled.select("text", "label").mapInPandas(_word_counts, "word string, ones long, zeros long")
     words = words.groupBy("word").agg(F.sum("ones").alias("a"), F.sum("zeros").alias("b")).where(F.col("a") + F.col("b") >= LEAST_DOCUMENTS)
 
-    def term(seen: Column, expected: Column) -> Column:
-        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    def term(count: Column, expected: Column) -> Column:
+        return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
 
     share, total = (F.col("a") + F.col("b")) / (n1 + n0), F.lit(0.0)
     for name, n in (("a", n1), ("b", n0)):
         total = total + term(F.col(name), share * n) + term(n - F.col(name), (1 - share) * n)
-    best = words.select("word", (2 * total).alias("ratio")).where(F.col("ratio") >= LEAST_RATIO).orderBy(F.desc("ratio"), "word").limit(VOCABULARY)
-    return [r["word"] for r in best.collect()]
+    here = seen.select("text", F.lit(0).alias("label")).mapInPandas(_word_counts, "word string, ones long, zeros long").select("word").distinct()
+    best = words.select("word", (2 * total).alias("ratio")).where(F.col("ratio") >= LEAST_RATIO).join(here, "word", "left_semi")
+    return [r["word"] for r in sorted(best.collect(), key=lambda r: (-r["ratio"], r["word"]))]
 
 
 def _instances(index: dict[str, int]):
-    """Per document: number of sentences, and the vocabulary words of those that have any, as 'i i;i'."""
+    """Per document: the vocabulary words of the sentences that have any, as 'i i;i'."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
@@ -95,8 +100,8 @@ def _instances(index: dict[str, int]):
             for text in frame["text"]:
                 sentences = _SENTENCE.findall((text or "").lower())
                 hits = (sorted(index[w] for w in index.keys() & set(_WORD.findall(s))) for s in sentences)
-                rows.append((len(sentences), ";".join(" ".join(map(str, h)) for h in hits if h)))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "sentences": [r[0] for r in rows], "hits": [r[1] for r in rows]})
+                rows.append(";".join(" ".join(map(str, h)) for h in hits if h))
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "label": frame["label"], "hits": rows})
 
     return run
 
@@ -113,22 +118,22 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     sizes = {r["label"]: r["count"] for r in ids.groupBy("label").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         return Model({}, -50.0)
-    words = vocabulary(join_narrow(pick(documents, "doc_id", "text"), known, "doc_id"), sizes[1], sizes[0])
-    if not words:
-        return Model({}, -50.0)
     parts = [ids.where(F.col("label") == k).orderBy("h").select("doc_id", "h", "label").limit(SAMPLE) for k in (0, 1)]
     chosen = materialise(parts[0].unionByName(parts[1]).select("doc_id", "label").distinct(), "toxic-sample")
     taken = pick(documents, "doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    words = vocabulary(join_narrow(pick(documents, "doc_id", "text"), known, "doc_id"), sizes[1], sizes[0], taken)
+    if not words:
+        return Model({}, -50.0)
     index = {w: i for i, w in enumerate(words)}
     # A doc_id with several rows counts once, so the sample is bounded whatever the table.
-    sample = taken.mapInPandas(_instances(index), "doc_id long, label int, sentences int, hits string")
-    sample = sample.groupBy("doc_id", "label").agg(F.min(F.struct("sentences", "hits")).alias("s")).select("label", "s.*").toPandas()
-    sample = sample.sort_values(["label", "sentences", "hits"], ignore_index=True)
+    sample = taken.mapInPandas(_instances(index), "doc_id long, label int, hits string")
+    sample = sample.groupBy("doc_id", "label").agg(F.min("hits").alias("hits")).select("label", "hits").toPandas()
+    sample = sample.sort_values(["label", "hits"], ignore_index=True)
     weights, bias = _descend(sample, len(words), sizes)
     return Model({w: float(weights[i]) for w, i in index.items() if weights[i]}, bias)
 
 
-def _descend(sample: pd.DataFrame, size: int, sizes: dict[int, int], rounds: int = 400, rate: float = 0.1, decay: float = 2e-5) -> tuple[np.ndarray, float]:
+def _descend(sample: pd.DataFrame, size: int, sizes: dict[int, int], rounds: int = 400, rate: float = 0.1, decay: float = 2e-5, pull: float = 1e-3) -> tuple[np.ndarray, float]:
     """Adam on the noisy-or log loss; documents weigh so that both labels have their true share."""
     y = sample["label"].to_numpy()
     taken = np.bincount(y, minlength=2)
@@ -143,19 +148,18 @@ def _descend(sample: pd.DataFrame, size: int, sizes: dict[int, int], rounds: int
             sentence += [len(owner)] * len(ids)
             owner.append(d)
     owner, sentence, word = np.array(owner, int), np.array(sentence, int), np.array(word, int)
-    plain = sample["sentences"].to_numpy() - np.bincount(owner, minlength=len(y))
     theta = np.zeros(size + 1)
-    theta[-1] = -6.0
+    theta[-1] = PRIOR
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
         odds = theta[-1] + np.bincount(sentence, theta[word], minlength=len(owner))
-        clean = np.bincount(owner, -np.logaddexp(0, odds), minlength=len(y)) - plain * np.logaddexp(0, theta[-1])
+        clean = np.bincount(owner, -np.logaddexp(0, odds), minlength=len(y))
         # d loss / d(-log clean): 1 for label 0, -clean/(1-clean) for label 1
         slope = weight * np.where(y == 1, -1 / np.expm1(np.maximum(-clean, 1e-9)), 1.0)
         by_sentence = slope[owner] / (1 + np.exp(-odds))
         gradient = np.zeros_like(theta)
         gradient[:-1] = np.bincount(word, by_sentence[sentence], minlength=size) + decay * theta[:-1]
-        gradient[-1] = by_sentence.sum() + (slope * plain).sum() / (1 + np.exp(-theta[-1]))
+        gradient[-1] = by_sentence.sum() + pull * (theta[-1] - PRIOR)
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         theta -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-9)
     return theta[:-1], float(theta[-1])
@@ -178,7 +182,10 @@ def score(documents: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
 
 
 def toxic_rows(documents: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """The rows of ``documents`` that score below ``threshold``, with all their columns."""
+    """The rows of ``documents`` that score below ``threshold``, with all their columns.
+
+    A null or empty text scores 0. Rows without doc_id and repeated rows are judged as any other.
+    """
     from pyspark.sql.functions import pandas_udf
 
     @pandas_udf("double")
