@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from vaultrail.llm import mixing, ngram_join, packing, suffix_dedup, toxicity
-from vaultrail.llm.tables import join_narrow, small_batches
+from vaultrail.llm.tables import small_batches
 from vaultrail.session import configure, materialise
 
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents whose noisy-or score is 0.3 or more; learned from the labels of the documents given."""
-    small_batches(spark)
+    """Without the documents whose noisy-or score is 0.3 or more; learned from the labels of the documents given.
+
+    A null or empty text scores 0 and stays; rows without doc_id or label and repeated rows are scored as any other.
+    """
+    small_batches(configure(spark))
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.toxic_rows(docs, model, 0.3)
 
@@ -23,34 +25,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest doc_id, of each component of near duplicates (five words, 0.8).
 
-    Documents without words are in no group and stay. Of rows that share the doc_id that stays, one stays.
+    Texts decide, not ids: unrelated texts under one doc_id all stay, equal rows leave one, with or without doc_id. Documents
+    without words (null and empty texts) are in no group and stay.
     """
-    small_batches(spark)
-    groups = materialise(ngram_join.similarity_components(docs, size=5, percent=80), "near-groups")
-    grouped = groups.where("n_ngrams > 0 and component_id is not null").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    leaving = materialise(grouped.where("component_id <> doc_id").select("doc_id"), "near-duplicates")
-    # Rows repeated under one doc_id: those that name it as a group keep one row.
-    again = materialise(groups.where("n_ngrams > 0 and component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    left = join_narrow(docs, leaving, "doc_id", "left_anti")
-    single = join_narrow(left, again, "doc_id", "left_anti")
-    several = join_narrow(left, again, "doc_id", "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("nth = 1")
-    return single.select(docs.columns).unionByName(several.select(docs.columns))
+    small_batches(configure(spark))
+    return ngram_join.one_of_each(docs, size=5, percent=80)
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the strings of 200 bytes that occur more than once; all documents stay."""
-    small_batches(spark)
+    """Texts without the strings of 200 bytes that occur more than once; all documents stay, null texts as null."""
+    small_batches(configure(spark))
     return suffix_dedup.deduplicated(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of the sources takes them."""
+    """Documents as often as the mix of the sources takes them; null and blank texts have no words and are not taken."""
+    configure(spark)
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces and their places in sequences of at most 2048 tokens."""
-    small_batches(spark)
+    """Pieces and their places in sequences of at most 2048 tokens; a null or empty text is one piece with the end id alone."""
+    small_batches(configure(spark))
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end=0, capacity=2048)
 
 
