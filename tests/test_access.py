@@ -145,3 +145,24 @@ def test_stored_search_is_pushed_and_sealed(spark, ring, tmp_path, capsys):
     found.explain("formatted")
     assert "PushedFilters: [In(actor_index" in capsys.readouterr().out
     assert [r.event_id for r in found.collect()] == [1]
+
+
+def test_grants_reach_rows_of_their_project(spark, ring):
+    ledger = spark.createDataFrame(
+        [(1, "p", "a", "t", None), (2, "p", "b", "t", "x"), (3, "q", "a", "t", "x"), (40_000, "p", "a", "u", "x"), (5, None, "a", "t", None)],
+        "event_id bigint, project_id string, actor_index string, target_index string, tenant_index string",
+    )
+    grants = spark.createDataFrame(
+        [("g1", "p", "actor", ["a", "b"], None, None), ("g2", "p", "all", ["a"], None, None), ("g3", "q", "auditor", None, None, None), ("g4", "p", "target", ["a"], ["t"], None),
+         ("g5", "q", "tenant", None, None, ["x", "y"]), ("g6", "p", "actor", None, None, None), ("g7", None, "all", None, None, None), ("g8", "z", "all", None, None, None)],
+        "grant_id string, project_id string, scope string, actor_indexes array<string>, target_indexes array<string>, tenant_indexes array<string>",
+    )
+    bitmaps = access.grant_bitmaps(ledger, grants)
+    assert {r.grant_id: r.rows for r in access.reach(bitmaps).collect()} == {"g1": 3, "g2": 3, "g3": 1, "g4": 2, "g5": 1, "g7": 1}
+    together = access.reach(bitmaps, grants.selectExpr("grant_id", "project_id AS p"), ["p"]).collect()
+    assert {r.p: r.rows for r in together} == {"p": 3, "q": 1, None: 1}
+    seen = lambda g, scope=None: sorted(r.event_id for r in access.rows_visible_to(ledger, g, scope).collect())
+    assert seen(grants) == [1, 2, 3, 5, 40_000] and seen(grants, "tenant") == [3] and seen(grants, "target") == [1, 2] and seen(grants.where("grant_id = 'g2'")) == [1, 2, 40_000]
+    # Without projects everything is one.
+    assert seen(grants.where("grant_id = 'g3'").drop("project_id")) == [5]
+    assert sorted(r.event_id for r in access.rows_visible_to(ledger.drop("project_id"), grants.where("grant_id = 'g3'").drop("project_id")).collect()) == [1, 2, 3, 5, 40_000]

@@ -58,12 +58,63 @@ def live_grants(grants: DataFrame, now: Column) -> DataFrame:
     return grants.where(F.col("reject_reason").isNull() & (F.col("exp") > now))
 
 
-def rows_visible_to(ledger: DataFrame, grants: DataFrame, scope: str) -> DataFrame:
-    """Ledger rows at least one of the given grants of a scope may see, each once."""
-    if scope in ("all", "auditor"):
-        raise ValueError("these scopes see the whole ledger")
-    tokens = grants.where(F.col("scope") == scope).select(F.explode(f"{scope}_indexes").alias(f"{scope}_index"))
-    return ledger.join(tokens.dropDuplicates(), f"{scope}_index", "left_semi")
+WIDE = ["all", "auditor"]
+
+
+def _project(df: DataFrame) -> Column:
+    """Project of a ledger row or grant; a table without that column is one project."""
+    return F.coalesce(df["project_id"].cast("string"), F.lit("")) if "project_id" in df.columns else F.lit("")
+
+
+def _row_tokens(ledger: DataFrame) -> Column:
+    """What a grant of each scope would have to name to see a row."""
+    named = [F.struct(F.lit(n).alias("scope"), F.col(f"{n}_index").alias("token")) for n in ("actor", "target", "tenant")]
+    return F.filter(F.array(*named, F.struct(F.lit("all").alias("scope"), F.lit("*").alias("token"))), lambda t: t["token"].isNotNull())
+
+
+def grant_tokens(grants: DataFrame) -> DataFrame:
+    """``(grant_id, project_id, scope, token)`` of what each grant names; wide scopes name all rows of their project."""
+    chosen = F.when(F.col("scope").isin(WIDE), F.array(F.lit("*")))
+    for name in ("actor", "target", "tenant"):
+        chosen = chosen.when(F.col("scope") == name, F.col(f"{name}_indexes"))
+    scope = F.when(F.col("scope").isin(WIDE), "all").otherwise(F.col("scope"))
+    return grants.select("grant_id", _project(grants).alias("project_id"), scope.alias("scope"), F.explode(chosen).alias("token"))
+
+
+def rows_visible_to(ledger: DataFrame, grants: DataFrame, scope: str | None = None) -> DataFrame:
+    """Ledger rows at least one of the given grants may see, each once; of one scope, or of all.
+
+    A grant sees rows of its own project only; the scopes ``all`` and ``auditor`` see all of these. Ledger and grants without
+    ``project_id`` are one project. ``event_id`` names the rows; grants become a set of tokens first, and rows meet it with
+    their tokens alone.
+    """
+    wanted = grant_tokens(grants if scope is None else grants.where(F.col("scope") == scope)).select("project_id", "scope", "token").distinct()
+    held = ledger.select("event_id", _project(ledger).alias("project_id"), F.explode(_row_tokens(ledger)).alias("t"))
+    seen = held.select("event_id", "project_id", "t.scope", "t.token").join(wanted, ["project_id", "scope", "token"], "left_semi")
+    return ledger.join(seen.select("event_id").distinct(), "event_id", "left_semi")
+
+
+def grant_bitmaps(ledger: DataFrame, grants: DataFrame) -> DataFrame:
+    """Which rows each grant may see: ``(grant_id, bucket, rows)``, a bitmap of ``event_id`` per bucket of 32,768 ids.
+
+    The ledger is reduced to bitmaps per project and token first, so grants over the same tenant share its bitmaps until they
+    are joined. A row that several of a grant's tokens name is one bit; any union of grants is one more ``bitmap_or_agg``.
+    """
+    held = ledger.select("event_id", _project(ledger).alias("project_id"), F.explode(_row_tokens(ledger)).alias("t"))
+    per_token = held.groupBy("project_id", "t.scope", "t.token", F.bitmap_bucket_number("event_id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("event_id")).alias("rows"))
+    met = grant_tokens(grants).join(per_token, ["project_id", "scope", "token"])
+    return met.groupBy("grant_id", "bucket").agg(F.bitmap_or_agg("rows").alias("rows"))
+
+
+def reach(bitmaps: DataFrame, holders: DataFrame | None = None, by: list[str] | None = None) -> DataFrame:
+    """Number of rows each grant may see, or each group ``by`` of grants together, every row counted once.
+
+    ``holders`` has ``grant_id`` and the ``by`` columns.
+    """
+    if holders is None:
+        return bitmaps.groupBy("grant_id").agg(F.sum(F.bitmap_count("rows")).alias("rows"))
+    merged = bitmaps.join(holders.select("grant_id", *by), "grant_id").groupBy(*by, "bucket").agg(F.bitmap_or_agg("rows").alias("rows"))
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("rows")).alias("rows"))
 
 
 def grant_coverage(ledger: DataFrame, grants: DataFrame) -> DataFrame:

@@ -91,6 +91,53 @@ def visible_rows(spark, folder):
     return access.rows_visible_to(actor_ledger(spark, folder), live, "actor").select("event_id")
 
 
+REACH = (
+    f"""live AS (SELECT *, 'p_' || (c % 3) AS project_id FROM grants WHERE reject_reason IS NULL AND exp > {NOW})""",
+    """pairs AS (
+    SELECT grant_id, g.actor_id AS holder, g.project_id, scope, event_id FROM live g JOIN (SELECT *, 'p_' || (event_id % 3) AS project_id FROM ids) l ON l.project_id = g.project_id
+      AND ((scope = 'actor' AND l.who = g.actor_id) OR (scope = 'target' AND l.target = g.target_id) OR (scope = 'tenant' AND l.tenant = g.tenant_id) OR scope IN ('all', 'auditor')))""",
+)
+
+
+def project_grants(spark, folder):
+    """Ledger rows and live grants of three projects."""
+    ledger = actor_ledger(spark, folder).withColumn("project_id", inputs.text("p_", F.col("event_id") % 3))
+    requests = inputs.grants(spark, folder).withColumn("project_id", inputs.text("p_", F.substring("grant_id", 3, 20).cast("bigint") % 3))
+    return ledger, access.live_grants(access.access_grants(requests, KEYRING), F.lit(NOW))
+
+
+@query(
+    with_(AUDIT, IDENTITIES, GRANTS, *REACH)
+    + "SELECT grant_id, project_id, scope, count(event_id)::BIGINT AS rows FROM live LEFT JOIN pairs USING (grant_id, project_id, scope) GROUP BY ALL"
+)
+def grant_reach(spark, folder):
+    """Rows each live grant may see within its project, for every scope."""
+    ledger, live = project_grants(spark, folder)
+    counted = access.reach(access.grant_bitmaps(ledger, live))
+    return live.select("grant_id", "project_id", "scope").join(counted, "grant_id", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+
+
+@query(
+    with_(AUDIT, IDENTITIES, GRANTS, *REACH)
+    + "SELECT holder, project_id, count(DISTINCT event_id)::BIGINT AS rows FROM pairs WHERE holder IS NOT NULL GROUP BY ALL"
+)
+def holder_reach(spark, folder):
+    """Rows that all live grants of one holder reach together, each counted once."""
+    ledger, live = project_grants(spark, folder)
+    holders = live.where("actor_id is not null").withColumnRenamed("actor_id", "holder")
+    return access.reach(access.grant_bitmaps(ledger, live), holders, ["holder", "project_id"])
+
+
+@query(
+    with_(AUDIT, IDENTITIES, GRANTS, *REACH)
+    + "SELECT DISTINCT event_id FROM pairs WHERE scope <> 'auditor' OR grant_id = 'g_3'"
+)
+def rows_in_reach(spark, folder):
+    """Rows that any live grant reaches, with one auditor of one project among them."""
+    ledger, live = project_grants(spark, folder)
+    return access.rows_visible_to(ledger, live.where("scope <> 'auditor' or grant_id = 'g_3'")).select("event_id")
+
+
 @query(
     with_(AUDIT, IDENTITIES)
     + """SELECT event_id, who AS act, action AS acn, target AS tgt, k AS "m.k", strftime(created_at, '%Y-%m-%d %H:%M:%S') AS cat
