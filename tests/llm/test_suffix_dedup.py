@@ -34,6 +34,31 @@ def test_many_overlaps(spark, seed):
     check(spark, rows, 200, 48)
 
 
+def test_split_bucket_with_colliding_fingerprints(spark):
+    """Segments of one large bucket, all fingerprints equal: only suffixes with equal bytes repeat."""
+
+    class OneValue:
+        """Fingerprints that all collide."""
+
+        def __init__(self, data):
+            self.n = len(data)
+
+        def all_of(self, size):
+            return np.zeros(self.n - size + 1, np.uint64)
+
+    rng = random.Random(5)
+    key = brute.invented(rng, 9)[:48].ljust(48, "k")
+    shared = "".join(rng.choice("abcdef") for _ in range(120))
+    texts = ["".join(rng.choice("abcdef") for _ in range(150)) + key + (shared if i % 2 else "") + "".join(rng.choice("abcdef") for _ in range(200)) for i in range(12)]
+    texts += [texts[1][:60] + texts[1][60:320] + "z" * 30]
+    frame = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    for prints in (suffix_dedup.Fingerprints, OneValue):
+        spans = suffix_dedup.repeated_spans(frame, 200, 48, hot=1, print_of=prints).collect()
+        got = {r["key"]: {i for a, b in suffix_dedup.merged(r["spans"]) for i in range(a, b)} for r in spans}
+        want = {i: set(gone) for i, gone in enumerate(brute.removed(texts, 200)) if gone}
+        assert got == want
+
+
 def test_cover_reaches_every_pair():
     d = set(suffix_dedup.COVER)
     assert {(a - b) % suffix_dedup.PERIOD for a in d for b in d} == set(range(suffix_dedup.PERIOD))

@@ -12,8 +12,8 @@
    repeat each other.
 4. The bytes of all suffixes that repeat are removed from their texts.
 
-A bucket with more than ``HOT`` different segments would not fit into a block; its suffixes are counted by fingerprint instead,
-in a shuffle that spreads them all.
+A bucket with more than ``HOT`` different segments would not fit into a block. It is split into its suffixes: a fingerprint of each
+tells which may repeat, and those are grouped by all their bytes, so a part of a split bucket holds equal suffixes only.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultrail.llm.tables import join_narrow
@@ -94,8 +94,9 @@ def _cut(size: int):
             for text, wanted in zip(batch.column("text").cast(pa.binary()), batch.column("wanted"), strict=True):
                 raw, rows = text.as_py(), wanted.as_py()
                 part = [raw[w["low"] : w["low"] + w["n"] - 1 + size] for w in rows]
-                columns = [[w[c] for w in rows] for c in ("bucket", "digest", "n", "reach")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*columns, part], (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)], names=["bucket", "digest", "n", "reach", "bytes"])
+                columns = [[w[c] for w in rows] for c in ("bucket", "digest", "n", "reach", "hot")]
+                types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*columns, part], types, strict=True)], names=["bucket", "digest", "n", "reach", "hot", "bytes"])
 
     return run
 
@@ -200,39 +201,65 @@ def _sorted_blocks(size: int):
     return run
 
 
-def _windows(size: int):
+def _windows(size: int, print_of=Fingerprints):
     """One row for each suffix of a segment: its fingerprint, and where it is."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 data = np.frombuffer(row["bytes"], np.uint8)
-                values = Fingerprints(data).all_of(size).view(np.int64)
+                values = print_of(data).all_of(size).view(np.int64)
                 n = len(values)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, row["bucket"])), pa.array(np.full(n, row["digest"])), pa.array(np.arange(n, dtype=np.int32)), pa.array(values)], names=["bucket", "digest", "nth", "value"])
 
     return run
 
 
-def repeated_spans(texts: DataFrame, size: int = SIZE, key: int = KEY, hot: int = HOT) -> DataFrame:
+def _suffixes(size: int):
+    """The bytes of the suffixes asked for, by segment."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                at, n = row["places"], len(row["places"])
+                yield pa.RecordBatch.from_arrays([pa.array([row["bucket"]] * n, pa.int64()), pa.array([row["digest"]] * n, pa.int64()), pa.array(at, pa.int32()), pa.array([row["bytes"][i : i + size] for i in at], pa.binary())], names=["bucket", "digest", "nth", "suffix"])
+
+    return run
+
+
+def _split(parts: DataFrame, size: int, print_of=Fingerprints) -> DataFrame:
+    """(bucket, digest, runs) of the segments of buckets too large for a block, decided by the bytes of their suffixes.
+
+    Fingerprints only leave out suffixes that cannot repeat. The others are counted by all their bytes, with partial sums, and
+    meet the counts by an equi-join, which the planner may split where one suffix stands in very many segments.
+    """
+    each = parts.mapInArrow(_windows(size, print_of), "bucket long, digest long, nth int, value long")
+    each = materialise(each, "suffix-values")
+    twice = each.groupBy("value").agg(F.count("*").alias("m")).where("m > 1").select("value")
+    asked = each.join(twice, "value", "left_semi").groupBy("bucket", "digest").agg(F.collect_list("nth").alias("places"))
+    cut = parts.select("bucket", "digest", "bytes").join(asked, ["bucket", "digest"]).select("bucket", "digest", "bytes", "places")
+    cut = materialise(cut.mapInArrow(_suffixes(size), "bucket long, digest long, nth int, suffix binary"), "suffix-candidates")
+    equal = cut.groupBy("suffix").agg(F.count("*").alias("m")).where("m > 1").select("suffix")
+    runs = F.transform(F.collect_list("nth"), lambda x: F.struct(x.alias("a"), (x + 1).alias("b"))).alias("runs")
+    return cut.join(equal, "suffix", "left_semi").groupBy("bucket", "digest").agg(runs)
+
+
+def repeated_spans(texts: DataFrame, size: int = SIZE, key: int = KEY, hot: int = HOT, print_of=Fingerprints) -> DataFrame:
     """(key, spans): the byte ranges to remove of each of ``texts`` (key, text), unmerged, for texts that have any."""
     cut = texts.mapInArrow(_segments(size, key), "bucket long, digest long, key long, low int, n int, reach int")
-    met = cut.withColumn("times", F.count("*").over(Window.partitionBy("bucket"))).where("times > 1").drop("times")
-    met = materialise(met, "suffix-segments")
+    cut = materialise(cut, "suffix-all")
+    # Counts by partial sums and equi-joins: a bucket of any size is counted in parts and its rows may be split.
+    shared = cut.groupBy("bucket").agg(F.count("*").alias("times")).where("times > 1").select("bucket")
+    met = materialise(cut.join(shared, "bucket", "left_semi"), "suffix-segments")
     different = met.groupBy("bucket", "digest").agg(F.count("*").alias("times"), F.min(F.struct("key", "low", "n", "reach")).alias("one"))
-    different = different.withColumn("others", F.count("*").over(Window.partitionBy("bucket")))
-    different = materialise(different.select("bucket", "digest", "times", "one.*", "others"), "suffix-different")
-    asked = different.where("others > 1").groupBy("key").agg(F.collect_list(F.struct("bucket", "digest", "low", "n", "reach")).alias("wanted"))
+    different = materialise(different.select("bucket", "digest", "times", "one.*"), "suffix-different")
+    mixed = different.groupBy("bucket").agg(F.count("*").alias("others")).where("others > 1").select("bucket", (F.col("others") > hot).alias("hot"))
+    asked = different.join(mixed, "bucket").groupBy("key").agg(F.collect_list(F.struct("bucket", "digest", "low", "n", "reach", "hot")).alias("wanted"))
     needed = materialise(asked, "suffix-asked")
     found = join_narrow(texts, needed.select("key"), "key", "left_semi").dropDuplicates(["key"]).join(needed, "key").select("text", "wanted")
-    parts = found.mapInArrow(_cut(size), "bucket long, digest long, n int, reach int, bytes binary")
-    parts = parts.join(different.where("others > 1").select("bucket", "digest", (F.col("others") > hot).alias("hot")), ["bucket", "digest"])
-    parts = materialise(parts, "suffix-parts")
-    cold = parts.where("not hot").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sorted_blocks(size), "bucket long, digest long, runs array<struct<a:int,b:int>>")
-    each = parts.where("hot").mapInArrow(_windows(size), "bucket long, digest long, nth int, value long")
-    twice = each.groupBy("value").agg(F.count("*").alias("m")).where("m > 1").select("value")
-    warm = each.join(twice, "value").groupBy("bucket", "digest").agg(F.transform(F.collect_list("nth"), lambda x: F.struct(x.alias("a"), (x + 1).alias("b"))).alias("runs"))
-    runs = cold.unionByName(warm).where(F.size("runs") > 0)
+    parts = materialise(found.mapInArrow(_cut(size), "bucket long, digest long, n int, reach int, hot boolean, bytes binary"), "suffix-parts")
+    cold = parts.where("not hot").drop("hot").repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sorted_blocks(size), "bucket long, digest long, runs array<struct<a:int,b:int>>")
+    runs = cold.unionByName(_split(parts.where("hot"), size, print_of)).where(F.size("runs") > 0)
     # A segment that occurs several times repeats as a whole.
     whole = different.where("times > 1").select("bucket", "digest", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("runs"))
     runs = runs.join(whole.select("bucket", "digest"), ["bucket", "digest"], "left_anti").unionByName(whole)
