@@ -140,7 +140,7 @@ def test_stored_search_is_pushed_and_sealed(spark, ring, tmp_path, capsys):
     frame = spark.createDataFrame([(1, "ann", "put"), (2, "bob", "put")], "event_id bigint, actor string, action string")
     store.ingest_events(frame.withColumn("metadata", F.lit("{}")), f"{tmp_path}/ledger", ring, [int_chunk("event_id")])
     rows = store.read_rows(spark, f"{tmp_path}/ledger")
-    assert set(spark.read.parquet(f"{tmp_path}/ledger/rows").columns) == {*ingest.ENVELOPE, "day"}
+    assert set(spark.read.parquet(f"{tmp_path}/ledger/rows").columns) == {*ingest.ENVELOPE, "day", "batch"}
     found = search.search_literals(rows, ring, "actor_index", ["ann"])
     found.explain("formatted")
     assert "PushedFilters: [In(actor_index" in capsys.readouterr().out

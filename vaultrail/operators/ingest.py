@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -248,6 +249,37 @@ def claim_blobs(sealed: DataFrame) -> DataFrame:
     return large.select(sha256_hex("payload").alias("hash"), F.col("payload").alias("blob")).dropDuplicates(["hash"])
 
 
+def put_blobs(blobs: DataFrame, put: Callable[[str, str], bool | None]) -> DataFrame:
+    """Store blobs ``(hash, blob)`` by a caller's function inside the tasks; returns ``(hash, stored)``.
+
+    A blob counts as stored unless ``put(hash, blob)`` raises or returns False. A repeated task calls it again.
+    """
+
+    def run(frames):
+        for frame in frames:
+            stored = []
+            for name, text in zip(frame["hash"], frame["blob"], strict=True):
+                try:
+                    stored.append(put(name, text) is not False)
+                except Exception:  # noqa: BLE001 - whatever the store raises, the text is kept in its row
+                    stored.append(False)
+            yield frame[["hash"]].assign(stored=stored)
+
+    return blobs.mapInPandas(run, "hash string, stored boolean")
+
+
+def keep_inline(sealed: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """Sealed events with the claim check taken off those whose blob ``(hash, stored)`` could not be stored.
+
+    Only claim-checked rows meet the outcomes; the others pass by without a shuffle.
+    """
+    large = F.coalesce(F.col("is_claim_check"), F.lit(False))
+    missed = outcomes.where("not stored").select(F.col("hash").alias("_hash"), F.lit(True).alias("_missed")).dropDuplicates(["_hash"])
+    met = sealed.where(large).join(missed, sha256_hex("payload") == F.col("_hash"), "left")
+    met = met.withColumn("is_claim_check", F.col("_missed").isNull()).drop("_hash", "_missed")
+    return sealed.where(~large).unionByName(met)
+
+
 def reseal(opened: DataFrame, keyring: Keyring) -> DataFrame:
     """Seal opened ledger rows again under the active key, the last step of a key rotation.
 
