@@ -197,8 +197,10 @@ def active_spans(events: DataFrame, spans: DataFrame, bucket_micros: int = 3_600
         return floor_div(name, bucket_micros)
 
     names = ["trace_id", "span_id", "parent_span_id"]
-    reach = events.agg(F.min("at").alias("_first"), F.max("at").alias("_last"))
-    near = spans.where("service is not null and start is not null").crossJoin(F.broadcast(reach))
+    # One value for the plan, from a scan of the time column alone; spans are not joined with it.
+    reach = events.agg(F.struct(F.min("at").alias("first"), F.max("at").alias("last"))).scalar()
+    near = spans.where("service is not null and start is not null")
+    near = near.withColumns({"_first": reach["first"], "_last": reach["last"]})
     near = near.withColumn("end", F.least(F.coalesce("end", "_last"), "_last"))
     near = near.where("start <= end and end >= _first").withColumn("_from", F.greatest("start", "_first"))
     covered = near.select(

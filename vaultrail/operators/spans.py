@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vaultrail.functions.jsontext import quote, splice
 from vaultrail.functions.text import first_present
+from vaultrail.session import materialise
 
 # Attribute prefix of explicit audit events, unless the caller has an own one; "audit" is the generic second choice.
 PREFIX = "vaultrail"
@@ -120,6 +121,7 @@ def span_audit_events(spans: DataFrame, span_events: DataFrame, prefix: str = PR
     """Audit events of spans: all readable explicit events of a span, or else its annotated attributes.
 
     ``spans(trace_id, span_id, parent_span_id, attributes)`` and ``span_events(trace_id, span_id, name, attributes)``.
+    Explicit events are parsed once and stored in the shared folder, since they are both the result and what other spans are held against.
     """
     text = F.col("attributes")[f"{prefix}.payload"]
     named = span_events.where((F.col("name") == f"{prefix}.audit") & text.isNotNull())
@@ -128,7 +130,7 @@ def span_audit_events(spans: DataFrame, span_events: DataFrame, prefix: str = PR
     # Exploding one or no event instead of filtering: a filter would be pushed down with its own copy of the parsing.
     event = F.struct(*[c.alias(n) for n, c in payload_columns(payload).items()])
     one = F.explode(F.when(is_payload(F.col("_text"), payload), F.array(event))).alias("e")
-    explicit = parsed.select("trace_id", "span_id", one)
+    explicit = materialise(parsed.select("trace_id", "span_id", one), "span-explicit")
     own = explicit.select("e.*")
     redirected = explicit.select("trace_id", "span_id").dropDuplicates()
     annotated = spans.where(_attribute(F.col("attributes"), "action", prefix).isNotNull()).join(

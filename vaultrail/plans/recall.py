@@ -57,12 +57,13 @@ def memory_topk_asof(spark, folder):
     with_(
         MEMORY,
         f"state AS (SELECT id, values_::DOUBLE[] AS v FROM versions WHERE valid_from <= {AS_OF} AND (valid_to > {AS_OF} OR valid_to IS NULL))",
-        "asked AS (SELECT embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id = 0)",
+        "asked AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS q FROM embeddings WHERE vec_id % 100 = 0)",
     )
-    + "SELECT id, round(list_cosine_similarity(v, q), 4) AS score FROM state, asked ORDER BY list_cosine_similarity(v, q) DESC, id LIMIT 10"
+    + """SELECT query_id, id, round(list_cosine_similarity(v, q), 4) AS score FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY list_cosine_similarity(v, q) DESC, id) AS rank FROM state, asked) WHERE rank <= 10"""
 )
 def memory_search_one(spark, folder):
-    """The same search for a single vector, in built-in expressions."""
-    first = inputs.table(spark, folder, "embeddings").where("vec_id = 0").select("embedding").first()
-    found = memory.top_k_one(memory.state_at(versions(spark, folder), AS_OF), list(first[0]), 10)
-    return found.select("id", F.round("score", 4).alias("score"))
+    """The memories most similar to each single vector whose id is divisible by 100, as of a time."""
+    asked = inputs.table(spark, folder, "embeddings").where("vec_id % 100 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    found = memory.top_k(memory.state_at(versions(spark, folder), AS_OF), asked, 10)
+    return found.select("query_id", "id", F.round("score", 4).alias("score"))
