@@ -80,6 +80,26 @@ def test_active_span_equals_brute_force(spark):
         assert len(found) == len(events)
 
 
+def test_large_buckets_are_divided(spark):
+    """One service with everything in a few buckets: parts of any width give what brute force gives, and spread over tasks."""
+    rng = random.Random(5)
+    ends = [0, 1, 3, 60, 400, 9000]
+    spans = [("s" if i % 5 else "t", (b := rng.randrange(-3000, 12000)), b + rng.choice(ends), f"t{i}", f"sp{i:03}", f"p{i}") for i in range(200)]
+    spans += [("s", -4000, None, "t", "zz", "p"), ("s", 0, 8191, "t", "whole", "p"), ("s", 4096, 8191, "t", "half", "p"), ("s", 8192, 8192, "t", "point", "p")]
+    events = [(i, rng.choice(["s", "s", "s", "t", "u", None]), rng.randrange(-5000, 20000)) for i in range(600)] + [(600, "s", None), (601, "s", 8191), (602, "s", 8192)]
+    named = "service string, start bigint, end bigint, trace_id string, span_id string, parent_span_id string"
+    blank = [F.lit(None).cast("string").alias(n) for n in ("trace_id", "span_id", "parent_span_id")]
+    rows = spark.createDataFrame(events, "event_id int, service string, at bigint").select("*", *blank)
+    last = max(at for _, _, at in events if at is not None)
+    for width, hot_rows in ((8192, 20), (10_000, 0), (100, 3), (50_000, 0), (8192, 300)):
+        found = enrich.active_spans(rows, spark.createDataFrame(spans, named), width, hot_rows)
+        got = {r.event_id: r.span_id for r in found.collect()}
+        assert len(got) == len(events) == found.count()
+        for i, service, at in events:
+            open_now = [s for s in spans if at is not None and s[0] == service and s[1] <= at <= (last if s[2] is None else s[2])]
+            assert got[i] == max(((s[1], s[4]) for s in open_now), default=(0, None))[1], (width, i)
+
+
 def test_open_and_endless_spans(spark):
     spans = [("s", 10, None, "t1", "open", "p"), ("s", 20, 2**62, "t2", "endless", "p"), ("s", None, 30, "t3", "x", "p"), (None, 0, 100, "t4", "y", "p"), ("s", 25, 24, "t5", "z", "p")]
     events = [(1, "s", 5), (2, "s", 15), (3, "s", 7_200_000_000), (4, None, 15)]
