@@ -98,7 +98,8 @@ def grant_bitmaps(ledger: DataFrame, grants: DataFrame) -> DataFrame:
     """Which rows each grant may see: ``(grant_id, bucket, rows)``, a bitmap of ``event_id`` per bucket of 32,768 ids.
 
     The ledger is reduced to bitmaps per project and token first, so grants over the same tenant share its bitmaps until they
-    are joined. A row that several of a grant's tokens name is one bit; any union of grants is one more ``bitmap_or_agg``.
+    are joined. A row that several of a grant's tokens name is one bit; any union of grants is one more ``bitmap_or_agg``. Its size is
+    grants times buckets, so it is for few grants; :func:`grant_counts` and :func:`group_counts` count for any number of them.
     """
     held = ledger.select("event_id", _project(ledger).alias("project_id"), F.explode(_row_tokens(ledger)).alias("t"))
     per_token = held.groupBy("project_id", "t.scope", "t.token", F.bitmap_bucket_number("event_id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("event_id")).alias("rows"))
@@ -117,6 +118,79 @@ def reach(bitmaps: DataFrame, holders: DataFrame | None = None, by: list[str] |
     return merged.groupBy(*by).agg(F.sum(F.bitmap_count("rows")).alias("rows"))
 
 
+SCOPED = ["actor", "target", "tenant"]
+
+
+def _repeats(ledger: DataFrame) -> DataFrame:
+    """The ids that more than one row has."""
+    return ledger.groupBy("event_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("event_id")
+
+
+def _named_rows(ledger: DataFrame) -> DataFrame:
+    """What tokens need of rows that can be counted: id, project and the three indexes."""
+    return ledger.where("event_id is not null").select("event_id", _project(ledger).alias("project_id"), *(F.col(f"{n}_index") for n in SCOPED))
+
+
+def grant_counts(ledger: DataFrame, grants: DataFrame) -> DataFrame:
+    """``(grant_id, rows)``: rows each grant may see, every row counted once, for grants that see any.
+
+    A row has one index per scope, so tokens of one grant name different rows and their counts are added. Ids that several rows
+    have are left to :func:`_pairs`.
+    """
+    rows, wanted = _named_rows(ledger), grant_tokens(grants).distinct()
+    once = rows.join(_repeats(rows), "event_id", "left_anti")
+    tokens = once.select("project_id", F.explode(_row_tokens(once)).alias("t"))
+    per_token = tokens.groupBy("project_id", "t.scope", "t.token").agg(F.count(F.lit(1)).alias("rows"))
+    met = wanted.join(per_token, ["project_id", "scope", "token"]).select("grant_id", "rows")
+    more = _pairs(rows, wanted, ["grant_id"])
+    return met.unionByName(more).groupBy("grant_id").agg(F.sum("rows").alias("rows"))
+
+
+def _pairs(rows: DataFrame, held: DataFrame, by: list[str]) -> DataFrame:
+    """``(by, rows)`` over the rows whose id is not theirs alone, by the pairs of a group and an id."""
+    repeated = rows.join(_repeats(rows), "event_id", "left_semi")
+    tokens = repeated.select("event_id", "project_id", F.explode(_row_tokens(repeated)).alias("t")).select("event_id", "project_id", "t.scope", "t.token")
+    return held.join(tokens, ["project_id", "scope", "token"]).select(*by, "event_id").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def group_counts(ledger: DataFrame, grants: DataFrame, holders: DataFrame, by: list[str]) -> DataFrame:
+    """``(by, rows)``: rows that the grants of each group reach together, every row counted once, for groups that reach any.
+
+    ``holders`` has ``grant_id`` and the ``by`` columns. Groups meet numbers of rows, not rows: the ledger is counted by its indexes,
+    by pairs and by triples of them, and the rows of a union are those of its tokens less those of its pairs of tokens, plus those
+    of its triples. A combination meets the groups that hold its actor (else its target) first, which is the scope with the fewest rows.
+    """
+    # Groups are told apart by text, where null is a value as any other.
+    named = holders.select("grant_id", F.to_json(F.struct(*by), {"ignoreNullFields": "false"}).alias("_group"), *by)
+    groups = named.groupBy("_group").agg(*(F.first(c).alias(c) for c in by))
+    held = named.select("grant_id", "_group").join(grant_tokens(grants), "grant_id").select("_group", "project_id", "scope", "token").distinct()
+    rows = _named_rows(ledger)
+    once = rows.join(_repeats(rows), "event_id", "left_anti")
+    profiles = once.groupBy("project_id", *(f"{n}_index" for n in SCOPED)).agg(F.count(F.lit(1)).alias("n"))
+    # Indexes that no group holds are as good as none, so that combinations are those of held tokens only.
+    wanted = held.select("project_id", "scope", "token").distinct()
+    for name in SCOPED:
+        own = wanted.where(F.col("scope") == name).select("project_id", F.col("token").alias(f"{name}_index"), F.col("token").alias(name))
+        profiles = profiles.join(own, ["project_id", f"{name}_index"], "left")
+    profiles = profiles.groupBy("project_id", *SCOPED).agg(F.sum("n").alias("n"))
+    kinds = [[n for i, n in enumerate(SCOPED) if mask >> i & 1] for mask in range(8)]
+    tokens = lambda kind: F.array(*[F.struct(F.lit(n).alias("scope"), F.col(n).alias("token")) for n in kind] or [F.struct(F.lit("all").alias("scope"), F.lit("*").alias("token"))])
+    every = F.filter(F.array(*[tokens(kind) for kind in kinds]), lambda c: F.forall(c, lambda t: t["token"].isNotNull()))
+    counted = profiles.select("project_id", F.explode(every).alias("c"), "n").groupBy("project_id", "c").agg(F.sum("n").alias("n"))
+    part = lambda i, field: F.get("c", F.lit(i))[field]
+    counted = counted.select("project_id", "n", F.size("c").alias("parts"), *(part(i, f).alias(f"{f}_{i}") for i in range(3) for f in ("scope", "token")))
+    met = counted.withColumnsRenamed({"scope_0": "scope", "token_0": "token"}).join(held, ["project_id", "scope", "token"])
+    for i in (1, 2):
+        other = held.withColumnsRenamed({"scope": f"scope_{i}", "token": f"token_{i}"})
+        single, joint = met.where(F.col("parts") <= i), met.where(F.col("parts") > i)
+        met = single.unionByName(joint.join(other, ["_group", "project_id", f"scope_{i}", f"token_{i}"], "left_semi"))
+    signed = F.when(F.col("parts") % 2 == 1, F.col("n")).otherwise(-F.col("n"))
+    whole = F.col("scope") == "all"
+    summed = met.groupBy("_group", "project_id").agg(F.max(F.when(whole, F.col("n"))).alias("all"), F.sum(F.when(~whole, signed)).alias("some"))
+    found = summed.select("_group", F.coalesce("all", "some").alias("rows")).unionByName(_pairs(rows, held, ["_group"]))
+    return found.groupBy("_group").agg(F.sum("rows").alias("rows")).join(groups, "_group").select(*by, "rows")
+
+
 def grant_coverage(ledger: DataFrame, grants: DataFrame) -> DataFrame:
     """Per grant the number of rows it may see and their clock range.
 

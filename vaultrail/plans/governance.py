@@ -113,7 +113,7 @@ def project_grants(spark, folder):
 def grant_reach(spark, folder):
     """Rows each live grant may see within its project, for every scope."""
     ledger, live = project_grants(spark, folder)
-    counted = access.reach(access.grant_bitmaps(ledger, live))
+    counted = access.grant_counts(ledger, live)
     return live.select("grant_id", "project_id", "scope").join(counted, "grant_id", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
 
 
