@@ -125,7 +125,7 @@ def holder_reach(spark, folder):
     """Rows that all live grants of one holder reach together, each counted once."""
     ledger, live = project_grants(spark, folder)
     holders = live.where("actor_id is not null").withColumnRenamed("actor_id", "holder")
-    return access.reach(access.grant_bitmaps(ledger, live), holders, ["holder", "project_id"])
+    return access.group_counts(ledger, live, holders, ["holder", "project_id"])
 
 
 @query(
