@@ -114,3 +114,22 @@ def test_blobs_that_fail_stay_inline(spark, ring, tmp_path):
     blobs = spark.createDataFrame([(n, open(f"{folder}/{n}").read()) for n in os.listdir(folder)], store.BLOBS)
     opened = search.open_ledger(search.resolve_claims(found, blobs), ring).collect()
     assert len(opened) == 4 and all(r.opened.count("x") >= n for r, n in zip(sorted(opened, key=lambda r: r.event_id), (10, 40_000, 55_000, 80_000), strict=True))
+
+
+def test_clocks_move_no_sealed_columns(spark, ring, tmp_path):
+    """Windows of the clocks see narrow rows only; rows that share an id keep a clock each, and the stage is stored compactly."""
+    frame = spark.createDataFrame([(i // 2, "put", f"r{i % 3}", "x" * 100) for i in range(40)], "event_id bigint, action string, request_id string, target string")
+    sealed = ingest.seal_events(ingest.guard_events(ingest.with_event_columns(frame)), ring)
+    sealed.select(*ingest.ENVELOPE, "reject_reason", "request_id").write.parquet(f"{tmp_path}/stage")
+    seen = []
+
+    def clocks(rows):
+        seen.extend(rows.columns)
+        return ingest.assign_clocks(rows, [int_chunk("event_id")])
+
+    rows = ingest.with_clocks(ingest.staged_rows(spark, f"{tmp_path}/stage"), clocks)
+    assert not {"payload", "agent_context", "actor_index", "trace_index"} & set(seen)
+    found = rows.select("request_id", "logical_clock", "payload").collect()
+    assert len(found) == 40 and all(r.payload for r in found)
+    assert sorted((r.request_id, r.logical_clock) for r in found) == sorted((f"r{k}", i + 1) for k in range(3) for i in range(14 if k == 0 else 13))
+    assert all(".zstd." in f for f in spark.read.parquet(f"{tmp_path}/stage").inputFiles())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultrail.functions import metadata as meta
@@ -234,6 +234,27 @@ def assign_clocks(events: DataFrame, chunk: list[Column], base: Column | None =
     return ticked.drop("_ticks", "_outside", "_scope")
 
 
+def staged_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Staged rows with their place in the stage, which tells rows of one ``event_id`` apart."""
+    return spark.read.parquet(folder).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+
+
+#: Sealed columns, which are most of a row's bytes and which clocks do not need.
+SEALED = ["actor_index", "action_index", "target_index", "tenant_index", "trace_index", "payload", "agent_context", "attestation_proof"]
+
+
+def with_clocks(staged: DataFrame, clocks: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Staged rows with the ``logical_clock`` that ``clocks`` gives them, a function of rows without their sealed columns.
+
+    The steps of the clocks move narrow rows only; sealed texts and indexes move once, to meet their clock.
+    """
+    clocked = clocks(staged.drop(*SEALED)).select("_file", "_row", "logical_clock")
+    # Indexes are hexadecimal and move as half as many bytes.
+    indexes = [c for c in SEALED if c.endswith("_index")]
+    packed = staged.drop("logical_clock").withColumns({c: F.unhex(c) for c in indexes})
+    return packed.join(clocked, ["_file", "_row"]).withColumns({c: F.lower(F.hex(c)) for c in indexes})
+
+
 def accepted_rows(sealed: DataFrame) -> DataFrame:
     """Ledger rows; a claim-checked row holds the hash of its sealed text."""
     return (

@@ -24,6 +24,8 @@ RUNTIME_CONF = {
     # Hashing and sealing cost far more per byte than reading, so small partitions are worth a core of their own.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "true",
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # Most of what is stored is hexadecimal or base64 text, in which only an entropy coder finds anything to save.
+    "spark.sql.parquet.compression.codec": "zstd",
     # A Python worker holds a few batches at a time, as Python objects; what passes through it are texts and states, not numbers.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.sql.execution.arrow.maxBytesPerBatch": "4m",

@@ -68,7 +68,7 @@ def append(sealed: DataFrame, path: str, letters=None, clocks=None, batch: str |
     The envelope is staged once in the shared folder and split from there, so that sealing runs once although there are
     several outputs; no plaintext column is written, and the stage is removed at the end. Blobs are stored before
     the rows that point to them. Rows are stored by day and sorted by actor index, which lets a search skip row groups; a
-    large day is split into several even files. ``clocks`` completes the staged rows. ``letters`` receives the rejected
+    large day is split into several even files. ``clocks`` gives the staged rows their clocks, from their unsealed columns. ``letters`` receives the rejected
     rows with all their columns.
 
     Blobs and rows of a batch lie in folders of its own, and its counts are written last: they are its commit, and a batch
@@ -89,14 +89,14 @@ def append(sealed: DataFrame, path: str, letters=None, clocks=None, batch: str |
     extra = [c for c in ("request_id", "clock_base") if c in sealed.columns]
     folder = work_folder(spark, "sealed")
     sealed.select(*ingest.ENVELOPE, "reject_reason", *extra).write.parquet(folder)
-    staged = spark.read.parquet(folder)
+    staged = ingest.staged_rows(spark, folder)
     blobs = ingest.claim_blobs(staged)
     if put is None:
         blobs.write.mode("overwrite").parquet(f"{path}/blobs/batch={name}")
     else:
         ingest.put_blobs(blobs, put).write.parquet(f"{folder}-outcomes")
         staged = ingest.keep_inline(staged, spark.read.parquet(f"{folder}-outcomes"))
-    rows = ingest.accepted_rows(staged if clocks is None else clocks(staged))
+    rows = ingest.accepted_rows(staged if clocks is None else ingest.with_clocks(staged, clocks))
     _write_rows(rows.select("*", F.to_date("created_at").alias("day")), f"{path}/rows/batch={name}")
     if letters is not None:
         letters(ingest.rejected_rows(sealed))

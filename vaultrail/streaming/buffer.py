@@ -135,7 +135,7 @@ def _stored(flushed: DataFrame, path: str, batch: int, names: list[str]) -> None
     folder = work_folder(spark, "flush")
     fields = [*ingest.ENVELOPE, "reject_reason", "letter", "request_id"]
     flushed.select(F.struct(*names, "flush", "reason", "flushed_at").alias("_flush"), *(f"row.{n}" for n in fields)).write.parquet(folder)
-    staged = spark.read.parquet(folder)
+    staged = ingest.staged_rows(spark, folder)
     jobs.store_sealed(staged, path, batch)
     bad = F.col("reject_reason").isNotNull()
     letters = ingest.dead_letters(staged.where(bad), F.col("letter"), F.col("reject_reason"), F.col("created_at"))

@@ -125,7 +125,7 @@ def ingest_stream(
         sealed = ingest.seal_events(guarded, keyring, policy)
         folder = work_folder(spark, "flush")
         sealed.select(*ingest.ENVELOPE, "reject_reason", clock_scope().alias("request_id")).write.parquet(folder)
-        store_sealed(spark.read.parquet(folder), path, batch)
+        store_sealed(ingest.staged_rows(spark, folder), path, batch)
         rejected = guarded.where(F.col("reject_reason").isNotNull())
         if letters is None:
             replace_batch(ingest.dead_letters(rejected, letter_text(), F.col("reject_reason"), F.col("created_at")), path, "letters", batch, ["dt"])
@@ -147,13 +147,13 @@ def letter_text() -> Column:
 
 
 def store_sealed(staged: DataFrame, path: str, batch: int) -> None:
-    """Blobs, rows with their clocks, and counts of a stored micro-batch of sealed events (rejected ones among them)."""
+    """Blobs, rows with their clocks, and counts of a stored micro-batch of sealed events (rejected ones among them), as ``ingest.staged_rows`` reads it."""
     bad = F.col("reject_reason").isNotNull()
     replace_batch(ingest.claim_blobs(staged), path, "blobs", batch)
-    clocked = clock_batch(staged.where(~bad), path, batch)
-    replace_batch(ingest.accepted_rows(clocked), path, "rows", batch)
+    clocks = lambda rows: clock_batch(rows, path, batch)
+    replace_batch(ingest.accepted_rows(ingest.with_clocks(staged.where(~bad), clocks)), path, "rows", batch)
     # Clocks need three narrow columns of the stage, which is less to compute again than to write.
-    deltas = clocked.groupBy("request_id").agg(F.max("logical_clock").alias("clock"))
+    deltas = clocks(staged.where(~bad).drop(*ingest.SEALED)).groupBy("request_id").agg(F.max("logical_clock").alias("clock"))
     replace_batch(deltas, path, "clock_deltas", batch)
     counts = staged.agg(F.count_if(~bad).alias("accepted"), F.count_if(bad).alias("rejected"))
     replace_batch(counts, path, "counts", batch)
