@@ -120,3 +120,25 @@ def test_buffered_ingestion_seals_before_it_buffers(spark, ring, tmp_path):
     # Nothing of an accepted event stands in the state in clear.
     held = spark.read.format("statestore").load(f"{tmp_path}/out/_progress").select(F.explode("value.groupState.payloads").alias("p")).collect()
     assert all('"metadata"' not in r.p for r in held if '"letter"' not in r.p)
+
+
+def test_a_large_group_is_handed_on_in_pieces():
+    """What a call holds and returns at a time does not grow with the rows of its key."""
+    import pandas as pd
+
+    class State:
+        exists = hasTimedOut = False
+
+        def update(self, value):
+            self.value = value
+
+    rows = [(i * 7919 % 50_000, i, None if i % 997 == 0 else f"p{i}") for i in range(50_000)]
+    frames = (pd.DataFrame(rows[i : i + 500], columns=["_at", "_order", "_payload"]) for i in range(0, len(rows), 500))
+    state = State()
+    out = list(buffer._step(["k"], 40, None)(("a",), frames, state))
+    assert max(map(len, out)) <= 20 * 40 + 40
+    plain = buffer.Buffer(40, None)
+    for at, _, payload in sorted(rows, key=lambda r: r[:2]):
+        plain.push(at, payload)
+    expected = [("a", flush, reason, at, p) for flush, reason, at, held in plain.closed for p in held]
+    assert list(pd.concat(out).itertuples(index=False, name=None)) == expected and state.value == (plain.flush, plain.since, plain.held)

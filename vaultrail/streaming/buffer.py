@@ -14,7 +14,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -29,6 +31,9 @@ from vaultrail.streaming import jobs
 #: Fixed value: rows of a flush at most.
 MOST = 100
 
+#: Rows that are taken out of a micro-batch at a time, and flushes that are handed on at a time.
+ROWS, PIECE = 2000, 20
+
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _STATE = "flush long, since long, payloads array<string>"
 
@@ -64,23 +69,43 @@ class Buffer:
             self.since = at
 
 
+def _in_order(frames: Iterator[pd.DataFrame]) -> Iterator[tuple[int, str | None]]:
+    """Moments and payloads of a buffer's rows in a micro-batch, by moment and order; payloads are held as bytes, not as objects."""
+    at, number, texts = [], [], []
+    for f in frames:
+        at.append(f["_at"].to_numpy(np.int64))
+        number.append(f["_order"].to_numpy())
+        texts.append(pa.array(f["_payload"], pa.large_string(), from_pandas=True))
+    moments, payloads = np.concatenate(at), pa.concat_arrays(texts)
+    order = np.lexsort((np.concatenate(number), moments))
+    del at, number, texts
+    for i in range(0, len(order), ROWS):
+        part = order[i : i + ROWS]
+        yield from zip(moments[part].tolist(), payloads.take(pa.array(part)).to_pylist(), strict=True)
+
+
 def _step(keys: list[str], size: int, interval: int | None) -> Callable:
     def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        def written(buffer: Buffer) -> pd.DataFrame:
+            closed, buffer.closed = buffer.closed, []
+            out = [(*key, flush, reason, at, payload) for flush, reason, at, held in closed for payload in held]
+            return pd.DataFrame(out, columns=[*keys, "flush", "reason", "flushed_ms", "_payload"])
+
         buffer = Buffer(size, interval, *(state.get if state.exists else ()))
         if state.hasTimedOut:
             buffer.pass_time(state.getCurrentWatermarkMs())
         else:
-            rows = pd.concat([f[["_at", "_order", "_payload"]] for f in frames])
-            for at, _, payload in sorted(rows.itertuples(index=False, name=None), key=lambda r: r[:2]):
-                buffer.push(int(at), payload)
+            for at, payload in _in_order(frames):
+                buffer.push(at, payload)
+                if len(buffer.closed) >= PIECE:
+                    yield written(buffer)
             # A timer that the watermark has passed already fires here; it must not be set any more.
             if interval and buffer.held and buffer.since + interval <= state.getCurrentWatermarkMs():
                 buffer.pass_time(state.getCurrentWatermarkMs())
         state.update((buffer.flush, buffer.since, buffer.held))
         if interval and buffer.held:
             state.setTimeoutTimestamp(buffer.since + interval)
-        out = [(*key, flush, reason, at, payload) for flush, reason, at, held in buffer.closed for payload in held]
-        yield pd.DataFrame(out, columns=[*keys, "flush", "reason", "flushed_ms", "_payload"])
+        yield written(buffer)
 
     return run
 
