@@ -133,3 +133,16 @@ def test_clocks_move_no_sealed_columns(spark, ring, tmp_path):
     assert len(found) == 40 and all(r.payload for r in found)
     assert sorted((r.request_id, r.logical_clock) for r in found) == sorted((f"r{k}", i + 1) for k in range(3) for i in range(14 if k == 0 else 13))
     assert all(".zstd." in f for f in spark.read.parquet(f"{tmp_path}/stage").inputFiles())
+
+
+def test_purge_matches_requests_without_payloads(spark, ring, tmp_path, monkeypatch):
+    """What a purge covers is found from ids, indexes, times and pointers; inline payloads meet only the rows of files written anew."""
+    from vaultrail.operators import access
+
+    frame = spark.createDataFrame([(1, "ann", "put"), (2, "bob", "put")], "event_id bigint, actor string, action string")
+    store.ingest_events(frame.withColumn("metadata", F.lit("{}")), f"{tmp_path}/a", ring, [int_chunk("event_id")])
+    seen, own = [], access.mark_purged
+    monkeypatch.setattr(access, "mark_purged", lambda ledger, *rest, **more: (seen.append(ledger.columns), own(ledger, *rest, **more))[1])
+    store.purge(spark, f"{tmp_path}/a", f"{tmp_path}/b", spark.createDataFrame([("ann", None)], "actor string, max_created_at timestamp"), ring)
+    assert "payload" not in seen[0]
+    assert [r.event_id for r in store.read_rows(spark, f"{tmp_path}/b").collect()] == [2]

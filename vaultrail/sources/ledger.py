@@ -176,9 +176,10 @@ def purge(spark: SparkSession, path: str, snapshot: str, requests: DataFrame, ke
     in use, :func:`erase_replaced` deletes the old files that hold erased data; the rest of the old folder must stay.
     """
     rows = _read(spark, path, "rows", ROWS)
-    marked = access.mark_purged(rows.select("event_id", "actor_index", "created_at", "is_claim_check", "payload", "_file"), requests, keyring, active_only)
+    # Inline payloads stay behind: the shuffle of this join has pointers only.
     pointer = F.when(F.col("is_claim_check"), F.col("payload")).alias("hash")
-    covered = materialise(marked.where("purged").select("event_id", "actor_index", "created_at", pointer, "_file"), "purge-covered")
+    marked = access.mark_purged(rows.select("event_id", "actor_index", "created_at", pointer, "_file"), requests, keyring, active_only)
+    covered = materialise(marked.where("purged").select("event_id", "actor_index", "created_at", "hash", "_file"), "purge-covered")
     covered.select("event_id", "actor_index", "created_at").write.mode("errorifexists").parquet(f"{snapshot}/tombstones")
     replaced, kept = _split_files(rows, covered)
     if replaced:
