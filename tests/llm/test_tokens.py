@@ -27,6 +27,33 @@ def test_ids_are_those_of_whole_texts(name, monkeypatch):
         assert own.ids(text).tolist() == whole(text), repr(text)
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_marks_behind_letters_that_the_normalizer_changes(name):
+    own, whole = tokens.Encoder(public_tokenizers.path(name)), library(name)
+    for word in ["İ", "ab\u0130", "\u0958", "ΟΔΟΣ", "слово", "été", "ÀÉ", "ª", "²", "3", "가", "foo's", "<|endoftext|", "a<|endoftext|>b"]:
+        for marks in [".", ",", "!!", ">^", "'", ".###", "_"]:
+            for text in [word + marks, f"a {word}{marks} b {word}", f"a\n{word}{marks}\n{word}", f"a  {word}{marks}\t{word}\x02 \x02{word}"]:
+                assert own.ids(text).tolist() == whole(text), repr(text)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_words_of_texts_are_looked_up_once(name, monkeypatch):
+    own, whole, asked, given = tokens.Encoder(public_tokenizers.path(name)), library(name), [], []
+    learn, encode = own.learn, own.tokenizer.encode_batch_fast
+
+    class Library:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return encode(texts, **options)
+
+    monkeypatch.setattr(own, "learn", lambda parts: asked.extend(map(str, parts)) or learn(parts))
+    monkeypatch.setattr(own, "tokenizer", Library())
+    texts = ["the été\nThe été!! übel??", None, "", "übel!! the été", "x the été"] * 300
+    assert [np.frombuffer(r, "<u4").tolist() for r in own.raws(texts)] == [whole(t) for t in texts]
+    assert len(asked) == len(set(asked))
+    assert sorted(given) == ["!!", "??"]
+
+
 def test_counts_and_cache(spark, tmp_path):
     rows, whole = brute.awkward(random.Random(0)), library(FILES[0])
     path, folder = public_tokenizers.path(FILES[0]), str(tmp_path / "cache")

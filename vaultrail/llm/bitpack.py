@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vaultrail.llm.tables import join_narrow, pick
-from vaultrail.llm.tokens import encoder
+from vaultrail.llm.tokens import CHARACTERS, TOGETHER, encoder
 
 #: Ids after which a block ends, with the document that reaches it.
 BLOCK = 1 << 16
@@ -49,6 +49,22 @@ def unpack(payload: bytes, width: int, first: int, count: int) -> np.ndarray:
     return np.packbits(full, axis=1).view(">u4").reshape(-1).astype(np.uint32)
 
 
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of as many rows as are encoded together, or of fewer and a few megabytes."""
+    held: list[pa.RecordBatch] = []
+    rows = size = 0
+    for batch in batches:
+        for begin in range(0, len(batch), TOGETHER):
+            held.append(batch.slice(begin, TOGETHER))
+            rows += len(held[-1])
+            size += held[-1].nbytes
+            if rows >= TOGETHER or size >= CHARACTERS:
+                yield pa.Table.from_batches(held)
+                held, rows, size = [], 0, 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _blocks(path: str, end: int, width: int):
     """Encode the documents of a partition in their order. A shard is a partition of the range sort."""
 
@@ -69,17 +85,15 @@ def _blocks(path: str, end: int, width: int):
             return row
 
         held = 0
-        for batch in batches:
-            for begin in range(0, len(batch), 200):
-                part = batch.slice(begin, 200)
-                for doc, raw in zip(part.column("doc_id").to_pylist(), encoder(path).raws(part.column("text").to_pylist()), strict=True):
-                    ids += (raw, tail)
-                    docs.append(doc)
-                    lengths.append(len(raw) // 4 + 1)
-                    held += lengths[-1]
-                    if held >= BLOCK:
-                        yield close()
-                        held = 0
+        for part in _together(batches):
+            for doc, raw in zip(part.column("doc_id").to_pylist(), encoder(path).raws(part.column("text").to_pylist()), strict=True):
+                ids += (raw, tail)
+                docs.append(doc)
+                lengths.append(len(raw) // 4 + 1)
+                held += lengths[-1]
+                if held >= BLOCK:
+                    yield close()
+                    held = 0
         if docs:
             yield close()
 
